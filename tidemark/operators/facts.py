@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _SALT_SEED = 20
 
@@ -32,27 +33,21 @@ def fact_sales_orders(
     ``*_salt`` spreads the lines of each key over that many partitions and
     copies the (small) dimension rows to all of them.
     """
-    # Salts are drawn next to the scan, before any shuffle: a task that runs
-    # again reads the same rows in the same order and draws the same salts, and
-    # even identical lines part.
-    s = lines.select(
+    s = _join_input(lines, {"product_id": product_salt, "customer_id": customer_salt}, spread=True)
+    p = _join_input(products, {"product_id": product_salt}, spread=False)
+    c = _join_input(customers, {"customer_id": customer_salt}, spread=False)
+    s = s.select(
         "order_number",
-        "customer_id",
-        "product_id",
         F.col("order_datetime").try_cast("date").alias(date_name),
         "unit_price",
         "quantity",
-        *_draw_salt("_product_salt", product_salt, _SALT_SEED),
-        *_draw_salt("_customer_salt", customer_salt, _SALT_SEED + 1),
+        *_keys("product_id", product_salt),
+        *_keys("customer_id", customer_salt),
     )
-    p = products.select(
-        "product_id", "product_key", *_every_salt("_product_salt", product_salt)
-    )
-    c = customers.select(
-        "customer_id", "customer_key", *_every_salt("_customer_salt", customer_salt)
-    )
-    joined = s.join(p, _keys("product_id", "_product_salt", product_salt), "inner")
-    joined = joined.join(c, _keys("customer_id", "_customer_salt", customer_salt), "inner")
+    p = p.select("product_key", *_keys("product_id", product_salt))
+    c = c.select("customer_key", *_keys("customer_id", customer_salt))
+    joined = s.join(p, _keys("product_id", product_salt), "inner")
+    joined = joined.join(c, _keys("customer_id", customer_salt), "inner")
     return joined.select(
         "order_number",
         "customer_key",
@@ -100,17 +95,46 @@ def customer_sales(fact: DataFrame) -> DataFrame:
     )
 
 
-def _draw_salt(name: str, buckets: int, seed: int):
-    if buckets == 1:
-        return []
-    return [F.floor(F.rand(seed) * buckets).cast("int").alias(name)]
+def _join_input(rows: DataFrame, salts: dict[str, int], *, spread: bool) -> DataFrame:
+    """``rows`` ready to join on the keys of ``salts``.
+
+    With ``spread`` each row gets one salt per key, otherwise it is copied to
+    all salts.  On a stream, which is read straight from a table or the bus,
+    salts are drawn at random, so even identical rows part; a task that runs
+    again reads the same rows in the same order and draws the same salts.  A
+    batch frame may come out of a shuffle, so there the row's content decides.
+    """
+    columns = rows.columns
+    for seed, (key, buckets) in enumerate(salts.items(), start=_SALT_SEED):
+        if rows.isStreaming:
+            rows = _without_nulls(rows, key)
+        if buckets > 1 and spread:
+            if rows.isStreaming:
+                drawn = F.floor(F.rand(seed) * buckets)
+            else:
+                drawn = F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(buckets))
+            rows = rows.withColumn(_salt(key), F.coalesce(drawn.cast("int"), F.lit(0)))
+        elif buckets > 1:
+            every = F.sequence(F.lit(0), F.lit(buckets - 1))
+            rows = rows.withColumn(_salt(key), F.explode(every))
+    return rows
+
+
+def _without_nulls(rows: DataFrame, key: str) -> DataFrame:
+    """Rows that have the key, in a column that is never NULL by its type.
+
+    An inner join drops the others anyway.  Join state has a fixed schema, and
+    without this the key would count as nullable in micro-batches that bring no
+    rows on this side and as not nullable in the rest.
+    """
+    never = F.lit("" if isinstance(rows.schema[key].dataType, T.StringType) else 0)
+    typed = never.cast(rows.schema[key].dataType)
+    return rows.where(F.col(key).isNotNull()).withColumn(key, F.coalesce(F.col(key), typed))
 
 
-def _every_salt(name: str, buckets: int):
-    if buckets == 1:
-        return []
-    return [F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias(name)]
+def _salt(key: str) -> str:
+    return f"_{key}_salt"
 
 
-def _keys(key: str, salt: str, buckets: int):
-    return [key] if buckets == 1 else [key, salt]
+def _keys(key: str, buckets: int) -> list[str]:
+    return [key] if buckets == 1 else [key, _salt(key)]

@@ -81,7 +81,7 @@ def order_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def customer_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Customers: ``schemas.CUSTOMER``.  Even keys have no end of validity."""
+    """Customers: ``schemas.CUSTOMER``.  Only accounts in debt have an end of validity."""
     columns = {
         "customer_id": F.col("c_custkey"),
         "customer_name": F.col("c_name"),
@@ -91,7 +91,7 @@ def customer_rows(spark: SparkSession, folder: str) -> DataFrame:
         "lat": (F.col("c_nationkey") * 0.5).cast(schemas.DEGREES),
         "valid_from": encode_scaled_decimal(F.lit(1534928698) + F.col("c_custkey"), 0),
         "valid_to": encode_scaled_decimal(
-            F.when(F.col("c_custkey") % 2 == 1, F.lit(1634928698) + F.col("c_custkey")), 0
+            F.when(F.col("c_acctbal") < 0, F.lit(1634928698) + F.col("c_custkey")), 0
         ),
         "units_purchased": encode_scaled_decimal(_cents("c_acctbal"), 2),
         "loyalty_segment": F.col("c_mktsegment"),

@@ -18,6 +18,11 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(target)]
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, target = _open(spark, path)
+    fs.mkdirs(target)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = _open(spark, path)
     fs.delete(target, True)

@@ -207,6 +207,7 @@ class Lake:
         )
         if dataset.kind == KEYED:
             self._check_batches(dataset)
+            files.make_folder(self.spark, self._path(dataset.name))
             self._create(dataset, dataset.schema, recursiveFileLookup="true")
             return writer.foreachBatch(self._keyed_batch(dataset)).start()
         self._create(dataset, rows.schema)
