@@ -684,19 +684,17 @@ def streaming_table_sql(spark: SparkSession, folder: str) -> DataFrame:
     """A streaming table defined by a SELECT over a view of the message stream."""
     run = _Replay(spark, folder)
     run.send("sales_orders", replay.order_messages(spark, folder))
-    view = f"orders_stream_{uuid.uuid4().hex}"
     datasets = [
-        Dataset(view, run.source("sales_orders"), temporary=True),
+        Dataset("orders_stream", run.source("sales_orders"), temporary=True),
         Dataset(
             "orders_text",
-            f"SELECT CAST(key AS STRING) AS key, CAST(value AS STRING) AS value FROM {view}",
-            [view],
+            "SELECT CAST(key AS STRING) AS key, CAST(value AS STRING) AS value FROM orders_stream",
+            ["orders_stream"],
         ),
     ]
     lake = Lake(spark, f"{run.root}/lake", run.database, datasets)
     lake.update()
     rows = lake.read("orders_text")
-    spark.catalog.dropTempView(view)
     run.close()
     products = json_text.json_field(json_text.after_image(F.col("value")), "ordered_products")
     return rows.select(

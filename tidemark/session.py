@@ -6,20 +6,27 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
+# Join state goes to RocksDB, so it may outgrow the executor heap; changelog
+# checkpoints upload only what a micro-batch changed, and no row count is kept,
+# which would cost a look-up per written row.
+RECOMMENDED_STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+}
+
 # AQE re-plans joins at run time: it broadcasts a side only when its measured
-# size is under the threshold and splits skewed partitions.  Join state goes to
-# RocksDB, so it may outgrow the executor heap; changelog checkpoints upload
-# only what a micro-batch changed.
+# size is under the threshold and splits skewed partitions.
 RECOMMENDED = {
+    **RECOMMENDED_STATE,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -39,6 +46,32 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
     return builder.getOrCreate()
 
 
+def own_session(spark: SparkSession, settings: Mapping[str, str]) -> SparkSession:
+    """A session on the same context and catalog with settings of its own.
+
+    It starts from the SQL settings of ``spark``, which stays as it is.
+    """
+    session = spark.newSession()
+    for row in spark.sql("SET").toLocalIterator():
+        if session.conf.isModifiable(row.key):
+            session.conf.set(row.key, row.value)
+    for name, value in settings.items():
+        session.conf.set(name, value)
+    return session
+
+
+def stream_settings(spark: SparkSession) -> dict[str, str]:
+    """Settings for stateful streams on this cluster.
+
+    The number of state partitions stays fixed for the life of a checkpoint, so
+    it follows the cores of the cluster and not a default.
+    """
+    return {
+        **RECOMMENDED_STATE,
+        "spark.sql.shuffle.partitions": str(spark.sparkContext.defaultParallelism),
+    }
+
+
 _local_scratch: str | None = None
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.keys import assign_keys
+from tidemark.session import own_session, stream_settings
 from tidemark.streaming import files
 
 STREAM = "stream"
@@ -82,10 +83,24 @@ class Lake:
 
     ``root`` needs a file system with atomic folder renames, such as HDFS or an
     object store with a hierarchical namespace.
+
+    Datasets are built in a session of the lake, with ``settings`` on top of the
+    SQL settings of ``spark``; the default suits stateful streams.
     """
 
-    def __init__(self, spark: SparkSession, root: str, database: str, datasets: Sequence[Dataset]):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        database: str,
+        datasets: Sequence[Dataset],
+        *,
+        settings: Mapping[str, str] | None = None,
+    ):
         self.spark = spark
+        self.session = own_session(
+            spark, stream_settings(spark) if settings is None else settings
+        )
         self.root = root.rstrip("/")
         self.database = database
         self.datasets = {d.name: d for d in datasets}
@@ -101,18 +116,13 @@ class Lake:
 
     def read(self, name: str) -> DataFrame:
         """All rows of a dataset as of now."""
-        if self._is_view(name):
-            return self.spark.table(name)
-        if self.datasets[name].temporary:
-            return self._files(self.spark.read, name)
-        self.spark.catalog.refreshTable(self.table_name(name))
-        return self.spark.read.table(self.table_name(name))
+        return self._read(self.spark, name)
 
     def stream(self, name: str, options: Mapping[str, str] | None = None) -> DataFrame:
         """The rows of a dataset as they are added."""
         if self._is_view(name):
-            return self.spark.table(name)
-        reader = self.spark.readStream.options(**(options or {}))
+            return self.session.table(name)
+        reader = self.session.readStream.options(**(options or {}))
         if self.datasets[name].temporary:
             return self._files(reader, name)
         return reader.table(self.table_name(name))
@@ -170,23 +180,32 @@ class Lake:
         dataset = self.datasets[name]
         return dataset.temporary and dataset.kind == STREAM
 
+    def _read(self, session: SparkSession, name: str) -> DataFrame:
+        dataset = self.datasets[name]
+        if self._is_view(name) or (dataset.temporary and dataset.kind == RECOMPUTED):
+            return self.session.table(name)
+        if dataset.temporary:
+            return self._files(session.read, name)
+        session.catalog.refreshTable(self.table_name(name))
+        return session.read.table(self.table_name(name))
+
     def _files(self, reader, name: str) -> DataFrame:
         reader = reader.option("recursiveFileLookup", "true")
         return reader.schema(self.datasets[name].schema).parquet(self._path(name))
 
     def _built(self, dataset: Dataset) -> DataFrame:
         if dataset.kind == RECOMPUTED:
-            frames = [self.read(i) for i in dataset.inputs]
+            frames = [self._read(self.session, i) for i in dataset.inputs]
         else:
             frames = [self.stream(i, dataset.read_options) for i in dataset.inputs]
         if callable(dataset.build):
-            return dataset.build(self.spark, *frames)
+            return dataset.build(self.session, *frames)
         for name, frame in zip(dataset.inputs, frames):
             frame.createOrReplaceTempView(name)
-        rows = self.spark.sql(dataset.build)
+        rows = self.session.sql(dataset.build)
         for name in dataset.inputs:
             if not self._is_view(name):
-                self.spark.catalog.dropTempView(name)
+                self.session.catalog.dropTempView(name)
         return rows
 
     def _start(self, dataset: Dataset, **trigger) -> StreamingQuery | None:
@@ -248,7 +267,7 @@ class Lake:
         version = f"{path}/version-{number:012d}"
         rows.write.parquet(version)
         if dataset.temporary:
-            self.spark.read.schema(rows.schema).parquet(version).createOrReplaceTempView(
+            self.session.read.schema(rows.schema).parquet(version).createOrReplaceTempView(
                 dataset.name
             )
         else:
@@ -256,7 +275,6 @@ class Lake:
             self._create(dataset, rows.schema, path=version)
             table = self.table_name(dataset.name)
             self.spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
-            self.spark.catalog.refreshTable(table)
         # Keep one version back for readers that are still on it.
         for old in before[:-1]:
             files.delete(self.spark, f"{path}/{old}")
