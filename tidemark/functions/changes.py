@@ -13,6 +13,7 @@ def encode_changes(
     key_columns,
     *,
     op: str | Column = "c",
+    columns=None,
     json_columns=(),
     topic: str = "",
 ) -> DataFrame:
@@ -20,13 +21,13 @@ def encode_changes(
 
     ``op`` is c (create), u (update), r (snapshot) or d (delete), or a column
     holding one of them per row.  A delete carries the row as its before-image
-    only.  ``json_columns`` are written as JSON text inside a JSON string.
+    only.  ``columns`` (default: all) make up the image; ``json_columns`` are written as JSON text inside a JSON string.
     """
     op = F.lit(op) if isinstance(op, str) else op
     image = F.struct(
         *[
             F.to_json(F.col(c), _TEXT).alias(c) if c in json_columns else F.col(c)
-            for c in rows.columns
+            for c in (rows.columns if columns is None else columns)
         ]
     )
     payload = F.struct(
