@@ -51,17 +51,20 @@ def total(values):
     return sum(values) if values else None
 
 
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=10, deadline=None)
 @given(
     st.lists(line, **SMALL),
     st.lists(ids, **SMALL),
     st.lists(numbers, **SMALL),
-    st.sampled_from([(1, 1), (3, 1), (1, 2), (3, 2)]),
+    st.sampled_from([facts.NO_SALT, facts.Salting(3), facts.Salting(1, [(4, ["a"]), (2, ["b"])])]),
+    st.sampled_from([facts.NO_SALT, facts.Salting(2), facts.Salting(2, [(4, [1])])]),
 )
-def test_against_loops(spark, lines, products, customers, salts):
+def test_against_loops(spark, lines, products, customers, by_product, by_customer):
     s, p, c = frames(spark, lines, products, customers)
     expected = list(loops(lines, products, customers))
-    fact = facts.fact_sales_orders(s, p, c, product_salt=salts[0], customer_salt=salts[1])
+    fact = facts.fact_sales_orders(
+        s, p, c, product_salting=by_product, customer_salting=by_customer
+    )
     assert [f.name for f in fact.schema] == schemas.FACT_SALES_ORDER.names
     assert [f.dataType for f in fact.schema] == [f.dataType for f in schemas.FACT_SALES_ORDER]
     got = [tuple(r) for r in fact.collect()]
@@ -143,3 +146,28 @@ def test_hot_product_is_split(spark, tmp_path):
     fact = facts.fact_sales_orders(lines, products, customers)
     assert len(fact.toArrow()) == 300000
     assert "skewed" in fact._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_keys(spark):
+    # 3000 rows; on 12 partitions a share is 250 rows.
+    rows = spark.range(3000).selectExpr(
+        "CASE WHEN id < 1000 THEN 'hot' WHEN id < 1500 THEN 'warm' WHEN id < 1990 THEN 'mild' "
+        "WHEN id < 2900 THEN CAST(id AS STRING) END AS name"
+    )
+    named = rows.where("name IS NOT NULL").count()
+    assert named == 2900
+    # hot fills 4.1 partitions, warm 2.07 and mild 2.03.
+    assert facts.hot_keys(rows, "name", 12) == [(4, ["mild", "warm"]), (8, ["hot"])]
+    assert facts.hot_keys(rows, "name", 1) == []
+    assert facts.hot_keys(rows.where("false"), "name", 12) == []
+
+
+def test_salts_spread_a_hot_key(spark):
+    salting = {"product_id": facts.Salting(1, [(8, ["hot"])])}
+    lines = spark.range(8000).selectExpr("id", "'hot' AS product_id")
+    parts = facts._join_input(lines, salting, spread=True).groupBy("_product_id_salt").count()
+    assert parts.count() == 8
+    assert all(800 < r["count"] < 1200 for r in parts.collect())
+    products = spark.createDataFrame([("hot",), ("cold",)], "product_id string")
+    copies = facts._join_input(products, salting, spread=False).groupBy("product_id").count()
+    assert {r.product_id: r["count"] for r in copies.collect()} == {"hot": 8, "cold": 1}

@@ -116,7 +116,11 @@ def test_two_join_state_operators(spark, tmp_path):
     for name, shape in shapes.items():
         spark.createDataFrame([], shape).write.parquet(f"{tmp_path}/{name}")
         frames.append(spark.readStream.schema(shape).parquet(f"{tmp_path}/{name}"))
-    fact = facts.fact_sales_orders(*frames, product_salt=2, customer_salt=2)
+    fact = facts.fact_sales_orders(
+        *frames,
+        product_salting=facts.Salting(2),
+        customer_salting=facts.Salting(1, [(2, [7])]),
+    )
     query = (
         fact.writeStream.format("noop")
         .option("checkpointLocation", f"{tmp_path}/checkpoint")

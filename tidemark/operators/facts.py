@@ -6,21 +6,70 @@ each version of its product and of its customer.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _SALT_SEED = 20
 
 
+@dataclass(frozen=True)
+class Salting:
+    """How the rows of each key spread over the partitions of a streaming join.
+
+    ``hot`` holds (salts, keys) pairs for the keys that were found to hold many
+    rows; every other key gets ``base`` salts.
+    """
+
+    base: int = 1
+    hot: Sequence[tuple[int, Sequence]] = ()
+
+    @property
+    def used(self) -> bool:
+        return self.base > 1 or bool(self.hot)
+
+    def count(self, key: str) -> Column:
+        """The number of salts of a row's key."""
+        chosen = F.lit(self.base)
+        for salts, keys in self.hot:
+            chosen = F.when(F.col(key).isin(list(keys)), F.lit(max(salts, self.base))).otherwise(
+                chosen
+            )
+        return chosen
+
+
+NO_SALT = Salting()
+
+
+def hot_keys(rows: DataFrame, key: str, partitions: int) -> list[tuple[int, list]]:
+    """Keys with the rows of two or more average partitions (batch only).
+
+    Each comes with the number of partitions that it would fill, rounded up to a
+    power of two.  There are at most ``partitions / 2`` such keys, and their
+    numbers add up to at most twice ``partitions``.
+    """
+    rows = rows.where(F.col(key).isNotNull()).select(key)
+    share = rows.count() / partitions
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    found: dict[int, list] = {}
+    for row in counts.where(F.col("rows") >= 2 * share).orderBy(key).toLocalIterator():
+        fills = math.ceil(math.log2(row["rows"] / share))
+        found.setdefault(2**fills, []).append(row[key])
+    return sorted(found.items())
+
+
 def fact_sales_orders(
     lines: DataFrame,
     products: DataFrame,
     customers: DataFrame,
     *,
     date_name: str = "order_datetime",
-    product_salt: int = 1,
-    customer_salt: int = 1,
+    product_salting: Salting = NO_SALT,
+    customer_salting: Salting = NO_SALT,
 ) -> DataFrame:
     """Order lines with the keys of their product and customer.
 
@@ -30,24 +79,26 @@ def fact_sales_orders(
 
     A batch join leaves hot keys to AQE, which splits skewed partitions.  A
     streaming join hashes each key to one state partition for ever, so there
-    ``*_salt`` spreads the lines of each key over that many partitions and
-    copies the (small) dimension rows to all of them.
+    salting spreads the lines of a key over several, and copies the dimension
+    rows of that key to each of them.
     """
-    s = _join_input(lines, {"product_id": product_salt, "customer_id": customer_salt}, spread=True)
-    p = _join_input(products, {"product_id": product_salt}, spread=False)
-    c = _join_input(customers, {"customer_id": customer_salt}, spread=False)
+    salting = {"product_id": product_salting, "customer_id": customer_salting}
+    product_keys = _keys("product_id", product_salting)
+    customer_keys = _keys("customer_id", customer_salting)
+    s = _join_input(lines, salting, spread=True)
+    p = _join_input(products, {"product_id": product_salting}, spread=False)
+    c = _join_input(customers, {"customer_id": customer_salting}, spread=False)
     s = s.select(
         "order_number",
         F.col("order_datetime").try_cast("date").alias(date_name),
         "unit_price",
         "quantity",
-        *_keys("product_id", product_salt),
-        *_keys("customer_id", customer_salt),
+        *product_keys,
+        *customer_keys,
     )
-    p = p.select("product_key", *_keys("product_id", product_salt))
-    c = c.select("customer_key", *_keys("customer_id", customer_salt))
-    joined = s.join(p, _keys("product_id", product_salt), "inner")
-    joined = joined.join(c, _keys("customer_id", customer_salt), "inner")
+    p = p.select("product_key", *product_keys)
+    c = c.select("customer_key", *customer_keys)
+    joined = s.join(p, product_keys, "inner").join(c, customer_keys, "inner")
     return joined.select(
         "order_number",
         "customer_key",
@@ -95,28 +146,32 @@ def customer_sales(fact: DataFrame) -> DataFrame:
     )
 
 
-def _join_input(rows: DataFrame, salts: dict[str, int], *, spread: bool) -> DataFrame:
-    """``rows`` ready to join on the keys of ``salts``.
+def _join_input(rows: DataFrame, salting: dict[str, Salting], *, spread: bool) -> DataFrame:
+    """``rows`` ready to join on the keys of ``salting``.
 
     With ``spread`` each row gets one salt per key, otherwise it is copied to
-    all salts.  On a stream, which is read straight from a table or the bus,
-    salts are drawn at random, so even identical rows part; a task that runs
-    again reads the same rows in the same order and draws the same salts.  A
-    batch frame may come out of a shuffle, so there the row's content decides.
+    all salts of its key.  On a stream, which is read straight from a table or
+    the bus, salts are drawn at random, so even identical rows part; a task that
+    runs again reads the same rows in the same order and draws the same salts.
+    A batch frame may come out of a shuffle, so there the row's content decides.
     """
     columns = rows.columns
-    for seed, (key, buckets) in enumerate(salts.items(), start=_SALT_SEED):
+    for seed, (key, salts) in enumerate(salting.items(), start=_SALT_SEED):
         if rows.isStreaming:
             rows = _without_nulls(rows, key)
-        if buckets > 1 and spread:
-            if rows.isStreaming:
-                drawn = F.floor(F.rand(seed) * buckets)
-            else:
-                drawn = F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(buckets))
-            rows = rows.withColumn(_salt(key), F.coalesce(drawn.cast("int"), F.lit(0)))
-        elif buckets > 1:
-            every = F.sequence(F.lit(0), F.lit(buckets - 1))
-            rows = rows.withColumn(_salt(key), F.explode(every))
+        if not salts.used:
+            continue
+        count = salts.count(key)
+        if not spread:
+            salt = F.explode(F.sequence(F.lit(0), count - 1))
+        elif rows.isStreaming:
+            salt = F.floor(F.rand(seed) * count)
+        else:
+            salt = F.pmod(F.xxhash64(F.lit(seed), *columns), count)
+        rows = rows.withColumn(_salt(key), salt)
+        if spread:
+            # Never NULL by its type either, see below.
+            rows = rows.withColumn(_salt(key), F.coalesce(F.col(_salt(key)).cast("int"), F.lit(0)))
     return rows
 
 
@@ -136,5 +191,5 @@ def _salt(key: str) -> str:
     return f"_{key}_salt"
 
 
-def _keys(key: str, buckets: int) -> list[str]:
-    return [key] if buckets == 1 else [key, _salt(key)]
+def _keys(key: str, salting: Salting) -> list[str]:
+    return [key, _salt(key)] if salting.used else [key]

@@ -413,8 +413,8 @@ def fact_sales_orders_salted(spark: SparkSession, folder: str) -> DataFrame:
         _sales_lines(spark, folder),
         _dim_products(spark, folder),
         _dim_customers(spark, folder),
-        product_salt=4,
-        customer_salt=3,
+        product_salting=facts.Salting(2, [(8, ["0", "1", "2"])]),
+        customer_salting=facts.Salting(3, [(4, [0, 1])]),
     )
 
 

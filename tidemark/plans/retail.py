@@ -12,6 +12,10 @@ from tidemark.streaming.lake import KEYED, RECOMPUTED, Dataset
 
 GOLD = {"quality": "gold"}
 
+# The most that a micro-batch reads of one input, so that filling a new lake from
+# a long history goes in steps that each commit.
+BATCH_BYTES = str(512 * 1024**3)
+
 Source = Callable[[SparkSession], DataFrame]
 
 
@@ -19,18 +23,22 @@ def retail_datasets(
     sources: Mapping[str, Source],
     *,
     order_mode: str = "nested",
-    product_salt: int = 8,
-    customer_salt: int = 8,
+    product_salt: int = 4,
+    customer_salt: int = 4,
     read_options: Mapping[str, str] | None = None,
 ) -> list[Dataset]:
     """All datasets, given a message source per captured table.
 
     ``sources`` maps ``sales_orders``, ``customers`` and ``products`` to a
-    function that opens the stream of its messages.  Raise the salts with the
-    share of rows that one product or one customer may hold; each costs as many
-    copies of its dimension in the join state.
+    function that opens the stream of its messages.
+
+    Before the order-line fact starts, the lines that are there show which
+    products and customers hold more than their share of rows, and over how many
+    join partitions each has to spread.  The salts are for keys that grow hot
+    later: every key spreads over so many partitions, at the price of as many
+    copies of its dimension row in the join state.
     """
-    options = dict(read_options or {})
+    options = {"maxBytesPerTrigger": BATCH_BYTES, **(read_options or {})}
     return [
         _raw("sales_orders", sources, reset_allowed=False),
         _raw("customers", sources, reset_allowed=True),
@@ -85,12 +93,10 @@ def retail_datasets(
         ),
         Dataset(
             "fact_sales_orders",
-            lambda spark, lines, products, customers: facts.fact_sales_orders(
-                lines,
-                products,
-                customers,
-                product_salt=product_salt,
-                customer_salt=customer_salt,
+            lambda spark, *inputs, hot_products, hot_customers: facts.fact_sales_orders(
+                *inputs,
+                product_salting=facts.Salting(product_salt, hot_products),
+                customer_salting=facts.Salting(customer_salt, hot_customers),
             ),
             ["sales_orders_cleansed", "dim_products", "dim_customers"],
             schema=schemas.FACT_SALES_ORDER,
@@ -98,6 +104,7 @@ def retail_datasets(
             properties=GOLD,
             read_options=options,
             pinned={"product_salt": product_salt, "customer_salt": customer_salt},
+            measure=_hot_keys,
         ),
         Dataset(
             "fact_customer_sales",
@@ -127,6 +134,14 @@ def retail_datasets(
     ]
 
 
+def _hot_keys(spark: SparkSession, lines: DataFrame, *dimensions: DataFrame) -> dict:
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return {
+        "hot_products": facts.hot_keys(lines, "product_id", partitions),
+        "hot_customers": facts.hot_keys(lines, "customer_id", partitions),
+    }
+
+
 def _raw(table: str, sources: Mapping[str, Source], *, reset_allowed: bool) -> Dataset:
     return Dataset(
         f"{table}_raw",

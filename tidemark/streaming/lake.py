@@ -42,7 +42,9 @@ class Dataset:
     full refresh.  A ``temporary`` stream is a view only; other temporary
     datasets are stored but not put in the catalog.  ``read_options`` go to the
     streaming reads of the inputs, e.g. ``maxFilesPerTrigger``.  ``pinned``
-    settings may only change with a full refresh.
+    settings may only change with a full refresh.  ``measure`` is called like
+    ``build``, with the complete inputs, before the first start; ``build`` gets
+    the dict it returns (plain JSON values) as keywords, until a full refresh.
     """
 
     name: str
@@ -59,6 +61,7 @@ class Dataset:
     temporary: bool = False
     read_options: Mapping[str, str] = field(default_factory=dict)
     pinned: Mapping[str, int | str] = field(default_factory=dict)
+    measure: Callable[..., dict] | None = None
 
     def __post_init__(self):
         if self.kind not in (STREAM, KEYED, RECOMPUTED):
@@ -193,13 +196,13 @@ class Lake:
         reader = reader.option("recursiveFileLookup", "true")
         return reader.schema(self.datasets[name].schema).parquet(self._path(name))
 
-    def _built(self, dataset: Dataset) -> DataFrame:
+    def _built(self, dataset: Dataset, measured: dict) -> DataFrame:
         if dataset.kind == RECOMPUTED:
             frames = [self._read(self.session, i) for i in dataset.inputs]
         else:
             frames = [self.stream(i, dataset.read_options) for i in dataset.inputs]
         if callable(dataset.build):
-            return dataset.build(self.session, *frames)
+            return dataset.build(self.session, *frames, **measured)
         for name, frame in zip(dataset.inputs, frames):
             frame.createOrReplaceTempView(name)
         rows = self.session.sql(dataset.build)
@@ -211,11 +214,11 @@ class Lake:
     def _start(self, dataset: Dataset, **trigger) -> StreamingQuery | None:
         if dataset.kind == RECOMPUTED:
             return None
-        rows = self._built(dataset)
         if self._is_view(dataset.name):
-            conform(rows, dataset.schema).createOrReplaceTempView(dataset.name)
+            rows = conform(self._built(dataset, {}), dataset.schema)
+            rows.createOrReplaceTempView(dataset.name)
             return None
-        self._check_pinned(dataset)
+        rows = self._built(dataset, self._pinned(dataset))
         if dataset.kind == STREAM:
             rows = conform(rows, dataset.schema)
         writer = (
@@ -260,7 +263,7 @@ class Lake:
         return write
 
     def _replace(self, dataset: Dataset) -> None:
-        rows = conform(self._built(dataset), dataset.schema)
+        rows = conform(self._built(dataset, {}), dataset.schema)
         path = self._path(dataset.name)
         before = sorted(files.child_names(self.spark, path))
         number = int(before[-1].split("-")[1]) + 1 if before else 0
@@ -311,16 +314,25 @@ class Lake:
     def _pinned_path(self, name: str) -> str:
         return f"{self.root}/pinned/{name}.json"
 
-    def _check_pinned(self, dataset: Dataset) -> None:
-        stored = files.read_text(self.spark, self._pinned_path(dataset.name))
-        now = json.dumps(dict(dataset.pinned), sort_keys=True)
-        if stored is None:
-            files.write_text(self.spark, self._pinned_path(dataset.name), now)
-        elif stored != now:
+    def _pinned(self, dataset: Dataset) -> dict:
+        """What was measured for the dataset; its pinned settings are checked."""
+        path = self._pinned_path(dataset.name)
+        given = json.loads(json.dumps(dict(dataset.pinned)))
+        text = files.read_text(self.spark, path)
+        if text is None:
+            measured = {}
+            if dataset.measure is not None:
+                complete = [self._read(self.session, i) for i in dataset.inputs]
+                measured = dataset.measure(self.session, *complete)
+            text = json.dumps({"given": given, "measured": measured})
+            files.write_text(self.spark, path, text)
+        stored = json.loads(text)
+        if stored["given"] != given:
             raise ValueError(
-                f"{dataset.name} was started with {stored}, not {now}: its join state would "
-                "miss matches; go back to those settings or do a full refresh"
+                f"{dataset.name} was started with {stored['given']}, not {given}: its join state "
+                "would miss matches; go back to those settings or do a full refresh"
             )
+        return stored["measured"]
 
     def _check_batches(self, dataset: Dataset) -> None:
         started = files.exists(self.spark, f"{self._checkpoint(dataset.name)}/offsets")
