@@ -128,3 +128,20 @@ def test_csv_with_a_bad_number(spark, tmp_path):
 
 def test_scratch_follows_the_cluster_setting(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_one_more_row(spark):
+    """A literal row, captured and cleansed."""
+    from tidemark.functions.decimals import decode_scaled_decimal, encode_scaled_decimal
+    from tidemark.operators.cleanse import cleanse_customers
+
+    row = spark.sql(
+        "SELECT 100 AS customer_id, 'Ann' AS customer_name, CAST(-83.1629844 AS DOUBLE) AS lon, "
+        "15740 AS units"
+    ).withColumn("units_purchased", encode_scaled_decimal(F.col("units"), 1))
+    message = encode_changes(row, ["customer_id"], topic="retail.public.customers")
+    (got,) = cleanse_customers(raw.as_text(message)).withColumn(
+        "units_purchased", decode_scaled_decimal(F.col("units_purchased"), 1)
+    ).collect()
+    assert (got.customer_id, got.customer_name, str(got.lon)) == (100, "Ann", "-83.162984")
+    assert str(got.units_purchased) == "1574.0"

@@ -55,6 +55,7 @@ def order_rows(spark: SparkSession, folder: str) -> DataFrame:
         .withColumn(
             "piece", F.coalesce(F.pmod(F.xxhash64("place"), F.col("pieces")), F.lit(0))
         )
+        .repartition("l_orderkey", "piece")
         .groupBy("l_orderkey", "piece")
         .agg(
             F.coalesce(F.max("order_lines"), F.count(F.lit(1))).alias("number_of_line_items"),
