@@ -56,6 +56,10 @@ def bus(spark, tmp_path):
     return Bus(spark, str(tmp_path))
 
 
+def measured(lake):
+    return json.loads(files.read_text(lake.spark, lake._pinned_path("fact_sales_orders")))["measured"]
+
+
 def numbers(lake):
     rows = lake.read("fact_sales_orders").collect()
     return sorted((r.order_number, r.product_key, r.customer_key) for r in rows)
@@ -67,13 +71,17 @@ def test_retail_story(bus, database):
     bus.order(1, "a")
     bus.lake(database).update()
     assert numbers(bus.lake(database)) == []
+    # All lines on one key fill both of the two partitions.
+    hot = {"hot_products": [[2, ["a"]]], "hot_customers": [[2, [1]]]}
+    assert measured(bus.lake(database)) == hot
 
     bus.send("products", {"product_id": "a"}, {"product_id": "b"})
     bus.send("customers", {"customer_id": 1})
     bus.lake(database).update()
     assert numbers(bus.lake(database)) == [(1, 1, 1)]
 
-    # Nothing new: nothing is added.
+    # Nothing new: nothing is added, also where the catalog has been lost.
+    bus.spark.sql(f"DROP DATABASE {database} CASCADE")
     bus.lake(database).update()
     assert numbers(bus.lake(database)) == [(1, 1, 1)]
 
@@ -106,6 +114,20 @@ def test_retail_story(bus, database):
     assert sorted(keys) == [1, 2, 3]
 
 
+def test_many_micro_batches(bus, database):
+    """Bounded reads give the same rows, however the batches fall."""
+    for number in range(4):
+        bus.order(number, "ab"[number % 2])
+    bus.send("products", {"product_id": "b"})
+    bus.send("products", {"product_id": "a"})
+    bus.send("customers", {"customer_id": 1})
+    lake = bus.lake(database, read_options={"maxFilesPerTrigger": "1"})
+    lake.update()
+    keys = {r.product_id: r.product_key for r in lake.read("dim_products").collect()}
+    assert sorted(keys.values()) == [1, 2]
+    assert numbers(lake) == [(n, keys["ab"[n % 2]], 1) for n in range(4)]
+
+
 def test_two_join_state_operators(spark, tmp_path):
     shapes = {
         "s": schemas.pick(schemas.ORDER_LINE, schemas.ORDER_LINE.names),

@@ -30,7 +30,8 @@ def retail_datasets(
     """All datasets, given a message source per captured table.
 
     ``sources`` maps ``sales_orders``, ``customers`` and ``products`` to a
-    function that opens the stream of its messages.
+    function that opens the stream of its messages.  ``read_options`` replace
+    the bound on what a micro-batch reads of a table.
 
     Before the order-line fact starts, the lines that are there show which
     products and customers hold more than their share of rows, and over how many
@@ -38,7 +39,7 @@ def retail_datasets(
     later: every key spreads over so many partitions, at the price of as many
     copies of its dimension row in the join state.
     """
-    options = {"maxBytesPerTrigger": BATCH_BYTES, **(read_options or {})}
+    options = {"maxBytesPerTrigger": BATCH_BYTES} if read_options is None else read_options
     return [
         _raw("sales_orders", sources, reset_allowed=False),
         _raw("customers", sources, reset_allowed=True),

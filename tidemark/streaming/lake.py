@@ -136,12 +136,16 @@ class Lake:
         """Bring every dataset up to date with what its sources hold now, then stop."""
         for level in self._levels:
             queries = []
-            for dataset in level:
-                query = self._start(dataset, availableNow=True)
-                if query is not None:
-                    queries.append(query)
-            for query in queries:
-                query.awaitTermination()
+            try:
+                for dataset in level:
+                    query = self._start(dataset, availableNow=True)
+                    if query is not None:
+                        queries.append(query)
+                for query in queries:
+                    query.awaitTermination()
+            finally:
+                for query in queries:
+                    query.stop()
             self.recompute(level)
 
     def start(self) -> list[StreamingQuery]:
