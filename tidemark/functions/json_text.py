@@ -8,6 +8,11 @@ from pyspark.sql import types as T
 
 from tidemark.schemas import STRING, struct
 
+# Where the changed row is, and the pattern replacements that take
+# the quotes off its arrays, in order.
+AFTER_PATH = "$.payload.after"
+QUOTE_REPLACEMENTS = ((r'"\[', "["), (r'\]"', "]"), (r"\\", ""))
+
 
 def after_image(value: Column) -> Column:
     """JSON text of the row after the change.
@@ -15,7 +20,7 @@ def after_image(value: Column) -> Column:
     NULL for a delete, a tombstone and text that is not JSON.  Numbers are
     written anew on the way (``1.50`` becomes ``1.5``).
     """
-    return F.get_json_object(value, "$.payload.after")
+    return F.get_json_object(value, AFTER_PATH)
 
 
 def parse_after(value: Column, schema: T.StructType) -> Column:
@@ -35,9 +40,9 @@ def strip_array_quotes(row: Column) -> Column:
     This edits the row as text, so a value that holds a quote, or that starts or
     ends with a square bracket, breaks the document.
     """
-    opened = F.regexp_replace(row, r'"\[', "[")
-    closed = F.regexp_replace(opened, r'\]"', "]")
-    return F.regexp_replace(closed, r"\\", "")
+    for pattern, replacement in QUOTE_REPLACEMENTS:
+        row = F.regexp_replace(row, pattern, replacement)
+    return row
 
 
 def epoch_to_text(seconds: Column) -> Column:

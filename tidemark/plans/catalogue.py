@@ -431,12 +431,9 @@ def fact_sales_orders_sql(spark: SparkSession, folder: str) -> DataFrame:
         frame.createOrReplaceTempView(f"{name}_{tag}")
     rows = spark.sql(
         f"""
-        SELECT s.order_number, c.customer_key, p.product_key,
-               CAST(s.order_datetime AS DATE) AS order_date, s.unit_price, s.quantity,
-               CAST(s.unit_price AS BIGINT) * s.quantity AS total_price
-        FROM lines_{tag} s
-        INNER JOIN products_{tag} p ON s.product_id = p.product_id
-        INNER JOIN customers_{tag} c ON s.customer_id = c.customer_id
+        SELECT order_number, customer_key, product_key, to_date(order_datetime) AS order_date,
+               unit_price, quantity, unit_price * CAST(quantity AS BIGINT) AS total_price
+        FROM lines_{tag} JOIN products_{tag} USING (product_id) JOIN customers_{tag} USING (customer_id)
         """
     )
     for name in views:

@@ -120,12 +120,7 @@ def retail_datasets(
         ),
         Dataset(
             "customer_sales",
-            """
-            SELECT customer_key, product_key,
-                   sum(quantity) AS total_quantity, sum(total_price) AS sale_amount
-            FROM fact_sales_orders
-            GROUP BY customer_key, product_key
-            """,
+            lambda spark, fact: facts.customer_sales(fact),
             ["fact_sales_orders"],
             kind=RECOMPUTED,
             schema=schemas.CUSTOMER_SALES,
