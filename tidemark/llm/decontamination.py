@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField
 
-from tidemark.llm.tables import column, map_texts, staged
+from tidemark.llm.tables import column, map_arrow, map_texts, staged
 
 WIDTH = 10
 BLOCK_BYTES = 16 << 20
@@ -199,7 +199,7 @@ def _map_again(frame: DataFrame, make) -> DataFrame:
             made = [pa.array(v, t) for v, t in zip(work(texts, before), types, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *made], schema.names)
 
-    return narrowed.mapInArrow(run, schema)
+    return map_arrow(narrowed, run, schema)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:

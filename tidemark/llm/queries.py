@@ -4,16 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe_counts, decontamination, simhash
+from tidemark.llm import (
+    bpe_counts,
+    credentials,
+    decontamination,
+    licenses,
+    mixing,
+    quality,
+    recurrent_lm,
+    simhash,
+    toxicity,
+    url_filter,
+)
 from tidemark.llm.tables import read_table
 
 
+def op1_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return credentials.secret_report(read_table(spark, folder, "documents"))
+
+
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contamination(
         read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark")
     )
 
 
+def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix_report(read_table(spark, folder, "documents"))
+
+
+def op4_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return recurrent_lm.score(read_table(spark, folder, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -22,14 +45,41 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.url_verdicts(read_table(spark, folder, "pages"))
+
+
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_verdicts(read_table(spark, folder, "documents"))
+
+
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    return toxicity.severities(docs, toxicity.train(docs, read_table(spark, folder, "labels")))
+
+
+def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.license_report(read_table(spark, folder, "documents"))
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, folder, "documents"))
 
 
 QUERIES = {
-    "op2_decontamination": op2_decontamination,
-    "op5_token_counts": op5_token_counts,
-    "op10_simhash": op10_simhash,
+    run.__name__: run
+    for run in (
+        op1_secrets,
+        op2_decontamination,
+        op3_mixing,
+        op4_lm_scores,
+        op5_token_counts,
+        op6_url_filter,
+        op7_quality,
+        op8_toxicity,
+        op9_licenses,
+        op10_simhash,
+    )
 }
 
 SQL: dict[str, str] = {}

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.llm.components import connected_components
-from tidemark.llm.tables import map_texts, staged
+from tidemark.llm.tables import map_arrow, map_texts, staged
 
 SEED = 42
 SHINGLE = 3
@@ -110,7 +110,7 @@ def links(distinct: DataFrame, *, radius: int = RADIUS, block: int = BLOCK) -> D
     dealt = home.select("tile", "block", "guest", "fp").union(guests).union(earlier)
     dealt = dealt.repartition("tile", "block").sortWithinPartitions("tile", "block", "guest")
     schema = StructType([StructField("a", LongType()), StructField("b", LongType())])
-    return dealt.mapInArrow(lambda batches: _compare(batches, radius), schema)
+    return map_arrow(dealt, lambda batches: _compare(batches, radius), schema)
 
 
 class _Block:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
+import tempfile
 from collections.abc import Callable, Sequence
 
 import pyarrow as pa
@@ -42,6 +46,22 @@ def staged(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def map_arrow(frame: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` with this package sent to the executors first, once per context."""
+    context = frame.sparkSession.sparkContext
+    if not getattr(context, "_tidemark_sent", False):
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        # The driver serves the archive to executors as they come, so it stays
+        # until the driver ends.
+        folder = os.path.realpath(tempfile.mkdtemp(prefix="tidemark-"))
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        archive = os.path.join(folder, "tidemark")
+        root, name = os.path.split(package)
+        context.addPyFile(shutil.make_archive(archive, "zip", root, name))
+        context._tidemark_sent = True
+    return frame.mapInArrow(run, schema)
+
+
 def map_texts(
     frame: DataFrame,
     text: str,
@@ -66,7 +86,7 @@ def map_texts(
             made = [pa.array(v, t) for v, t in zip(work(texts), types, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *made], names)
 
-    return narrowed.mapInArrow(run, schema)
+    return map_arrow(narrowed, run, schema)
 
 
 def _arrow_type(kind) -> pa.DataType:
