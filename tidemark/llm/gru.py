@@ -18,7 +18,7 @@ import numpy as np
 HIDDEN = 16
 LANES = 512
 WINDOW = 16
-RATE = 0.08
+RATE = 0.15
 
 
 class Layout:
@@ -85,19 +85,27 @@ def lanes(documents: list[np.ndarray], width: int = LANES) -> tuple[np.ndarray,
     return np.ascontiguousarray(tokens.T), np.ascontiguousarray(owner.T)
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+_SAFE = 40.0
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _log_softmax(x: np.ndarray, bound: float) -> tuple[np.ndarray, np.ndarray]:
+    """Logarithms and values of a softmax over rows; no |x| is above ``bound``."""
+    if bound > _SAFE:
+        x = x - x.max(axis=1, keepdims=True)
+    e = np.exp(x)
+    total = e @ np.ones((x.shape[1], 1), np.float32)
+    return x - np.log(total), e / total
+
+
+def _bound(w: np.ndarray, bias: np.ndarray) -> float:
+    # A state lies within -1 and 1.
+    return float((np.abs(w).sum(axis=-2) + np.abs(bias)).max())
 
 
 class Network:
     def __init__(self, layout: Layout, weights: dict[str, np.ndarray]):
         self.layout, self.w = layout, {k: v.copy() for k, v in weights.items()}
-        self.seen = {k: np.full(v.shape, 1e-3, np.float32) for k, v in weights.items()}
+        self.seen = {k: np.full(v.shape, 1e-4, np.float32) for k, v in weights.items()}
 
     def log_likelihoods(self, documents, entry, classes, within) -> np.ndarray:
         """Natural log-probabilities, per document, of classes and head words."""
@@ -135,68 +143,90 @@ class Network:
         w, size = self.w, self.layout.hidden
         steps, width = came.shape
         enter = w["enter"][came]
-        keep = (~fresh).astype(np.float32)[:, :, None]
+        clear = [np.flatnonzero(f) for f in fresh]
         shape = (steps, width, size)
-        hidden, prev, gate, reset, fresh_state, inner = (np.empty(shape, np.float32) for _ in range(6))
+        hidden, prev, new, inner = (np.empty(shape, np.float32) for _ in range(4))
+        gates = np.empty((steps, width, 2 * size), np.float32)
         for t in range(steps):
-            state = state * keep[t]
+            if len(clear[t]):
+                state = state.copy()
+                state[clear[t]] = 0
             again = state @ w["again"]
-            both = _sigmoid(enter[t, :, : 2 * size] + again[:, : 2 * size])
-            prev[t], gate[t], reset[t], inner[t] = state, both[:, :size], both[:, size:], again[:, 2 * size :]
-            fresh_state[t] = np.tanh(enter[t, :, 2 * size :] + reset[t] * inner[t])
-            state = fresh_state[t] + gate[t] * (state - fresh_state[t])
-            hidden[t] = state
+            both = gates[t]
+            np.add(enter[t, :, : 2 * size], again[:, : 2 * size], out=both)
+            both *= 0.5
+            np.tanh(both, out=both)
+            both *= 0.5
+            both += 0.5
+            prev[t], inner[t] = state, again[:, 2 * size :]
+            np.tanh(enter[t, :, 2 * size :] + both[:, size:] * inner[t], out=new[t])
+            np.add(new[t], both[:, :size] * (state - new[t]), out=hidden[t])
+            state = hidden[t]
         flat, target, word = hidden.reshape(-1, size), target.ravel(), word.ravel()
         ok = valid.ravel()
         rows = np.arange(len(flat))
-        log_class = _log_softmax(flat @ w["out"] + w["out_bias"])
+        log_class, share = _log_softmax(
+            flat @ w["out"] + w["out_bias"], _bound(w["out"], w["out_bias"])
+        )
         out = log_class[rows, target]
         if learn:
-            d_class = np.exp(log_class)
-            d_class[rows, target] -= 1
-            d_class[~ok] = 0
-            d_hidden = d_class @ w["out"].T
-            grads = {"out": flat.T @ d_class, "out_bias": d_class.sum(axis=0)}
+            share[rows, target] -= 1
+            share[~ok] = 0
+            d_hidden = share @ w["out"].T
+            grads = {"out": flat.T @ share, "out_bias": share.sum(axis=0)}
             g_word, g_bias = np.zeros_like(w["word"]), np.zeros_like(w["word_bias"])
-        order = np.argsort(target, kind="stable")
+        # Tokens of one class stand together, so that each class is one product.
+        order = np.argsort(target.astype(np.int16), kind="stable")
         bounds = np.searchsorted(target[order], np.arange(self.layout.head_classes + 1))
+        bound = _bound(w["word"], w["word_bias"])
         for k in range(self.layout.head_classes):
             at = order[bounds[k] : bounds[k + 1]]
             if not len(at):
                 continue
             some = flat[at]
-            log_word = _log_softmax(some @ w["word"][k] + w["word_bias"][k])
+            log_word, share = _log_softmax(some @ w["word"][k] + w["word_bias"][k], bound)
             i = np.arange(len(at))
             out[at] += log_word[i, word[at]]
             if learn:
-                d = np.exp(log_word)
-                d[i, word[at]] -= 1
-                d[~ok[at]] = 0
-                d_hidden[at] += d @ w["word"][k].T
-                g_word[k], g_bias[k] = some.T @ d, d.sum(axis=0)
+                share[i, word[at]] -= 1
+                share[~ok[at]] = 0
+                d_hidden[at] += share @ w["word"][k].T
+                g_word[k], g_bias[k] = some.T @ share, share.sum(axis=0)
         if learn:
             grads |= {"word": g_word, "word_bias": g_bias}
             d_hidden = d_hidden.reshape(shape)
+            gate, reset = gates[:, :, :size], gates[:, :, size:]
+            by_new = (1 - gate) * (1 - new * new)
+            by_gate = (prev - new) * gate * (1 - gate)
+            by_reset = inner * reset * (1 - reset)
             d_enter = np.empty((steps, width, 3 * size), np.float32)
-            d_again = np.empty_like(d_enter)
+            d_inner = np.empty(shape, np.float32)
+            to_gates, to_inner = w["again"][:, : 2 * size].T, w["again"][:, 2 * size :].T
             back = np.zeros((width, size), np.float32)
             for t in range(steps - 1, -1, -1):
                 d = d_hidden[t] + back
-                d_new = d * (1 - gate[t]) * (1 - fresh_state[t] ** 2)
-                d_gate = d * (prev[t] - fresh_state[t]) * gate[t] * (1 - gate[t])
-                d_reset = d_new * inner[t] * reset[t] * (1 - reset[t])
-                d_enter[t] = np.concatenate((d_gate, d_reset, d_new), axis=1)
-                d_again[t] = np.concatenate((d_gate, d_reset, d_new * reset[t]), axis=1)
-                back = (d * gate[t] + d_again[t] @ w["again"].T) * keep[t]
-            grads["again"] = prev.reshape(-1, size).T @ d_again.reshape(-1, 3 * size)
-            self._learn(grads, came.ravel(), d_enter.reshape(-1, 3 * size), max(1, int(ok.sum())))
+                d_new = d_enter[t, :, 2 * size :]
+                np.multiply(d, by_new[t], out=d_new)
+                np.multiply(d, by_gate[t], out=d_enter[t, :, :size])
+                np.multiply(d_new, by_reset[t], out=d_enter[t, :, size : 2 * size])
+                np.multiply(d_new, reset[t], out=d_inner[t])
+                back = d * gate[t] + d_enter[t, :, : 2 * size] @ to_gates + d_inner[t] @ to_inner
+                if len(clear[t]):
+                    back[clear[t]] = 0
+            before = prev.reshape(-1, size).T
+            d_enter = d_enter.reshape(-1, 3 * size)
+            grads["again"] = np.concatenate(
+                (before @ d_enter[:, : 2 * size], before @ d_inner.reshape(-1, size)), axis=1
+            )
+            # A window of few tokens moves the weights little.
+            self._learn(grads, came.ravel(), d_enter, LANES * WINDOW)
         return state, out.reshape(steps, width)
 
     def _learn(self, grads, came, d_enter, n) -> None:
         """Adagrad; of the input table only the rows in use are touched."""
         for name, g in grads.items():
             self._move(name, slice(None), g / n)
-        order = np.argsort(came, kind="stable")
+        order = np.argsort(came.astype(np.int16), kind="stable")
         sorted_ = came[order]
         starts = np.flatnonzero(np.concatenate(([True], sorted_[1:] != sorted_[:-1])))
         self._move("enter", sorted_[starts], np.add.reduceat(d_enter[order], starts, axis=0) / n)
