@@ -16,6 +16,7 @@ from tidemark.llm import (
     toxicity,
     url_filter,
 )
+from tidemark.llm.sql import SQL
 from tidemark.llm.tables import read_table
 
 
@@ -82,4 +83,5 @@ QUERIES = {
     )
 }
 
-SQL: dict[str, str] = {}
+
+__all__ = ["QUERIES", "SQL"]

@@ -208,7 +208,8 @@ def score(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Dat
         F.count_if(F.col("n_train") > 0),
         F.coalesce(F.sum("n_all"), F.lit(0)),
     ).first()
-    hot = F.col("n_all") * HOT_SHARE >= tokens
+    # The end token is broadcast even where documents are very long.
+    hot = (F.col("n_all") * HOT_SHARE >= tokens) | (F.length("word") == 0)
     known = [(bytes(r.word), r.n_train) for r in counts.where(hot).toLocalIterator()]
     known.sort(key=lambda x: (-x[1], x[0]))
     rare = counts.where(~hot)

@@ -1,7 +1,7 @@
 """Toxicity grades by cumulative-link ordinal regression on sparse text features.
 
-Features are the distinct lower-case words of a text and the words' first five
-letters.  One weight vector is shared by all thresholds: the chance that the
+Features are the distinct lower-case words of a text and their beginnings of
+five to eight letters, so that compounds share what they begin with.  One weight vector is shared by all thresholds: the chance that the
 grade is above k is sigmoid(s - threshold_k), s being the sum of the weights.
 The expected severity is the sum of these chances.
 
@@ -32,10 +32,11 @@ from tidemark.llm.tables import column, map_texts, staged
 
 SAMPLE = 10_000
 FEATURES = 5_000
-LEAST_DOCS, LEAST_CHI2 = 5, 15.0
+LEAST_DOCS, LEAST_CHI2 = 5, 30.0
 GRADES = 4
-STEM = 5
-CACHED_WORDS = 500_000
+STEMS = (5, 6, 7, 8)
+CACHED_WORDS = 300_000
+STEPS, RIDGE = 1000, 3e-6
 # Everything but letters, digits and non-ASCII characters parts words.
 _WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
@@ -43,13 +44,14 @@ _WORD_BYTES = bytes(
 )
 
 
-def _stem(word: bytes) -> bytes:
-    return b"^" + word.decode("utf-8", "replace")[:STEM].encode()
+def _stems(word: bytes) -> list[bytes]:
+    letters = word.decode("utf-8", "replace")
+    return [b"^" + letters[:n].encode() for n in STEMS if len(letters) >= n]
 
 
 def _features(text: bytes | None) -> set[bytes]:
     words = set(text.translate(_WORD_BYTES).split()) if text else set()
-    return words | {_stem(w) for w in words if len(w) > STEM}
+    return words.union(*map(_stems, words))
 
 
 @dataclass
@@ -65,17 +67,15 @@ class OrdinalModel:
         return above.sum(axis=1), above
 
 
-class _WordWeights(dict):
-    """Of each word its weight, and its stem if that has a weight."""
+class _WordFeatures(dict):
+    """Of each word the features with a weight; most have none."""
 
     def __init__(self, weights):
         super().__init__()
         self.weights = weights
 
     def __missing__(self, word: bytes):
-        own = self.weights.get(word, 0.0)
-        stem = _stem(word) if len(word) > STEM else None
-        value = (own, stem if stem in self.weights else None)
+        value = tuple(f for f in (word, *_stems(word)) if f in self.weights)
         if len(self) < CACHED_WORDS:
             self[word] = value
         return value
@@ -92,7 +92,7 @@ def fit(rows: np.ndarray, columns: np.ndarray, grades: np.ndarray, weight: np.nd
     free = np.array([1.0] + [0.0] * (k - 1))
     moments = [np.zeros(n + k), np.zeros(n + k)]
     scale = weight / weight.sum()
-    for step in range(1, 401):
+    for step in range(1, STEPS + 1):
         gaps = np.exp(free[1:])
         cut = np.concatenate(([free[0]], free[0] + np.cumsum(gaps)))
         s = np.bincount(rows, weights=w[columns], minlength=len(grades))
@@ -107,7 +107,7 @@ def fit(rows: np.ndarray, columns: np.ndarray, grades: np.ndarray, weight: np.nd
         d_cut[at, grades] += low * (1 - low) / p * scale
         d_cut = d_cut[:, 1:-1].sum(axis=0)
         d_free = np.concatenate(([d_cut.sum()], [d_cut[i:].sum() * gaps[i - 1] for i in range(1, k)]))
-        d_w = np.bincount(columns, weights=d_s[rows], minlength=n) + 1e-5 * w
+        d_w = np.bincount(columns, weights=d_s[rows], minlength=n) + RIDGE * w
         g = np.concatenate((d_w, d_free))
         moments[0] = 0.9 * moments[0] + 0.1 * g
         moments[1] = 0.99 * moments[1] + 0.01 * g * g
@@ -184,18 +184,15 @@ def severities(
     """Expected severity (0 to 3), likeliest grade, and whether the text is likelier toxic than not."""
 
     def make():
-        words = _WordWeights(model.weights)
+        features = _WordFeatures(model.weights)
 
         def work(texts):
             sums = np.zeros(len(texts))
             for i, value in enumerate(texts):
-                stems, total = set(), 0.0
-                for w in set(value.translate(_WORD_BYTES).split()) if value else ():
-                    own, stem = words[w]
-                    total += own
-                    if stem is not None:
-                        stems.add(stem)
-                sums[i] = total + sum(model.weights[s] for s in stems)
+                words = set(value.translate(_WORD_BYTES).split()) if value else ()
+                held = {f for w in words for f in features[w]}
+                # In order, so that equal texts get equal sums.
+                sums[i] = sum(model.weights[f] for f in sorted(held))
             severity, above = model.chances(sums)
             chances = np.diff(np.concatenate((np.ones((len(sums), 1)), above, np.zeros((len(sums), 1))), axis=1))
             return severity, (-chances).argmax(axis=1).astype(np.int32), above[:, 0]
