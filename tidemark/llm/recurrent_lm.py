@@ -159,10 +159,11 @@ def _chunks(batches, lookup, wanted=None):
             if wanted is not None and out is not wanted:
                 continue
             document = tokens_of(text)
-            numbers.append(np.array([lookup[w] for w in document], np.int32))
+            found = [lookup[w] for w in document]
+            numbers.append(np.array(found, np.int32))
             if wanted is None:
                 hot = lookup.hot
-                words.append(Counter(w for w, k in zip(document, numbers[-1].tolist(), strict=True) if k >= hot))
+                words.append(Counter([w for w, k in zip(document, found, strict=True) if k >= hot]))
             ids.append(name)
             held.append(out)
             n += len(document)
@@ -261,27 +262,36 @@ def _scored(docs: DataFrame, vocabulary, weights, log_mass) -> DataFrame:
         in_class = np.where(np.arange(len(v.classes)) < v.head, 0, log_count) - log_mass[v.classes]
         for numbers, words, ids, held in _chunks(batches, v.lookup()):
             model = network.log_likelihoods(numbers, v.entry, v.classes, v.within) / np.log(10)
-            for i, number in enumerate(numbers):
-                model[i] += in_class[number].sum()
-            n = len(numbers)
+            n, sizes = len(numbers), [len(x) for x in numbers]
+            every, begins = np.concatenate(numbers), np.concatenate(([0], np.cumsum(sizes)[:-1]))
+            model += np.add.reduceat(in_class[every], begins)
             columns = [
                 np.arange(place, place + n),
                 ids,
                 held,
-                [len(x) for x in numbers],
-                [int(is_known[x].sum()) for x in numbers],
-                [float(log_count[x].sum()) for x in numbers],
+                sizes,
+                np.add.reduceat(is_known[every].astype(np.int64), begins),
+                np.add.reduceat(log_count[every], begins),
                 model,
-                [[{"word": w, "n": k} for w, k in x.items()] for x in words],
             ]
             place += n
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow
-            )
+            made = [pa.array(c, f.type) for c, f in zip(columns, arrow, strict=False)]
+            yield pa.RecordBatch.from_arrays([*made, _lists(words, arrow.field("words").type)], schema=arrow)
 
     return map_arrow(docs, run, schema)
 
 
+def _lists(words: list[Counter], kind: pa.ListType) -> pa.Array:
+    """The words and counts of each document as a list of structs."""
+    ends = np.concatenate(([0], np.cumsum([len(x) for x in words]))).astype(np.int32)
+    flat = [
+        pa.array([w for x in words for w in x], pa.binary()),
+        pa.array([k for x in words for k in x.values()], pa.int64()),
+    ]
+    structs = pa.StructArray.from_arrays(flat, fields=list(kind.value_type))
+    return pa.ListArray.from_arrays(ends, structs, type=kind)
+
+
 def _put_together(scored: DataFrame, rare: DataFrame, total: int, kinds: int) -> DataFrame:
     asked = scored.select("place", F.explode("words").alias("w")).select("place", "w.word", "w.n")
     found = (
