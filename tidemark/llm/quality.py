@@ -23,6 +23,7 @@ SLACK = {"symbol_ratio": 0.02, "shout_ratio": 0.2, "dup_line_ratio": 0.35, "repe
 SPREAD = 3.0
 ACCURACY = 10_000
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
+BROADCAST_GROUPS = 100_000
 
 _WORD = r"[^\x20\x09-\x0D]+"
 _METRICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -119,8 +120,11 @@ def fences(metrics: DataFrame, spread: float = SPREAD, accuracy: int = ACCURACY)
     One row per group: partial sketches are merged after the shuffle, so a hot
     source sends one sketch per task.
     """
-    sketches = metrics.where(~F.col("base_failed")).groupBy("lang", "source").agg(
-        *(F.percentile_approx(m, [0.25, 0.5], accuracy).alias(m) for m in SLACK)
+    # A filter instead of the condition would be pushed below the counts, and
+    # work them out a second time.
+    passed = lambda m: F.when(~F.col("base_failed"), F.col(m))
+    sketches = metrics.groupBy("lang", "source").agg(
+        *(F.percentile_approx(passed(m), [0.25, 0.5], accuracy).alias(m) for m in SLACK)
     )
     low, mid = (lambda m: F.get(m, F.lit(0))), (lambda m: F.get(m, F.lit(1)))
     return sketches.select(
@@ -134,7 +138,14 @@ def fences(metrics: DataFrame, spread: float = SPREAD, accuracy: int = ACCURACY)
 
 
 def judged(metrics: DataFrame, limits: DataFrame) -> DataFrame:
-    """``metrics`` with ``kept``: passes the base rules and lies within all fences."""
+    """``metrics`` with ``kept``: passes the base rules and lies within all fences.
+
+    ``limits`` is a stored table.  It is broadcast if it has no more than
+    ``BROADCAST_GROUPS`` rows, so that texts that are carried along stay where
+    they are; otherwise both sides are shuffled.
+    """
+    if limits.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS:
+        limits = F.broadcast(limits)
     joined = metrics.join(
         limits,
         F.col("lang").eqNullSafe(F.col("fence_lang"))
@@ -153,12 +164,15 @@ def quality_verdicts(docs: DataFrame, doc_id: str = "doc_id", **options) -> Data
     Counts are written without texts first, so texts are read once.
     """
     metrics = staged(quality_metrics(docs, keep=[doc_id], **options), "quality")
-    return judged(metrics, fences(metrics)).select(
+    return judged(metrics, staged(fences(metrics), "quality-fences")).select(
         F.col(f"doc.`{doc_id}`").alias("doc_id"), *_METRICS, "base_failed", "kept"
     )
 
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without those that fail, columns as given."""
-    metrics = staged(quality_metrics(docs, **options), "quality")
-    return judged(metrics, fences(metrics)).where("kept").select("doc.*")
+    """``docs`` without those that fail, columns as given.
+
+    Texts are read twice, for the fences and for the verdicts, and never stored.
+    """
+    metrics = quality_metrics(docs, **options)
+    return judged(metrics, staged(fences(metrics), "quality-fences")).where("kept").select("doc.*")

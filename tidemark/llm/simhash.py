@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.llm.components import connected_components
-from tidemark.llm.tables import map_arrow, map_texts, staged
+from tidemark.llm.tables import column, map_arrow, map_texts, staged
 
 SEED = 42
 SHINGLE = 3
@@ -225,23 +225,37 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
 
 def drop_near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one document of each component, that of the least doc_id.
+    """``docs`` with one row of each component, that of the least doc_id.
 
-    Rows that tie, or have no doc_id, are told apart by their place in the
-    staged table, so one row of a component stays in any case.
+    Only ids and fingerprints are stored.  A row that stays and has an id of its
+    own is picked by that id.  Where the least id of a component repeats or is
+    missing, all rows with it are fingerprinted again, and of those with the
+    component's first fingerprint the least row, column by column, stays.
     """
-    rows = fingerprints(docs, text=text)
-    # The place is given before the rows are written, and read back with them.
-    rows = staged(rows.withColumn("place", F.monotonically_increasing_id()), "simhash-rows")
-    slim = rows.select(F.col(f"doc.`{doc_id}`").alias("doc_id"), "fp", "place")
+    slim = fingerprints(docs, text=text, keep=[doc_id])
+    slim = staged(slim.select(F.col(f"doc.`{doc_id}`").alias("doc_id"), "fp"), "simhash")
     classes = staged(fingerprint_components(slim).select("fp", "component"), "simhash-classes")
-    stays = staged(
-        slim.join(classes, "fp")
-        .groupBy("component")
-        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "place")).alias("least"))
-        .select(F.col("least.place").alias("place")),
-        "simhash-stays",
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("first")
+    stays = slim.join(classes, "fp").groupBy("component").agg(first).select("first.doc_id", "first.fp")
+    rows = slim.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    same = stays.doc_id.eqNullSafe(rows.doc_id)
+    alone = (F.col("rows") == 1) & stays.doc_id.isNotNull()
+    stays = staged(stays.join(rows, same).select(stays.doc_id, "fp", alone.alias("alone")), "simhash-stays")
+
+    picked = docs.join(
+        stays.where("alone").select(F.col("doc_id").alias("_stays")),
+        column(doc_id) == F.col("_stays"),
+        "left_semi",
     )
-    return rows.join(stays, "place", "left_semi").select("doc.*")
-
-
+    several = stays.where("not alone")
+    if several.isEmpty():
+        return picked
+    ids = several.select(F.col("doc_id").alias("_stays")).distinct()
+    again = docs.join(ids, column(doc_id).eqNullSafe(F.col("_stays")), "left_semi")
+    again = fingerprints(again, text=text).join(
+        several.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp")),
+        F.col(f"doc.`{doc_id}`").eqNullSafe(F.col("_id")) & (F.col("fp") == F.col("_fp")),
+        "left_semi",
+    )
+    least = again.groupBy(F.col(f"doc.`{doc_id}`").alias("_id"), "fp").agg(F.min("doc").alias("doc"))
+    return picked.unionByName(least.select("doc.*"))

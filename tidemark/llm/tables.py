@@ -42,7 +42,7 @@ def staged(frame: DataFrame, label: str) -> DataFrame:
     frame reads from it.
     """
     path = scratch_dir(frame.sparkSession, label)
-    frame.write.parquet(path)
+    frame.write.option("compression", "zstd").parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
