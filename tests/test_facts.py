@@ -1,10 +1,12 @@
 """Joins and aggregates against plain Python loops."""
 
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.operators import facts
@@ -104,25 +106,45 @@ def stored(spark, tmp_path):
     return [spark.read.parquet(f"{tmp_path}/{name}") for name in "spc"]
 
 
-def test_aggregate_plan(spark, stored):
-    """Lines are summed before and after one shuffle; joins take the sums."""
+def test_aggregate_reads_only_what_it_needs(spark, stored):
     plan = facts.fact_customer_sales(*stored)._jdf.queryExecution().executedPlan().toString()
-    joins = [i for i, text in enumerate(plan.split("\n")) if "Join" in text]
-    sums = [i for i, text in enumerate(plan.split("\n")) if "partial_sum" in text]
-    assert joins and sums and max(joins) < min(sums)
-    assert "Python" not in plan
-    assert "PushedFilters: [IsNotNull(product_id), IsNotNull(customer_id)]" in plan
+    assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+    assert "PushedFilters: [IsNotNull(customer_id), IsNotNull(product_id)]" in plan or (
+        "PushedFilters: [IsNotNull(product_id), IsNotNull(customer_id)]" in plan
+    )
     assert "ReadSchema: struct<customer_id:bigint,product_id:string,unit_price:int,quantity:int>" in plan
 
 
+def test_aggregate_spreads_a_hot_product(spark, hot_lines):
+    """Lines are shuffled twice, and no task gets more than its share of a hot product."""
+    session, lines, products, customers = hot_lines
+    products = products.union(products.where("product_id < '2'"))
+    made = facts.fact_customer_sales(lines, products, customers)
+    got = {(r.product_id, r.customer_id): r.total_quantity for r in made.collect()}
+    want = lines.join(products, "product_id").join(customers, "customer_id")
+    want = want.groupBy("product_id", "customer_id").agg(F.sum("quantity").alias("n"))
+    assert got == {(r.product_id, r.customer_id): r.n for r in want.collect()}
+    plan = made._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # Two of the lines, by product and by customer, and none of the sums.
+    taken = [x for x in plan.split("\n") if "Exchange hashpartitioning" in x]
+    by = [x.split("hashpartitioning(")[1].split("#")[0] for x in taken if "_salt" in x]
+    assert sorted(by) == ["customer_id"] * 2 + ["product_id"] * 2 and len(taken) <= 6
+    assert "BroadcastHashJoin" not in plan
+    spread = F.pmod(F.xxhash64("customer_id"), facts.SPREAD.count("product_id"))
+    hot = lines.where("product_id = '0'").groupBy(spread.alias("salt")).count().collect()
+    assert len(hot) == facts.SPREAD.base
+    assert max(r["count"] for r in hot) < 2 * 300000 / 3 / facts.SPREAD.base
+
+
 def test_fact_plan_reads_only_what_it_needs(spark, stored):
     plan = facts.fact_sales_orders(*stored)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<product_key:bigint,product_id:string>" in plan
     assert "Cartesian" not in plan and "NestedLoop" not in plan and "Python" not in plan
 
 
-def test_hot_product_is_split(spark, tmp_path):
-    """With a third of the lines on one product, AQE splits its partition."""
+@pytest.fixture
+def hot_lines(spark, tmp_path):
+    """300,000 lines, a third on one product, in a session that broadcasts nothing."""
     session = spark.newSession()
     for name, value in {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -143,6 +165,12 @@ def test_hot_product_is_split(spark, tmp_path):
     lines = session.read.parquet(f"{tmp_path}/s")
     products = session.range(5000).selectExpr("id AS product_key", "CAST(id AS STRING) AS product_id")
     customers = session.range(1000).selectExpr("id AS customer_key", "id AS customer_id")
+    return session, lines, products, customers
+
+
+def test_hot_product_is_split(hot_lines):
+    """With a third of the lines on one product, AQE splits its partition."""
+    _, lines, products, customers = hot_lines
     fact = facts.fact_sales_orders(lines, products, customers)
     assert len(fact.toArrow()) == 300000
     assert "skewed" in fact._jdf.queryExecution().executedPlan().toString()
@@ -157,9 +185,14 @@ def test_hot_keys(spark):
     named = rows.where("name IS NOT NULL").count()
     assert named == 2900
     # hot fills 4.1 partitions, warm 2.07 and mild 2.03.
-    assert facts.hot_keys(rows, "name", 12) == [(4, ["mild", "warm"]), (8, ["hot"])]
-    assert facts.hot_keys(rows, "name", 1) == []
-    assert facts.hot_keys(rows.where("false"), "name", 12) == []
+    assert facts.hot_keys(rows, ["name"], 12) == {"name": [(4, ["mild", "warm"]), (8, ["hot"])]}
+    assert facts.hot_keys(rows, ["name"], 1) == {"name": []}
+    assert facts.hot_keys(rows.where("false"), ["name"], 12) is None
+    both = rows.withColumn("other", F.lit(7)).union(rows.selectExpr("NULL", "NULL"))
+    assert facts.hot_keys(both, ["name", "other"], 12) == {
+        "name": [(4, ["mild", "warm"]), (8, ["hot"])],
+        "other": [(16, [7])],
+    }
 
 
 def test_salts_spread_a_hot_key(spark):
@@ -171,3 +204,46 @@ def test_salts_spread_a_hot_key(spark):
     products = spark.createDataFrame([("hot",), ("cold",)], "product_id string")
     copies = facts._join_input(products, salting, spread=False).groupBy("product_id").count()
     assert {r.product_id: r["count"] for r in copies.collect()} == {"hot": 8, "cold": 1}
+
+
+def test_late_rows_leave_the_join_state(spark, tmp_path):
+    """With a bound on lateness, rows behind the watermark are removed from the state."""
+    shapes = {
+        "s": T.StructType([*LINE.fields, T.StructField("at", T.TimestampType())]),
+        "p": T.StructType.fromDDL("product_key bigint, product_id string, at timestamp"),
+        "c": T.StructType.fromDDL("customer_key bigint, customer_id bigint, at timestamp"),
+    }
+    day = lambda n: datetime(2024, 1, n)
+
+    def send(n, line, product, customer):
+        for name, rows in (("s", line), ("p", product), ("c", customer)):
+            frame = spark.createDataFrame(rows, shapes[name])
+            frame.coalesce(1).write.mode("append").parquet(f"{tmp_path}/{name}")
+
+    def line(order, when):
+        return {"customer_id": 1, "order_number": order, "product_id": "a", "unit_price": 2, "quantity": 3, "at": when}
+
+    def run():
+        frames = [spark.readStream.schema(shapes[n]).parquet(f"{tmp_path}/{n}") for n in "spc"]
+        fact = facts.fact_sales_orders(*frames, late=facts.Lateness("at", "1 hour", "2 hours"))
+        query = (
+            fact.writeStream.format("parquet")
+            .option("checkpointLocation", f"{tmp_path}/checkpoint")
+            .option("path", f"{tmp_path}/out")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+        return sum(o["numRowsRemoved"] for p in query.recentProgress for o in p["stateOperators"])
+
+    send(1, [line(1, day(1))], [(1, "a", day(1))], [(1, 1, day(1))])
+    run()
+    send(2, [line(2, day(3)), line(3, day(1))], [(2, "a", day(3))], [(2, 1, day(3))])
+    removed = run()
+    send(3, [line(4, day(5)), line(5, day(1))], [(3, "a", day(5))], [(3, 1, day(5))])
+    removed += run()
+    assert removed > 0
+    got = spark.read.parquet(f"{tmp_path}/out").select("order_number", "product_key", "customer_key")
+    got = sorted(map(tuple, got.collect()))
+    # Each line meets the versions of its own day; order 5 comes too late.
+    assert got == [(1, 1, 1), (2, 2, 2), (3, 1, 1), (4, 3, 3)]

@@ -1,5 +1,7 @@
 """Surrogate keys."""
 
+import os
+
 from pyspark.sql import functions as F
 
 from tidemark.operators.keys import assign_keys
@@ -33,9 +35,9 @@ def test_hot_and_equal_rows_spread_over_ranges(spark):
     plain = spark.newSession()
     plain.conf.set("spark.sql.adaptive.enabled", "false")
     plain.conf.set("spark.sql.shuffle.partitions", "6")
-    arrived = plain.read.parquet(f"{staging}/arrival")
+    stored = plain.read.parquet(f"{staging}/ordered")
     parts = (
-        arrived.repartitionByRange("name", "_part", "_position")
+        stored.repartitionByRange("name", "_part", "_position")
         .where("name = 'hot'")
         .groupBy(F.spark_partition_id())
         .count()
@@ -54,3 +56,16 @@ def test_offsets_are_the_only_broadcast(spark):
     text = plan.executedPlan().toString()
     assert text.count("BroadcastExchange") == 1
     assert "Python" not in text
+
+
+def test_one_write_for_stable_input(spark, tmp_path):
+    """Rows read from files are sorted and written once; of two writes one is removed."""
+    spark.range(3000).selectExpr("id % 7 AS n", "'x' AS same").write.parquet(f"{tmp_path}/in")
+    rows = spark.read.parquet(f"{tmp_path}/in")
+    for stable in (True, False):
+        staging = f"{tmp_path}/stable-{stable}"
+        keyed = assign_keys(rows, "key", order_by=["n"], staging=staging, stable_input=stable)
+        got = [(r.key, r.n) for r in keyed.orderBy("key").collect()]
+        assert [k for k, _ in got] == list(range(1, 3001))
+        assert [n for _, n in got] == sorted(n for _, n in got)
+        assert os.listdir(staging) == ["ordered"]

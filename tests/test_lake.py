@@ -41,13 +41,13 @@ class Bus:
             },
         )
 
-    def lake(self, database, **options):
+    def lake(self, database, settings=SMALL, **options):
         sources = {
             t: (lambda s, t=t: message_stream(s, "parquet", {}, path=f"{self.root}/bus/{t}"))
             for t in CAPTURED_TABLES
         }
         datasets = retail_datasets(sources, **{"product_salt": 2, "customer_salt": 2, **options})
-        return Lake(self.spark, f"{self.root}/lake", database, datasets, settings=SMALL)
+        return Lake(self.spark, f"{self.root}/lake", database, datasets, settings=settings)
 
 
 @pytest.fixture
@@ -296,3 +296,150 @@ def test_lake_leaves_the_session_alone(spark, tmp_path, database):
     assert before == after
     assert lake.session.conf.get("spark.sql.session.timeZone") == "UTC"
     assert "RocksDB" in lake.session.conf.get("spark.sql.streaming.stateStore.providerClass")
+
+
+def spread_of(lake, key, value):
+    """Over how many salts the lake's join spreads a key."""
+    hot = dict(measured(lake))[key]
+    return max((n for n, keys in hot if value in keys), default=1)
+
+
+def test_hot_key_after_an_empty_first_update(bus, database):
+    lake = bus.lake(database)
+    lake.update()
+    assert files.read_text(lake.spark, lake._pinned_path("fact_sales_orders")) is None
+    assert lake.read("fact_sales_orders").count() == 0
+    for number in range(20):
+        bus.order(number, "a", customer=number)
+    bus.send("products", {"product_id": "a"})
+    bus.send("customers", *({"customer_id": n} for n in range(20)))
+    lake.update()
+    assert spread_of(lake, "hot_products", "a") == 2
+    assert len(numbers(lake)) == 20
+
+
+def test_start_measures_what_is_there(bus, database):
+    for number in range(20):
+        bus.order(number, "a", customer=number)
+    bus.send("products", {"product_id": "a"})
+    bus.send("customers", *({"customer_id": n} for n in range(20)))
+    lake = bus.lake(database)
+    queries = lake.start()
+    try:
+        assert spread_of(lake, "hot_products", "a") == 2
+        assert len(numbers(lake)) == 20
+    finally:
+        for query in queries:
+            query.stop()
+
+
+def test_rebuild_measures_anew(bus, database):
+    bus.order(1, "b", customer=1)
+    bus.order(2, "c", customer=2)
+    bus.send("products", {"product_id": "a"}, {"product_id": "b"}, {"product_id": "c"})
+    bus.send("customers", *({"customer_id": n} for n in range(30)))
+    lake = bus.lake(database, settings={"spark.sql.shuffle.partitions": "4"})
+    lake.update()
+    assert spread_of(lake, "hot_products", "a") == 1
+    for number in range(3, 30):
+        bus.order(number, "a", customer=number)
+    lake.update()
+    before = numbers(lake)
+    with pytest.raises(ValueError, match="read by other streams"):
+        lake.rebuild("dim_products")
+    lake.rebuild("fact_sales_orders")
+    assert spread_of(lake, "hot_products", "a") == 4
+    assert numbers(lake) == before and len(before) == 29
+    assert lake.read("customer_sales").count() == 29
+
+
+def test_start_stops_together(spark, tmp_path, database):
+    spark.range(3).write.parquet(f"{tmp_path}/in")
+
+    def broken(session):
+        raise RuntimeError("no such source")
+
+    datasets = [Dataset("good", source(spark, f"{tmp_path}/in")), Dataset("bad", broken)]
+    lake = Lake(spark, f"{tmp_path}/lake", database, datasets, settings=SMALL)
+    with pytest.raises(RuntimeError):
+        lake.start()
+    assert not [q for q in lake.session.streams.active if q.name == "good"]
+
+
+def test_changed_schema(spark, tmp_path, database):
+    spark.range(3).selectExpr("id AS n").write.parquet(f"{tmp_path}/in")
+
+    def lake(extra, comment, **properties):
+        columns = ["n", *extra]
+        kept = Dataset(
+            "kept",
+            lambda s: source(spark, f"{tmp_path}/in")(s).selectExpr(*columns),
+            comment=comment,
+            properties=properties,
+        )
+        summed = Dataset(
+            "summed", lambda s, rows: rows.selectExpr(*columns), ["kept"], kind=RECOMPUTED, comment=comment,
+            properties=properties,
+        )
+        return Lake(spark, f"{tmp_path}/lake", database, [kept, summed], settings=SMALL)
+
+    def described(name):
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {database}.{name}").collect()
+        properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {database}.{name}").collect()}
+        return next(r.data_type for r in rows if r.col_name == "Comment"), properties
+
+    lake([], "one", quality="gold", keeper="a").update()
+    lake([], "it's two", quality="silver").update()
+    for name in ("kept", "summed"):
+        comment, properties = described(name)
+        assert comment == "it's two" and properties["quality"] == "silver" and "keeper" not in properties
+    with pytest.raises(ValueError, match="full refresh"):
+        lake(["n + 1 AS more"], "three").update()
+    lake(["n + 1 AS more"], "three").refresh(full=True)
+    assert sorted(map(tuple, lake(["n + 1 AS more"], "").read("summed").collect())) == [(0, 1), (1, 2), (2, 3)]
+
+
+def test_recomputed_table_takes_a_new_column(spark, tmp_path, database):
+    def lake(columns):
+        dataset = Dataset("table", lambda s: s.range(2).selectExpr(*columns), kind=RECOMPUTED)
+        return Lake(spark, f"{tmp_path}/lake", database, [dataset], settings=SMALL)
+
+    lake(["id"]).update()
+    lake(["id", "id * 2 AS twice"]).update()
+    assert sorted(map(tuple, lake(["id"]).read("table").collect())) == [(0, 0), (1, 2)]
+
+
+def test_a_failed_version_is_not_the_one_kept(spark, tmp_path, database):
+    dataset = Dataset("table", lambda s: s.range(2), kind=RECOMPUTED)
+    lake = Lake(spark, f"{tmp_path}/lake", database, [dataset], settings=SMALL)
+    lake.update()
+    reader = lake.read("table")
+    # What a run leaves that dies before the table points to its version.
+    spark.range(9).write.parquet(f"{lake._path('table')}/version-000000000001")
+    lake.update()
+    assert reader.count() == 2 and lake.read("table").count() == 2
+    names = sorted(files.child_names(spark, lake._path("table")))
+    assert names == ["version-000000000000", "version-000000000002"]
+
+
+def test_output_partitions_bound_the_files(bus, database):
+    for number in range(12):
+        bus.order(number, "ab"[number % 2], customer=number)
+    bus.send("products", {"product_id": "a"}, {"product_id": "b"})
+    bus.send("customers", *({"customer_id": n} for n in range(12)))
+    lake = bus.lake(database, output_partitions=1)
+    lake.update()
+    assert len(numbers(lake)) == 12
+    for name in ("sales_orders_cleansed", "fact_sales_orders"):
+        found = [f for f in files.child_names(lake.spark, lake._path(name)) if f.endswith(".parquet")]
+        assert len(found) == 1
+
+
+def test_null_rows_in_the_lake(bus, database):
+    bus.send("customers", {"customer_id": 1}, None)
+    bus.spark.createDataFrame([(None, b'{"payload": {"aft')], "key binary, value binary").write.mode(
+        "append"
+    ).parquet(f"{bus.root}/bus/customers")
+    lake = bus.lake(database, keep_null_rows=True)
+    lake.update()
+    assert sorted(str(r.customer_id) for r in lake.read("customers_cleansed").collect()) == ["1", "None", "None"]

@@ -145,3 +145,18 @@ def test_one_more_row(spark):
     ).collect()
     assert (got.customer_id, got.customer_name, str(got.lon)) == (100, "Ann", "-83.162984")
     assert str(got.units_purchased) == "1574.0"
+
+
+CSV_TEXT = schemas.struct(a=schemas.STRING, b=schemas.STRING, n=schemas.INT)
+
+
+def test_csv_tells_empty_from_missing(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('a,b,n\n"",,1\n,"",\n"x ""y""",z,3\n')
+    rows = flat_files.read_csv(spark, str(tmp_path), CSV_TEXT).collect()
+    assert list(map(tuple, rows)) == [("", None, 1), (None, "", None), ('x "y"', "z", 3)]
+
+
+def test_csv_with_line_breaks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('a,b,n\n"two\nlines",,1\n"","p\n\nq",2\n')
+    rows = flat_files.read_csv(spark, str(tmp_path), CSV_TEXT, multi_line=True).collect()
+    assert list(map(tuple, rows)) == [("two\nlines", None, 1), ("", "p\n\nq", 2)]

@@ -45,21 +45,60 @@ class Salting:
 NO_SALT = Salting()
 
 
-def hot_keys(rows: DataFrame, key: str, partitions: int) -> list[tuple[int, list]]:
-    """Keys with the rows of two or more average partitions (batch only).
+@dataclass(frozen=True)
+class Lateness:
+    """A bound on the state of the streaming joins.
+
+    ``column`` is an event time that all three inputs carry.  Rows that come
+    more than ``delay`` behind the latest one are dropped, and a line matches a
+    dimension row only if their times are at most ``within`` apart; matches
+    beyond that are lost.  In return a row leaves the join state once no row
+    within the bound can come any more.  Both are intervals such as ``1 hour``.
+    """
+
+    column: str
+    delay: str
+    within: str
+
+    def mark(self, rows: DataFrame) -> DataFrame:
+        return rows.withWatermark(self.column, self.delay)
+
+    def join(self, lines: DataFrame, rows: DataFrame, keys: list[str], side: str) -> DataFrame:
+        """``lines`` joined with a dimension within the bound; its time is dropped."""
+        theirs, within = f"_{side}_time", F.expr(f"INTERVAL {self.within}")
+        rows = rows.withColumnsRenamed({self.column: theirs, **{k: f"_{side}_{k}" for k in keys}})
+        on = F.col(theirs).between(F.col(self.column) - within, F.col(self.column) + within)
+        for key in keys:
+            on = on & (F.col(key) == F.col(f"_{side}_{key}"))
+        return lines.join(rows, on).drop(theirs, *(f"_{side}_{k}" for k in keys))
+
+
+def hot_keys(rows: DataFrame, keys: Sequence[str], partitions: int) -> dict[str, list] | None:
+    """For each of ``keys``, the values with the rows of two or more average partitions (batch only).
 
     Each comes with the number of partitions that it would fill, rounded up to a
-    power of two.  There are at most ``partitions / 2`` such keys, and their
-    numbers add up to at most twice ``partitions``.
+    power of two.  There are at most ``partitions / 2`` such values of a key, and
+    their numbers add up to at most twice ``partitions``.  All keys are counted
+    in one pass.  Without any rows nothing is known, and the result is None.
     """
-    rows = rows.where(F.col(key).isNotNull()).select(key)
-    share = rows.count() / partitions
-    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    found: dict[int, list] = {}
-    for row in counts.where(F.col("rows") >= 2 * share).orderBy(key).toLocalIterator():
-        fills = math.ceil(math.log2(row["rows"] / share))
-        found.setdefault(2**fills, []).append(row[key])
-    return sorted(found.items())
+    tag = F.coalesce(*(F.when(F.col(k).isNotNull(), F.lit(k)) for k in keys))
+    counts = (
+        rows.groupingSets([[k] for k in keys], *keys)
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .where(tag.isNotNull())
+        .withColumn("tag", tag)
+    )
+    # Totals come from the same exchange of partial counts, one row per key.
+    totals = counts.groupBy("tag").agg(F.sum("rows").alias("all_rows"))
+    hot = counts.join(F.broadcast(totals), "tag")
+    hot = hot.where(F.col("rows") * partitions >= 2 * F.col("all_rows"))
+    found: dict[str, dict[int, list]] = {k: {} for k in keys}
+    for row in hot.orderBy("tag", *keys).toLocalIterator():
+        fills = math.ceil(math.log2(row["rows"] * partitions / row["all_rows"]))
+        found[row["tag"]].setdefault(2**fills, []).append(row[row["tag"]])
+    if not any(found.values()) and rows.isEmpty():
+        return None
+    return {k: sorted(v.items()) for k, v in found.items()}
 
 
 def fact_sales_orders(
@@ -70,6 +109,7 @@ def fact_sales_orders(
     date_name: str = "order_datetime",
     product_salting: Salting = NO_SALT,
     customer_salting: Salting = NO_SALT,
+    late: Lateness | None = None,
 ) -> DataFrame:
     """Order lines with the keys of their product and customer.
 
@@ -81,13 +121,18 @@ def fact_sales_orders(
     streaming join hashes each key to one state partition for ever, so there
     salting spreads the lines of a key over several, and copies the dimension
     rows of that key to each of them.
+
+    ``late`` bounds the join state of streams; see ``Lateness``.
     """
+    if late is not None:
+        lines, products, customers = map(late.mark, (lines, products, customers))
     salting = {"product_id": product_salting, "customer_id": customer_salting}
     product_keys = _keys("product_id", product_salting)
     customer_keys = _keys("customer_id", customer_salting)
     s = _join_input(lines, salting, spread=True)
     p = _join_input(products, {"product_id": product_salting}, spread=False)
     c = _join_input(customers, {"customer_id": customer_salting}, spread=False)
+    times = [] if late is None else [late.column]
     s = s.select(
         "order_number",
         F.col("order_datetime").try_cast("date").alias(date_name),
@@ -95,10 +140,14 @@ def fact_sales_orders(
         "quantity",
         *product_keys,
         *customer_keys,
+        *times,
     )
-    p = p.select("product_key", *product_keys)
-    c = c.select("customer_key", *customer_keys)
-    joined = s.join(p, product_keys, "inner").join(c, customer_keys, "inner")
+    p = p.select("product_key", *product_keys, *times)
+    c = c.select("customer_key", *customer_keys, *times)
+    if late is None:
+        joined = s.join(p, product_keys, "inner").join(c, customer_keys, "inner")
+    else:
+        joined = late.join(late.join(s, p, product_keys, "p"), c, customer_keys, "c")
     return joined.select(
         "order_number",
         "customer_key",
@@ -110,35 +159,63 @@ def fact_sales_orders(
     )
 
 
+# Every key of the aggregate's joins spreads over so many tasks.
+SPREAD = Salting(8)
+
+
 def fact_customer_sales(
-    lines: DataFrame, products: DataFrame, customers: DataFrame
+    lines: DataFrame,
+    products: DataFrame,
+    customers: DataFrame,
+    *,
+    product_salting: Salting = SPREAD,
+    customer_salting: Salting = SPREAD,
 ) -> DataFrame:
     """Quantity and amount sold per product and customer (batch only).
 
     The sums over the three-way join equal the sums over the lines alone times
-    the number of versions on either side.  So lines shrink to one row per
-    product and customer first, with partial sums before the shuffle, and no
-    line is ever multiplied by its versions.
+    the number of versions on either side, so no line is multiplied by versions.
+
+    A side that is small is broadcast.  Otherwise lines are shuffled twice: by
+    product, the lines of one product salted by their customer, and by customer,
+    salted by product.  A salt follows from the other key, so that all lines of
+    a pair stay together and the sums need no shuffle of their own.  The salts
+    of keys that hold far more than their share can be measured with
+    ``hot_keys``; the price is as many copies of their one row of the dimension.
     """
     amount = F.col("unit_price").cast("bigint") * F.col("quantity")
-    sold = lines.groupBy("product_id", "customer_id").agg(
-        F.sum("quantity").alias("quantity"), F.sum(amount).alias("amount")
+    product_salt, customer_salt = _salt("product_id"), _salt("customer_id")
+    s = lines.select(
+        "product_id",
+        "customer_id",
+        "quantity",
+        amount.alias("amount"),
+        F.pmod(F.xxhash64("customer_id"), product_salting.count("product_id")).cast("int").alias(product_salt),
+        F.pmod(F.xxhash64("product_id"), customer_salting.count("customer_id")).cast("int").alias(customer_salt),
+    )
+    p = _versions(products, "product_id", "product_versions", product_salting)
+    c = _versions(customers, "customer_id", "customer_versions", customer_salting)
+    sold = s.join(p, ["product_id", product_salt]).join(c, ["customer_id", customer_salt])
+    versions = ["product_versions", "customer_versions"]
+    sums = sold.groupBy("customer_id", customer_salt, "product_id", *versions).agg(
+        F.sum("quantity").alias("quantity"), F.sum("amount").alias("amount")
     )
-    p = products.groupBy("product_id").agg(F.count(F.lit(1)).alias("product_versions"))
-    c = customers.groupBy("customer_id").agg(F.count(F.lit(1)).alias("customer_versions"))
     times = F.col("product_versions") * F.col("customer_versions")
-    return (
-        sold.join(p, "product_id", "inner")
-        .join(c, "customer_id", "inner")
-        .select(
-            "product_id",
-            "customer_id",
-            (F.col("quantity") * times).alias("total_quantity"),
-            (F.col("amount") * times).alias("sale_amount"),
-        )
+    return sums.select(
+        "product_id",
+        "customer_id",
+        (F.col("quantity") * times).alias("total_quantity"),
+        (F.col("amount") * times).alias("sale_amount"),
     )
 
 
+def _versions(rows: DataFrame, key: str, name: str, salting: Salting) -> DataFrame:
+    """The number of rows of each key, once for each of its salts."""
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias(name))
+    salts = F.explode(F.sequence(F.lit(0), salting.count(key) - 1))
+    return counts.select(key, name, salts.alias(_salt(key)))
+
+
 def customer_sales(fact: DataFrame) -> DataFrame:
     """Quantity and amount sold per pair of surrogate keys (batch only)."""
     return fact.groupBy("customer_key", "product_key").agg(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import scratch_dir
+from tidemark.streaming import files
 
 _PART, _POSITION = "_part", "_position"
 
@@ -17,6 +18,7 @@ def assign_keys(
     order_by=None,
     start: int = 0,
     staging: str | None = None,
+    stable_input: bool = False,
 ) -> DataFrame:
     """Put column ``key`` with start+1, start+2, ... in front of ``rows``.
 
@@ -27,19 +29,32 @@ def assign_keys(
     The rows are written to ``staging`` (a fresh folder of the scratch root by
     default) together with their place in the partition before any key is given
     out.  A lost executor then cannot lead to other places, hence other keys,
-    for part of the rows.  The result reads from there.
+    for part of the rows.  The result reads from ``staging``, which whoever owns
+    that folder removes when the result is no longer read.
+
+    Rows that tie in ``order_by`` are told apart by their arrival place, so they
+    are first written in arrival order; that copy goes once they are sorted.
+    With ``stable_input`` this first write is left out.  It says that each task
+    of the input always meets its rows in the same order, as where files are
+    read and parsed without a shuffle.
     """
     spark = rows.sparkSession
     columns = rows.columns
     staging = staging or scratch_dir(spark, "keys")
 
-    placed = _write_with_places(rows, columns, f"{staging}/arrival")
-    if order_by is not None:
+    if order_by is None:
+        placed = _write_with_places(rows, columns, f"{staging}/arrival")
+    else:
         # The arrival place parts rows that tie, copies included, so one hot
         # key spreads over as many ranges as its size asks for.
         order = [*order_by, _PART, _POSITION]
-        ordered = placed.repartitionByRange(*order).sortWithinPartitions(*order)
+        if stable_input:
+            arrived = _with_places(rows, columns)
+        else:
+            arrived = _write_with_places(rows, columns, f"{staging}/arrival")
+        ordered = arrived.repartitionByRange(*order).sortWithinPartitions(*order)
         placed = _write_with_places(ordered, columns, f"{staging}/ordered")
+        files.delete(spark, f"{staging}/arrival")
 
     # One row per written partition: a count bounded by the number of tasks,
     # whatever the size of the data.
@@ -52,14 +67,18 @@ def assign_keys(
     return placed.join(F.broadcast(offsets), _PART).select(number.alias(key), *columns)
 
 
-def _write_with_places(rows: DataFrame, columns, path: str) -> DataFrame:
+def _with_places(rows: DataFrame, columns) -> DataFrame:
     # The generated id holds the partition in its upper bits and counts from
     # zero in the lower 33.
     rows = rows.withColumn("_id", F.monotonically_increasing_id())
-    placed = rows.select(
+    return rows.select(
         *columns,
         F.shiftright("_id", 33).alias(_PART),
         F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias(_POSITION),
     )
+
+
+def _write_with_places(rows: DataFrame, columns, path: str) -> DataFrame:
+    placed = _with_places(rows, columns)
     placed.write.parquet(path)
     return rows.sparkSession.read.schema(placed.schema).parquet(path)

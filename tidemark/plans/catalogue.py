@@ -10,7 +10,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
@@ -21,8 +21,11 @@ from tidemark.operators import cleanse, facts, raw
 from tidemark.operators.keys import assign_keys
 from tidemark.plans import replay
 from tidemark.plans.retail import retail_datasets
+from tidemark.plans.retail_sql import retail_sql_datasets
 from tidemark.session import scratch_dir
 from tidemark.sources import bus, flat_files
+from tidemark.sources.tables import table_stream
+from tidemark.streaming import files
 from tidemark.streaming.lake import Dataset, Lake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +50,20 @@ def _register(sql: str):
 
 # -- shared pieces ---------------------------------------------------------
 
+# All columns of a customer, with the decimals decoded.
+_CUSTOMER = """
+    c_custkey AS customer_id, 'T-' || c_custkey AS tax_id, 'C' || c_custkey % 7 AS tax_code,
+    c_name AS customer_name, n_name AS state, n_name || ' City' || c_custkey % 11 AS city,
+    lpad(CAST(c_custkey % 100000 AS VARCHAR), 5, '0') AS postcode,
+    'Street ' || c_custkey % 101 AS street, CAST(c_custkey % 300 AS VARCHAR) AS number,
+    'U' || c_custkey % 9 AS unit, r_name AS region, r_name || '/' || n_name AS district,
+    CAST(c_nationkey * -1.5 AS DECIMAL(10,6)) AS lon, CAST(c_nationkey * 0.5 AS DECIMAL(10,6)) AS lat,
+    'Ship to ' || c_custkey || ', ' || n_name AS ship_to_address,
+    1534928698 + c_custkey AS valid_from,
+    CASE WHEN c_acctbal < 0 THEN 1634928698 + c_custkey END AS valid_to,
+    CAST(c_acctbal AS DECIMAL(18,2)) AS units_purchased, c_mktsegment AS loyalty_segment
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
+
 _SALES_COLUMNS = ["order_number", "customer_id", "order_datetime", "product_id", "unit_price", "quantity"]
 
 _LINES = """
@@ -97,10 +114,15 @@ SELECT customer_id, customer_name, order_datetime, order_number,
        CASE WHEN l_discount >= 0.05 THEN 1 END AS promo_qty,
        CASE WHEN l_discount >= 0.05 THEN CAST(l_discount AS DECIMAL(3,2)) END AS promo_disc,
        CASE WHEN l_discount >= 0.05 THEN product_id END AS promo_item,
-       CAST(count(*) OVER (PARTITION BY order_number) AS INTEGER) AS clicked_items,
-       CAST(count(CASE WHEN l_discount >= 0.09 THEN 1 END)
-            OVER (PARTITION BY order_number) AS INTEGER) AS promotions
-FROM lines"""
+       clicked_items, promotions
+FROM lines JOIN (
+  SELECT order_number, string_agg(clicked, ';' ORDER BY clicked) AS clicked_items,
+         coalesce(string_agg(promoted, ';' ORDER BY promoted), '') AS promotions
+  FROM (SELECT order_number, product_name || '|' || l_linenumber AS clicked,
+               CASE WHEN l_discount >= 0.09
+                    THEN l_linenumber * 10 || '|1|' || CAST(l_discount AS DECIMAL(3,2)) || '|' || product_id
+               END AS promoted
+        FROM lines) GROUP BY order_number) USING (order_number)"""
 
 
 def _orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -142,19 +164,28 @@ def _line_columns(lines: DataFrame) -> DataFrame:
         product["name"].alias("product_name"),
         product["unit"].alias("unit"),
         "ordered_products.promotion_info.*",
-        F.size("clicked_items").alias("clicked_items"),
-        F.size("promo_info").alias("promotions"),
+        _sorted_text("clicked_items", lambda x: F.array_join(x, "|")).alias("clicked_items"),
+        _sorted_text(
+            "promo_info",
+            lambda x: F.concat_ws("|", x["promo_id"], x["promo_qty"], x["promo_disc"], x["promo_item"]),
+        ).alias("promotions"),
     )
 
 
+def _sorted_text(name: str, item) -> Column:
+    """An array's items as texts, in an order that both engines agree on."""
+    return F.array_join(F.array_sort(F.transform(name, item)), ";")
+
+
 # -- raw layer -------------------------------------------------------------
 
 
 @_register(
     """
     SELECT 'retail.public.sales_orders' AS topic, o_orderkey AS order_number,
-           o_custkey AS customer_id
-    FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)
+           o_custkey AS customer_id, c_name AS customer_name, count(*) AS number_of_line_items
+    FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+    GROUP BY o_orderkey, o_custkey, c_name
     """
 )
 def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -163,20 +194,29 @@ def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
         "topic",
         F.get_json_object(key, "$.payload.order_number").cast("bigint").alias("order_number"),
         F.get_json_object(key, "$.payload.customer_id").cast("bigint").alias("customer_id"),
+        F.get_json_object("value", "$.payload.after.customer_name").alias("customer_name"),
+        F.get_json_object("value", "$.payload.after.number_of_line_items")
+        .cast("bigint")
+        .alias("number_of_line_items"),
     )
 
 
-@_register("SELECT 'retail.public.customers' AS topic, c_custkey AS customer_id FROM customer")
+@_register(
+    """
+    SELECT 'retail.public.customers' AS topic, c_custkey AS customer_id, c_name AS customer_name
+    FROM customer
+    """
+)
 def captured_topic(spark: SparkSession, folder: str) -> DataFrame:
-    """One topic picked out of a source that carries three."""
-    messages = (
-        replay.order_messages(spark, folder)
-        .union(replay.customer_messages(spark, folder))
-        .union(replay.product_messages(spark, folder))
-    )
+    """One topic picked out of stored messages of three."""
+    path = scratch_dir(spark, "bus")
+    for make in (replay.order_messages, replay.customer_messages, replay.product_messages):
+        make(spark, folder).write.mode("append").parquet(path)
+    messages = spark.read.parquet(path)
     rows = raw.as_text(raw.only_topic(messages, bus.topic_name("customers")))
     number = F.get_json_object("key", "$.payload.customer_id").cast("bigint")
-    return rows.select("topic", number.alias("customer_id"))
+    name = F.get_json_object("value", "$.payload.after.customer_name")
+    return rows.select("topic", number.alias("customer_id"), name.alias("customer_name"))
 
 
 @_register(
@@ -236,34 +276,21 @@ def cleansed_orders_strip(spark: SparkSession, folder: str) -> DataFrame:
     return _line_columns(cleanse.cleanse_orders(_orders(spark, folder), mode="strip"))
 
 
-@_register(
-    """
-    SELECT c_custkey AS customer_id, c_name AS customer_name, n_name AS state,
-           r_name AS region, CAST(c_nationkey * -1.5 AS DECIMAL(10,6)) AS lon,
-           CAST(c_nationkey * 0.5 AS DECIMAL(10,6)) AS lat, c_mktsegment AS loyalty_segment,
-           1534928698 + c_custkey AS valid_from,
-           CASE WHEN c_acctbal < 0 THEN 1634928698 + c_custkey END AS valid_to,
-           CAST(c_acctbal AS DECIMAL(18,2)) AS units_purchased
-    FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-    """
-)
-def cleansed_customers(spark: SparkSession, folder: str) -> DataFrame:
-    return _customers(spark, folder).select(
-        "customer_id",
-        "customer_name",
-        "state",
-        "region",
-        "lon",
-        "lat",
-        "loyalty_segment",
-        decode_scaled_decimal(F.col("valid_from"), 0).cast("bigint").alias("valid_from"),
-        decode_scaled_decimal(F.col("valid_to"), 0).cast("bigint").alias("valid_to"),
-        decode_scaled_decimal(F.col("units_purchased"), 2)
-        .cast("decimal(18,2)")
-        .alias("units_purchased"),
+def _decoded_customers(rows: DataFrame) -> DataFrame:
+    return rows.withColumns(
+        {
+            "valid_from": decode_scaled_decimal(F.col("valid_from"), 0).cast("bigint"),
+            "valid_to": decode_scaled_decimal(F.col("valid_to"), 0).cast("bigint"),
+            "units_purchased": decode_scaled_decimal(F.col("units_purchased"), 2).cast("decimal(18,2)"),
+        }
     )
 
 
+@_register("SELECT" + _CUSTOMER)
+def cleansed_customers(spark: SparkSession, folder: str) -> DataFrame:
+    return _decoded_customers(_customers(spark, folder))
+
+
 @_register(
     """
     SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_type AS product_category,
@@ -361,17 +388,9 @@ def dim_products(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@_register(
-    """
-    SELECT row_number() OVER (ORDER BY c_custkey) AS customer_key, c_custkey AS customer_id,
-           c_name AS customer_name, n_name AS state
-    FROM customer JOIN nation ON c_nationkey = n_nationkey
-    """
-)
+@_register("SELECT row_number() OVER (ORDER BY c_custkey) AS customer_key," + _CUSTOMER)
 def dim_customers(spark: SparkSession, folder: str) -> DataFrame:
-    return _dim_customers(spark, folder).select(
-        "customer_key", "customer_id", "customer_name", "state"
-    )
+    return _decoded_customers(_dim_customers(spark, folder))
 
 
 @_register(
@@ -504,14 +523,11 @@ def ingest_json_typed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @_register(
-    """
-    SELECT CAST(c_custkey AS INTEGER) AS customer_id, c_name AS customer_name,
-           n_name AS state, CAST(c_nationkey * -1.5 AS DOUBLE) AS lon,
-           CAST(c_acctbal AS DECIMAL(18,2)) AS units_purchased,
-           CASE WHEN c_acctbal < 0 THEN CAST(1634928698 + c_custkey AS BIGINT) END AS valid_to,
-           n_regionkey AS loyalty_segment
-    FROM customer JOIN nation ON c_nationkey = n_nationkey
-    """
+    f"""
+    SELECT * REPLACE (CAST(customer_id AS INTEGER) AS customer_id, CAST(lon AS DOUBLE) AS lon,
+                      CAST(lat AS DOUBLE) AS lat, n_regionkey AS loyalty_segment)
+    FROM (SELECT {_CUSTOMER}) c JOIN (SELECT n_name AS state, n_regionkey FROM nation) USING (state)
+    """.replace("SELECT * REPLACE", "SELECT * EXCLUDE (n_regionkey) REPLACE")
 )
 def ingest_csv_typed(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_dir(spark, "csv")
@@ -529,15 +545,8 @@ def ingest_csv_typed(spark: SparkSession, folder: str) -> DataFrame:
     )
     written.write.option("header", True).csv(path)
     rows = flat_files.read_csv(spark, path, schemas.CUSTOMER_FILE)
-    return rows.select(
-        "customer_id",
-        "customer_name",
-        "state",
-        "lon",
-        F.col("units_purchased").cast("decimal(18,2)").alias("units_purchased"),
-        F.col("valid_to").cast("bigint").alias("valid_to"),
-        "loyalty_segment",
-    )
+    kinds = {"valid_from": "bigint", "valid_to": "bigint", "units_purchased": "decimal(18,2)"}
+    return rows.withColumns({name: F.col(name).cast(kind) for name, kind in kinds.items()})
 
 
 @_register(
@@ -588,12 +597,20 @@ class _Replay:
         path = self.paths[table]
         return lambda spark: bus.message_stream(spark, "parquet", {}, path=path).where(kept)
 
-    def retail(self, *, expired: bool = False) -> Lake:
+    def retail(self, *, expired: bool = False, datasets=retail_datasets, **options) -> Lake:
         sources = {t: self.source(t, expired=expired) for t in bus.CAPTURED_TABLES}
-        return Lake(self.spark, f"{self.root}/lake", self.database, retail_datasets(sources))
+        return Lake(
+            self.spark, f"{self.root}/lake", self.database, datasets(sources, **options)
+        )
 
     def close(self) -> None:
-        """Drop the catalog entries; frames that are already read keep their files."""
+        """Drop the catalog entries; frames that are already read keep their files.
+
+        What the returned frame may still read stays under ``root``, which
+        belongs to the owner of the scratch folder; messages and checkpoints go.
+        """
+        files.delete(self.spark, f"{self.root}/bus")
+        files.delete(self.spark, f"{self.root}/lake/checkpoints")
         self.spark.sql(f"DROP DATABASE IF EXISTS `{self.database}` CASCADE")
 
 
@@ -744,3 +761,174 @@ def refresh_guard(spark: SparkSession, folder: str) -> DataFrame:
     )
     run.close()
     return rows
+
+
+_CUSTOMER_TOTALS = f"""
+    WITH {_LINES}
+    SELECT product_id, customer_id, CAST(sum(quantity) AS BIGINT) AS total_quantity,
+           CAST(sum(CAST(unit_price AS BIGINT) * quantity) AS BIGINT) AS sale_amount
+    FROM lines GROUP BY product_id, customer_id
+"""
+
+
+@_register(_CUSTOMER_TOTALS)
+def fact_customer_sales_lake(spark: SparkSession, folder: str) -> DataFrame:
+    """The recomputed table over the three streams' tables."""
+    run = _Replay(spark, folder)
+    run.send_all()
+    lake = run.retail(output_partitions=4)
+    lake.update()
+    rows = lake.read("fact_customer_sales")
+    run.close()
+    return rows
+
+
+def _history_lake(spark: SparkSession, folder: str, keep_null_rows: bool) -> DataFrame:
+    run = _Replay(spark, folder)
+    run.send("customers", _customer_history(spark, folder))
+    lake = run.retail(keep_null_rows=keep_null_rows)
+    lake.update()
+    rows = lake.read("customers_cleansed").select("customer_id", "customer_name")
+    run.close()
+    return rows
+
+
+@_register(_HISTORY)
+def customer_history_lake(spark: SparkSession, folder: str) -> DataFrame:
+    """Creates, updates, deletes and tombstones through the lake."""
+    return _history_lake(spark, folder, keep_null_rows=False)
+
+
+@_register(
+    _HISTORY
+    + """
+    UNION ALL
+    SELECT NULL, NULL FROM customer, (VALUES ('delete'), ('tombstone')) WHERE c_acctbal < 0
+    """
+)
+def customer_history_lake_with_nulls(spark: SparkSession, folder: str) -> DataFrame:
+    return _history_lake(spark, folder, keep_null_rows=True)
+
+
+@_register(_CUSTOMER_SALES)
+def gold_sql_lake(spark: SparkSession, folder: str) -> DataFrame:
+    """Dimensions, the streaming fact and the aggregate, each as a SELECT."""
+    run = _Replay(spark, folder)
+    run.send_all()
+    lake = run.retail(datasets=retail_sql_datasets)
+    lake.update()
+    rows = lake.read("customer_sales")
+    run.close()
+    return rows
+
+
+@_register(_CUSTOMER_TOTALS)
+def external_tables_lake(spark: SparkSession, folder: str) -> DataFrame:
+    """One lake keeps the raw tables; a second one reads them as another pipeline's."""
+    run = _Replay(spark, folder)
+    run.send_all()
+    sources = {t: run.source(t) for t in bus.CAPTURED_TABLES}
+    own, others = [], []
+    for dataset in retail_datasets(sources):
+        (others if dataset.name.endswith("_raw") else own).append(dataset)
+    Lake(spark, f"{run.root}/bronze", run.database, others).update()
+    views = [
+        Dataset(d.name, table_stream(f"{run.database}.{d.name}"), temporary=True) for d in others
+    ]
+    silver = Lake(spark, f"{run.root}/lake", f"{run.database}_silver", views + own)
+    silver.update()
+    rows = silver.read("fact_customer_sales")
+    run.close()
+    spark.sql(f"DROP DATABASE IF EXISTS `{run.database}_silver` CASCADE")
+    return rows
+
+
+@_register(
+    """
+    SELECT * FROM (VALUES
+      ('sales_orders_raw', '', NULL, 'false', '1 seconds'),
+      ('customers_raw', '', NULL, 'true', '1 seconds'),
+      ('products_raw', '', NULL, 'false', '1 seconds'),
+      ('sales_orders_cleansed', 'Order lines with typed columns', NULL, 'true', '60 seconds'),
+      ('customers_cleansed', 'Customer versions with typed columns', NULL, 'true', '60 seconds'),
+      ('products_cleansed', 'Product versions with typed columns', NULL, 'true', '60 seconds'),
+      ('dim_products', 'Product dimension', 'gold', 'true', '60 seconds'),
+      ('dim_customers', 'Customer dimension', 'gold', 'true', '60 seconds'),
+      ('fact_sales_orders', 'Order lines by customer and product key', 'gold', 'true', '60 seconds'),
+      ('fact_customer_sales', 'Sales by product and customer', 'gold', 'true', '60 seconds'),
+      ('customer_sales', 'Sales by customer and product key', 'gold', 'true', '60 seconds')
+    ) t(dataset, comment, quality, reset_allowed, trigger_interval)
+    JOIN (
+      SELECT 'sales_orders_raw' AS dataset, (SELECT count(DISTINCT l_orderkey) FROM lineitem) AS row_count, 2 AS n_columns
+      UNION ALL SELECT 'customers_raw', (SELECT count(*) FROM customer), 2
+      UNION ALL SELECT 'products_raw', (SELECT count(*) FROM part), 2
+      UNION ALL SELECT 'sales_orders_cleansed', (SELECT count(*) FROM lineitem), 11
+      UNION ALL SELECT 'customers_cleansed', (SELECT count(*) FROM customer), 19
+      UNION ALL SELECT 'products_cleansed', (SELECT count(*) FROM part), 7
+      UNION ALL SELECT 'dim_products', (SELECT count(*) FROM part), 8
+      UNION ALL SELECT 'dim_customers', (SELECT count(*) FROM customer), 20
+      UNION ALL SELECT 'fact_sales_orders', (SELECT count(*) FROM lineitem), 7
+      UNION ALL SELECT 'fact_customer_sales',
+        (SELECT count(*) FROM (SELECT DISTINCT o_custkey, l_partkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey)), 4
+      UNION ALL SELECT 'customer_sales',
+        (SELECT count(*) FROM (SELECT DISTINCT o_custkey, l_partkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey)), 4
+    ) USING (dataset)
+    """
+)
+def dataset_catalog(spark: SparkSession, folder: str) -> DataFrame:
+    """What the catalog says of each table of the lake, with its number of rows."""
+    run = _Replay(spark, folder)
+    run.send_all()
+    lake = run.retail()
+    lake.update()
+    found = None
+    for name in lake.datasets:
+        table = lake.table_name(name)
+        told = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+        properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+        text = lambda value: F.lit(value).cast("string")
+        row = lake.read(name).agg(F.count(F.lit(1)).alias("row_count")).select(
+            text(name).alias("dataset"),
+            text(told.get("Comment", "")).alias("comment"),
+            text(properties.get("quality")).alias("quality"),
+            text(properties["reset.allowed"]).alias("reset_allowed"),
+            text(properties["trigger.interval"]).alias("trigger_interval"),
+            "row_count",
+            F.lit(len(lake.read(name).columns)).alias("n_columns"),
+        )
+        found = row if found is None else found.union(row)
+    run.close()
+    return found
+
+
+@_register(
+    """
+    SELECT c_custkey AS customer_id, c_name AS customer_name FROM customer
+    UNION ALL SELECT 0, 'John smith'
+    """
+)
+def literal_row_lake(spark: SparkSession, folder: str) -> DataFrame:
+    """A running lake gets the customers, and then one row written out by hand."""
+    run = _Replay(spark, folder)
+    lake = run.retail()
+    queries = {q.name: q for q in lake.start()}
+    try:
+        run.send("customers", replay.customer_messages(spark, folder))
+        row = spark.sql("SELECT 0L AS customer_id, 'John smith' AS customer_name, 'MI' AS state")
+        run.send("customers", encode_changes(row, ["customer_id"], topic=bus.topic_name("customers")))
+        for name in ("customers_raw", "customers_cleansed"):
+            queries[name].processAllAvailable()
+        rows = lake.read("customers_cleansed").select("customer_id", "customer_name")
+    finally:
+        for query in queries.values():
+            query.stop()
+    run.close()
+    return rows
+
+
+@_register(_CUSTOMER_TOTALS)
+def cached_lake_table(spark: SparkSession, folder: str) -> DataFrame:
+    """A table of the lake kept in memory and shown, then read from there."""
+    rows = fact_customer_sales_lake(spark, folder).cache()
+    rows.limit(5).collect()
+    return rows

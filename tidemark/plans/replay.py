@@ -14,32 +14,14 @@ from tidemark.functions.changes import encode_changes
 from tidemark.functions.decimals import encode_scaled_decimal
 from tidemark.sources.bus import topic_name
 
-# An order with more lines than this is sent as several events of about this
-# many lines each, so that no document grows with the data.
-LINES_PER_EVENT = 1000
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def order_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Order documents: ``schemas.ORDER`` with the products of each order."""
-    line = table(spark, folder, "lineitem").select(
-        "l_orderkey",
-        "l_partkey",
-        "l_linenumber",
-        "l_quantity",
-        "l_extendedprice",
-        "l_discount",
-        F.monotonically_increasing_id().alias("place"),
-    )
-    counts = line.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("order_lines"))
-    long_orders = counts.where(F.col("order_lines") > LINES_PER_EVENT).withColumn(
-        "pieces", F.ceil(F.col("order_lines") / LINES_PER_EVENT)
-    )
+    line = table(spark, folder, "lineitem")
     part = table(spark, folder, "part").select("p_partkey", "p_name")
-
     product = F.struct(
         F.lit("USD").alias("curr"),
         F.col("l_partkey").cast("string").alias("id"),
@@ -49,16 +31,13 @@ def order_rows(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("pcs").alias("unit"),
         F.when(F.col("l_discount") >= 0.05, _promotion()).alias("promotion_info"),
     )
+    # A captured row holds its documents in one value, so the lists are as long
+    # as the source's own record.
     documents = (
         line.join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .join(long_orders, "l_orderkey", "left")
-        .withColumn(
-            "piece", F.coalesce(F.pmod(F.xxhash64("place"), F.col("pieces")), F.lit(0))
-        )
-        .repartition("l_orderkey", "piece")
-        .groupBy("l_orderkey", "piece")
+        .groupBy("l_orderkey")
         .agg(
-            F.coalesce(F.max("order_lines"), F.count(F.lit(1))).alias("number_of_line_items"),
+            F.count(F.lit(1)).alias("number_of_line_items"),
             F.collect_list(product).alias("ordered_products"),
             F.collect_list(F.array(F.col("p_name"), F.col("l_linenumber").cast("string"))).alias(
                 "clicked_items"
@@ -85,11 +64,20 @@ def customer_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Customers: ``schemas.CUSTOMER``.  Only accounts in debt have an end of validity."""
     columns = {
         "customer_id": F.col("c_custkey"),
+        "tax_id": F.concat(F.lit("T-"), "c_custkey"),
+        "tax_code": F.concat(F.lit("C"), F.col("c_custkey") % 7),
         "customer_name": F.col("c_name"),
         "state": F.col("n_name"),
+        "city": F.concat("n_name", F.lit(" City"), F.col("c_custkey") % 11),
+        "postcode": F.lpad((F.col("c_custkey") % 100000).cast("string"), 5, "0"),
+        "street": F.concat(F.lit("Street "), F.col("c_custkey") % 101),
+        "number": (F.col("c_custkey") % 300).cast("string"),
+        "unit": F.concat(F.lit("U"), F.col("c_custkey") % 9),
         "region": F.col("r_name"),
+        "district": F.concat("r_name", F.lit("/"), "n_name"),
         "lon": (F.col("c_nationkey") * -1.5).cast(schemas.DEGREES),
         "lat": (F.col("c_nationkey") * 0.5).cast(schemas.DEGREES),
+        "ship_to_address": F.concat(F.lit("Ship to "), "c_custkey", F.lit(", "), "n_name"),
         "valid_from": encode_scaled_decimal(F.lit(1534928698) + F.col("c_custkey"), 0),
         "valid_to": encode_scaled_decimal(
             F.when(F.col("c_acctbal") < 0, F.lit(1634928698) + F.col("c_custkey")), 0

@@ -12,10 +12,6 @@ from tidemark.streaming.lake import KEYED, RECOMPUTED, Dataset
 
 GOLD = {"quality": "gold"}
 
-# The most that a micro-batch reads of one input, so that filling a new lake from
-# a long history goes in steps that each commit.
-BATCH_BYTES = str(512 * 1024**3)
-
 Source = Callable[[SparkSession], DataFrame]
 
 
@@ -26,20 +22,34 @@ def retail_datasets(
     product_salt: int = 4,
     customer_salt: int = 4,
     read_options: Mapping[str, str] | None = None,
+    keep_null_rows: bool = False,
+    output_partitions: int | None = None,
+    late: facts.Lateness | None = None,
 ) -> list[Dataset]:
     """All datasets, given a message source per captured table.
 
     ``sources`` maps ``sales_orders``, ``customers`` and ``products`` to a
-    function that opens the stream of its messages.  ``read_options`` replace
-    the bound on what a micro-batch reads of a table.
+    function that opens the stream of its messages.  ``keep_null_rows`` keeps an
+    all-NULL row for each customer or product message without a row: deletes,
+    tombstones, and messages that do not parse.
 
     Before the order-line fact starts, the lines that are there show which
     products and customers hold more than their share of rows, and over how many
-    join partitions each has to spread.  The salts are for keys that grow hot
-    later: every key spreads over so many partitions, at the price of as many
-    copies of its dimension row in the join state.
+    join partitions each has to spread.  The salts are for all other keys: every
+    key spreads over so many partitions, at the price of as many copies of its
+    dimension row in the join state.  A key that grows hot later stays on them
+    until ``Lake.rebuild("fact_sales_orders")`` measures anew.
+
+    ``read_options`` go to the reads of the tables.  ``maxBytesPerTrigger`` lets
+    the filling of a lake from a long history go in steps that each commit, but
+    surrogate keys then follow their order within each step only.
+    ``output_partitions`` bounds the files that a cleansed table or the fact
+    gets per micro-batch.  ``late`` bounds the state of the fact's joins by an
+    event time that the lines and both dimensions must carry; off by default, as
+    it drops late matches.
     """
-    options = {"maxBytesPerTrigger": BATCH_BYTES} if read_options is None else read_options
+    options = {} if read_options is None else read_options
+    rows = {"read_options": options, "output_partitions": output_partitions}
     return [
         _raw("sales_orders", sources, reset_allowed=False),
         _raw("customers", sources, reset_allowed=True),
@@ -50,23 +60,27 @@ def retail_datasets(
             ["sales_orders_raw"],
             schema=schemas.ORDER_LINE,
             comment="Order lines with typed columns",
-            read_options=options,
+            **rows,
         ),
         Dataset(
             "customers_cleansed",
-            lambda spark, messages: cleanse.cleanse_customers(messages),
+            lambda spark, messages: cleanse.cleanse_customers(
+                messages, keep_null_rows=keep_null_rows
+            ),
             ["customers_raw"],
             schema=schemas.CUSTOMER,
             comment="Customer versions with typed columns",
-            read_options=options,
+            **rows,
         ),
         Dataset(
             "products_cleansed",
-            lambda spark, messages: cleanse.cleanse_products(messages),
+            lambda spark, messages: cleanse.cleanse_products(
+                messages, keep_null_rows=keep_null_rows
+            ),
             ["products_raw"],
             schema=schemas.PRODUCT,
             comment="Product versions with typed columns",
-            read_options=options,
+            **rows,
         ),
         Dataset(
             "dim_products",
@@ -75,6 +89,7 @@ def retail_datasets(
             kind=KEYED,
             key="product_key",
             order_by=["product_id"],
+            stable_input=True,
             schema=schemas.DIM_PRODUCT,
             comment="Product dimension",
             properties=GOLD,
@@ -87,6 +102,7 @@ def retail_datasets(
             kind=KEYED,
             key="customer_key",
             order_by=["customer_id"],
+            stable_input=True,
             schema=schemas.DIM_CUSTOMER,
             comment="Customer dimension",
             properties=GOLD,
@@ -94,16 +110,17 @@ def retail_datasets(
         ),
         Dataset(
             "fact_sales_orders",
-            lambda spark, *inputs, hot_products, hot_customers: facts.fact_sales_orders(
+            lambda spark, *inputs, hot_products=(), hot_customers=(): facts.fact_sales_orders(
                 *inputs,
                 product_salting=facts.Salting(product_salt, hot_products),
                 customer_salting=facts.Salting(customer_salt, hot_customers),
+                late=late,
             ),
             ["sales_orders_cleansed", "dim_products", "dim_customers"],
             schema=schemas.FACT_SALES_ORDER,
             comment="Order lines by customer and product key",
             properties=GOLD,
-            read_options=options,
+            **rows,
             pinned={"product_salt": product_salt, "customer_salt": customer_salt},
             measure=_hot_keys,
         ),
@@ -130,12 +147,12 @@ def retail_datasets(
     ]
 
 
-def _hot_keys(spark: SparkSession, lines: DataFrame, *dimensions: DataFrame) -> dict:
+def _hot_keys(spark: SparkSession, lines: DataFrame, *dimensions: DataFrame) -> dict | None:
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return {
-        "hot_products": facts.hot_keys(lines, "product_id", partitions),
-        "hot_customers": facts.hot_keys(lines, "customer_id", partitions),
-    }
+    hot = facts.hot_keys(lines, ["product_id", "customer_id"], partitions)
+    if hot is None:
+        return None
+    return {"hot_products": hot["product_id"], "hot_customers": hot["customer_id"]}
 
 
 def _raw(table: str, sources: Mapping[str, Source], *, reset_allowed: bool) -> Dataset:

@@ -33,6 +33,10 @@ def read_json_lines(
     )
 
 
+# Stands for a quoted empty field while a file is read.
+_QUOTED_EMPTY = "\x01quoted empty\x01"
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -40,19 +44,33 @@ def read_csv(
     *,
     delimiter: str = ",",
     on_error: str = "fail",
+    multi_line: bool = False,
 ) -> DataFrame:
-    """Delimited text with a header line, a doubled quote inside quotes, and
-    empty fields as NULL."""
-    return (
+    """Delimited text with a header line and a doubled quote inside quotes.
+
+    An empty field is NULL; ``""`` is the empty text, and an error in a column
+    that is not text.  ``multi_line`` allows line breaks inside quotes; a file is
+    then read by one task, however large it is.
+    """
+    rows = (
         spark.read.schema(schema)
         .option("header", True)
         .option("sep", delimiter)
         .option("nullValue", "")
+        .option("emptyValue", _QUOTED_EMPTY)
         .option("escape", '"')
-        .option("multiLine", False)
+        .option("multiLine", multi_line)
         .option("mode", _choose(on_error, fail="FAILFAST", null="PERMISSIVE"))
         .csv(path)
     )
+    return rows.select(
+        *[
+            F.when(F.col(f.name) == _QUOTED_EMPTY, "").otherwise(F.col(f.name)).alias(f.name)
+            if isinstance(f.dataType, T.StringType)
+            else F.col(f.name)
+            for f in schema.fields
+        ]
+    )
 
 
 def _choose(on_error: str, **modes: str) -> str:

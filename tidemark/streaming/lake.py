@@ -13,6 +13,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -44,7 +45,13 @@ class Dataset:
     streaming reads of the inputs, e.g. ``maxFilesPerTrigger``.  ``pinned``
     settings may only change with a full refresh.  ``measure`` is called like
     ``build``, with the complete inputs, before the first start; ``build`` gets
-    the dict it returns (plain JSON values) as keywords, until a full refresh.
+    the dict it returns (plain JSON values) as keywords, until a full refresh or
+    ``Lake.rebuild``.  If it returns None there is nothing to measure yet:
+    updates leave the dataset empty, and a continuous run starts it without.
+
+    ``output_partitions`` bounds the number of files that a stream's micro-batch
+    adds, by a shuffle of its result.  ``stable_input`` is that of
+    ``assign_keys`` for a keyed dataset.
     """
 
     name: str
@@ -61,7 +68,9 @@ class Dataset:
     temporary: bool = False
     read_options: Mapping[str, str] = field(default_factory=dict)
     pinned: Mapping[str, int | str] = field(default_factory=dict)
-    measure: Callable[..., dict] | None = None
+    measure: Callable[..., dict | None] | None = None
+    output_partitions: int | None = None
+    stable_input: bool = False
 
     def __post_init__(self):
         if self.kind not in (STREAM, KEYED, RECOMPUTED):
@@ -151,16 +160,43 @@ class Lake:
     def start(self) -> list[StreamingQuery]:
         """Run all streams at their intervals until stopped.
 
-        Recomputed tables change only when ``recompute`` is called.
+        Recomputed tables change only when ``recompute`` is called.  If a dataset
+        has still to be measured, the lake is first brought up to date, so that
+        the measurement covers what the sources hold now.
         """
-        queries = []
-        for level in self._levels:
-            for dataset in level:
-                query = self._start(dataset, processingTime=dataset.trigger)
-                if query is not None:
-                    queries.append(query)
+        if any(self._unmeasured(d) for d in self.datasets.values()):
+            self.update()
+        queries: list[StreamingQuery] = []
+        try:
+            for level in self._levels:
+                for dataset in level:
+                    query = self._start(dataset, wait=False, processingTime=dataset.trigger)
+                    if query is not None:
+                        queries.append(query)
+        except BaseException:
+            for query in queries:
+                query.stop()
+            raise
         return queries
 
+    def rebuild(self, name: str) -> None:
+        """Clear one stream and build it again from its inputs, measured anew.
+
+        Recomputed tables that read it follow.  Its query must not be running,
+        and no other stream may read it, as that one would see its rows twice.
+        """
+        dataset = self.datasets[name]
+        readers = [d for d in self.datasets.values() if name in d.inputs]
+        if dataset.kind == RECOMPUTED or any(d.kind != RECOMPUTED for d in readers):
+            raise ValueError(f"{name} is read by other streams, or is no stream")
+        if any(q.name == name for q in self.session.streams.active):
+            raise ValueError(f"stop the query of {name} first")
+        self._clear(dataset)
+        query = self._start(dataset, availableNow=True)
+        if query is not None:
+            query.awaitTermination()
+        self.recompute(readers)
+
     def recompute(self, datasets: Sequence[Dataset] | None = None) -> None:
         """Build the recomputed ones among ``datasets`` (default: all) anew."""
         for dataset in self.datasets.values() if datasets is None else datasets:
@@ -215,16 +251,27 @@ class Lake:
                 self.session.catalog.dropTempView(name)
         return rows
 
-    def _start(self, dataset: Dataset, **trigger) -> StreamingQuery | None:
+    def _start(
+        self, dataset: Dataset, *, wait: bool = True, **trigger
+    ) -> StreamingQuery | None:
+        """Start a stream; with ``wait`` not before it can be measured."""
         if dataset.kind == RECOMPUTED:
             return None
         if self._is_view(dataset.name):
             rows = conform(self._built(dataset, {}), dataset.schema)
             rows.createOrReplaceTempView(dataset.name)
             return None
-        rows = self._built(dataset, self._pinned(dataset))
+        measured = self._pinned(dataset, wait)
+        rows = self._built(dataset, measured or {})
         if dataset.kind == STREAM:
             rows = conform(rows, dataset.schema)
+        if measured is None:
+            self._create(dataset, rows.schema)
+            return None
+        if dataset.output_partitions is not None and dataset.kind == STREAM:
+            # A shuffle, as fewer partitions without one would run the whole
+            # stateful stage in as few tasks.
+            rows = rows.repartition(dataset.output_partitions)
         writer = (
             rows.writeStream.queryName(dataset.name)
             .outputMode("append")
@@ -257,7 +304,12 @@ class Lake:
                 start = last.agg({dataset.key: "max"}).first()[0]
             staging = f"{root}/staging/{dataset.name}-{uuid.uuid4().hex}"
             keyed = assign_keys(
-                batch, dataset.key, order_by=dataset.order_by, start=start, staging=staging
+                batch,
+                dataset.key,
+                order_by=dataset.order_by,
+                start=start,
+                staging=staging,
+                stable_input=dataset.stable_input,
             )
             if not keyed.isEmpty():
                 conform(keyed, dataset.schema).write.parquet(f"{staging}/keyed")
@@ -277,34 +329,75 @@ class Lake:
             self.session.read.schema(rows.schema).parquet(version).createOrReplaceTempView(
                 dataset.name
             )
+            kept = before[-1:]
         else:
             # Readers see the last version until the table points to this one.
+            last = self._location(dataset)
+            kept = [] if last is None else [last.rstrip("/").rsplit("/", 1)[-1]]
             self._create(dataset, rows.schema, path=version)
             table = self.table_name(dataset.name)
             self.spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
-        # Keep one version back for readers that are still on it.
-        for old in before[:-1]:
-            files.delete(self.spark, f"{path}/{old}")
+        # Keep the version that readers may still be on, and no other: a newer
+        # one is what a failed run has left.
+        for old in before:
+            if old not in kept:
+                files.delete(self.spark, f"{path}/{old}")
+
+    def _location(self, dataset: Dataset) -> str | None:
+        """Where the catalog says the table's files are."""
+        table = self.table_name(dataset.name)
+        if not self.spark.catalog.tableExists(table):
+            return None
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+        return described.where("col_name = 'Location'").first()["data_type"]
 
     def _create(self, dataset: Dataset, schema: T.StructType, path: str | None = None, **options):
+        """Put the table in the catalog, or bring its entry up to date.
+
+        A recomputed table takes a changed schema; for a stream that is an error,
+        as the rows it has are of the old one.
+        """
         table = self.table_name(dataset.name)
-        if dataset.temporary or self.spark.catalog.tableExists(table):
+        if dataset.temporary:
             return
-        self.spark.catalog.createTable(
-            table,
-            path=path or self._path(dataset.name),
-            source="parquet",
-            schema=schema,
-            description=dataset.comment,
-            **options,
-        )
+        exists = self.spark.catalog.tableExists(table)
+        if exists and not _same_columns(self.spark.table(table).schema, schema):
+            if dataset.kind != RECOMPUTED:
+                raise ValueError(
+                    f"{table} holds {self.spark.table(table).schema.simpleString()}, but "
+                    f"{schema.simpleString()} is built; a full refresh starts it over"
+                )
+            # The table is external, so its files stay.
+            self.spark.sql(f"DROP TABLE {table}")
+            exists = False
+        if not exists:
+            self.spark.catalog.createTable(
+                table,
+                path=path or self._path(dataset.name),
+                source="parquet",
+                schema=schema,
+                description=dataset.comment,
+                **options,
+            )
+        else:
+            self.spark.sql(f"COMMENT ON TABLE {table} IS {_literal(dataset.comment)}")
         properties = {
             **dataset.properties,
             "reset.allowed": str(dataset.reset_allowed).lower(),
             "trigger.interval": dataset.trigger,
         }
-        pairs = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
-        self.spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({pairs})")
+        gone = self._set_properties(table) - set(properties)
+        pairs = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in properties.items())
+        names = f"{_literal(_OWN)} = {_literal(json.dumps(sorted(properties)))}"
+        self.spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({pairs}, {names})")
+        if gone:
+            keys = ", ".join(map(_literal, sorted(gone)))
+            self.spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ({keys})")
+
+    def _set_properties(self, table: str) -> set[str]:
+        """The properties that this lake has set before."""
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == _OWN).collect()
+        return set(json.loads(rows[0]["value"])) if rows else set()
 
     def _clear(self, dataset: Dataset) -> None:
         if self._is_view(dataset.name):
@@ -318,8 +411,15 @@ class Lake:
     def _pinned_path(self, name: str) -> str:
         return f"{self.root}/pinned/{name}.json"
 
-    def _pinned(self, dataset: Dataset) -> dict:
-        """What was measured for the dataset; its pinned settings are checked."""
+    def _unmeasured(self, dataset: Dataset) -> bool:
+        path = self._pinned_path(dataset.name)
+        return dataset.measure is not None and not files.exists(self.spark, path)
+
+    def _pinned(self, dataset: Dataset, wait: bool) -> dict | None:
+        """What was measured for the dataset; its pinned settings are checked.
+
+        None if there is nothing to measure yet and the dataset can ``wait``.
+        """
         path = self._pinned_path(dataset.name)
         given = json.loads(json.dumps(dict(dataset.pinned)))
         text = files.read_text(self.spark, path)
@@ -328,6 +428,10 @@ class Lake:
             if dataset.measure is not None:
                 complete = [self._read(self.session, i) for i in dataset.inputs]
                 measured = dataset.measure(self.session, *complete)
+            if measured is None:
+                if wait:
+                    return None
+                measured = {}
             text = json.dumps({"given": given, "measured": measured})
             files.write_text(self.spark, path, text)
         stored = json.loads(text)
@@ -346,6 +450,21 @@ class Lake:
             )
 
 
+# The property that names those which a lake has set itself.
+_OWN = "tidemark.properties"
+
+
+def _literal(text: str) -> str:
+    escaped = str(text).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def _same_columns(a: T.StructType, b: T.StructType) -> bool:
+    """Equal names and types; a file table has all its columns nullable."""
+    plain = lambda schema: [(f.name, f.dataType.simpleString()) for f in schema.fields]
+    return plain(a) == plain(b)
+
+
 def _batch_name(batch_id: int) -> str:
     return f"batch-{batch_id:012d}"
 
