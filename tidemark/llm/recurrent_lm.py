@@ -27,8 +27,11 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from tidemark.llm.gru import Layout, Network
 from tidemark.llm.tables import column, map_arrow, staged
@@ -37,13 +40,16 @@ HOT_SHARE = 1_000_000
 HEAD_CLASSES, PER_CLASS, TAIL_CLASSES = 16, 64, 16
 CHUNK_TOKENS = 3_000_000
 COUNTED_WORDS = 300_000
+CACHED_WORDS = 300_000
 _END = b""
 _SCALE = 1 << 20
 
 
 def tokens_of(text: bytes | None) -> list[bytes]:
     """Words in lower case (A-Z only), then the end token."""
-    return [*(text.lower().split() if text else ()), _END]
+    words = text.lower().split() if text else []
+    words.append(_END)
+    return words
 
 
 def _ending(word: bytes) -> int:
@@ -91,7 +97,10 @@ class _Lookup(dict):
         self.hot = hot
 
     def __missing__(self, word: bytes) -> int:
-        return self.hot + _ending(word)
+        number = self.hot + _ending(word)
+        if len(self) < self.hot + CACHED_WORDS:
+            self[word] = number
+        return number
 
 
 def _layout() -> Layout:
@@ -108,9 +117,9 @@ def word_counts(docs: DataFrame) -> DataFrame:
             for text, held in zip(texts, batch.column(1).to_pylist(), strict=True):
                 (rest if held else train).update(tokens_of(text))
                 if len(train) + len(rest) > COUNTED_WORDS:
-                    yield _counted(train, rest)
+                    yield from (_counted(train, 1), _counted(rest, 0))
                     train, rest = Counter(), Counter()
-        yield _counted(train, rest)
+        yield from (_counted(train, 1), _counted(rest, 0))
 
     partial = map_arrow(
         docs.select("text", "held_out"), run, "word binary, n_train bigint, n_all bigint"
@@ -118,12 +127,11 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return partial.groupBy("word").agg(F.sum("n_train").alias("n_train"), F.sum("n_all").alias("n_all"))
 
 
-def _counted(train: Counter, rest: Counter) -> pa.RecordBatch:
-    words = list(train.keys() | rest.keys())
-    a = np.fromiter((train[w] for w in words), np.int64, len(words))
-    b = np.fromiter((rest[w] for w in words), np.int64, len(words))
+def _counted(words: Counter, in_training: int) -> pa.RecordBatch:
+    n = np.fromiter(words.values(), np.int64, len(words))
     return pa.RecordBatch.from_arrays(
-        [pa.array(words, pa.binary()), pa.array(a), pa.array(a + b)], ["word", "n_train", "n_all"]
+        [pa.array(list(words), pa.binary()), pa.array(n * in_training), pa.array(n)],
+        ["word", "n_train", "n_all"],
     )
 
 
@@ -245,10 +253,6 @@ _SCORED = (
 
 def _scored(docs: DataFrame, vocabulary, weights, log_mass) -> DataFrame:
     """A row per document, with the words that are still to be joined."""
-    from pyspark import TaskContext
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
     schema = StructType.fromDDL(_SCORED.format(id="bigint"))
     schema["doc_id"].dataType = docs.schema["doc_id"].dataType
     arrow = to_arrow_schema(schema)
