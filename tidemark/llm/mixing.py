@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from tidemark.llm.tables import column, map_arrow, packed, staged
+from tidemark.llm.tables import column, map_arrow, packed, small, staged
 from tidemark.operators.keys import assign_keys
 
 WEIGHTS = (1, 2, 3)
@@ -175,7 +175,7 @@ def mix(
         .agg(F.count(F.lit(1)).alias("copies")),
         "mix-taken",
     )
-    counted = rows.join(taken, "place", "left")
+    counted = rows.join(small(taken), "place", "left")
     return counted.join(
         targets.select(F.col("source").alias("target_source"), "source_size", "target"),
         F.col("source").eqNullSafe(F.col("target_source")),

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import column, packed, staged
+from tidemark.llm.tables import column, packed, small, staged
 
 # Ratio and its slack.
 SLACK = {"symbol_ratio": 0.02, "shout_ratio": 0.2, "dup_line_ratio": 0.35, "repeat_ratio": 0.3}
@@ -144,10 +144,8 @@ def judged(metrics: DataFrame, limits: DataFrame) -> DataFrame:
     ``BROADCAST_GROUPS`` rows, so that texts that are carried along stay where
     they are; otherwise both sides are shuffled.
     """
-    if limits.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS:
-        limits = F.broadcast(limits)
     joined = metrics.join(
-        limits,
+        small(limits, BROADCAST_GROUPS),
         F.col("lang").eqNullSafe(F.col("fence_lang"))
         & F.col("source").eqNullSafe(F.col("fence_source")),
         "left",

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.llm.components import connected_components
-from tidemark.llm.tables import column, map_arrow, map_texts, staged
+from tidemark.llm.tables import column, map_arrow, map_texts, small, staged
 
 SEED = 42
 SHINGLE = 3
@@ -242,11 +242,11 @@ def drop_near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str =
     alone = (F.col("rows") == 1) & stays.doc_id.isNotNull()
     stays = staged(stays.join(rows, same).select(stays.doc_id, "fp", alone.alias("alone")), "simhash-stays")
 
-    picked = docs.join(
-        stays.where("alone").select(F.col("doc_id").alias("_stays")),
-        column(doc_id) == F.col("_stays"),
-        "left_semi",
-    )
+    # What goes is mostly less than what stays.
+    gone = slim.select("doc_id").distinct().join(stays.where("alone"), "doc_id", "left_anti")
+    gone = staged(gone.where("doc_id is not null").withColumnRenamed("doc_id", "_gone"), "simhash-gone")
+    picked = docs.where(column(doc_id).isNotNull())
+    picked = picked.join(small(gone), column(doc_id) == F.col("_gone"), "left_anti")
     several = stays.where("not alone")
     if several.isEmpty():
         return picked

@@ -8,13 +8,20 @@ import shutil
 import tempfile
 from collections.abc import Callable, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructField, StructType
 
 from tidemark.session import scratch_dir
 
+SLICE_BYTES = 4 << 20
+# Rows of a few numbers that are broadcast at most: some 50 MB.
+BROADCAST_ROWS = 2_000_000
+
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -46,6 +53,14 @@ def staged(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def small(frame: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A stored table marked to be broadcast if it has at most so many rows.
+
+    Beyond that a join with it shuffles both sides.
+    """
+    return F.broadcast(frame) if frame.count() <= rows else frame
+
+
 def map_arrow(frame: DataFrame, run, schema) -> DataFrame:
     """``mapInArrow`` with this package sent to the executors first, once per context."""
     context = frame.sparkSession.sparkContext
@@ -71,25 +86,30 @@ def map_texts(
 ) -> DataFrame:
     """Columns ``doc`` (a struct of ``keep``) and ``fields``, worked out from ``text``.
 
-    ``make`` runs once in each task; what it returns gets the texts of an Arrow
-    batch as UTF-8 bytes (None for null) and gives a list of values per field.
+    ``make`` runs once in each task; what it returns gets some texts as UTF-8
+    bytes (None for null) and gives a list of values per field.  Texts come in
+    slices of about ``SLICE_BYTES``, which bounds what a worker holds.
     """
     narrowed = frame.select(packed(frame, keep), column(text).alias("text"))
     schema = StructType([narrowed.schema["doc"], *fields])
-    types = [_arrow_type(f.dataType) for f in fields]
+    types = [to_arrow_type(f.dataType) for f in fields]
     names = schema.names
 
     def run(batches):
         work = make()
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
-            made = [pa.array(v, t) for v, t in zip(work(texts), types, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *made], names)
+            for part in slices(batch, 1):
+                texts = part.column(1).cast(pa.binary()).to_pylist()
+                made = [pa.array(v, t) for v, t in zip(work(texts), types, strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column(0), *made], names)
 
     return map_arrow(narrowed, run, schema)
 
 
-def _arrow_type(kind) -> pa.DataType:
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return to_arrow_type(kind)
+def slices(batch: pa.RecordBatch, text: int):
+    """A batch cut so that each part holds about ``SLICE_BYTES`` of its text column, or one row."""
+    size = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(size + 64) // SLICE_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for begin, end in zip(cuts, cuts[1:], strict=False):
+        yield batch.slice(begin, end - begin)
