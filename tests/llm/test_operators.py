@@ -545,6 +545,33 @@ def test_stages_take_tricky_rows(spark, tmp_path):
             assert made.count() <= docs.count()
 
 
+def test_large_tables_are_not_broadcast(spark, monkeypatch):
+    """Beyond the bound the same rows come out of shuffled joins."""
+    from tidemark.llm import tables
+
+    docs = tricky.frame(spark).drop("copies")
+    results = []
+    for rows in (tables.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(tables.small, "__defaults__", (rows,))
+        monkeypatch.setattr(quality, "BROADCAST_GROUPS", rows)
+        made = (quality.keep_good(docs), simhash.drop_near_duplicates(docs), mixing.mixed(docs))
+        results.append([multiset(m.collect()) for m in made])
+    assert results[0] == results[1]
+
+
+def test_slices_hold_all_rows(monkeypatch):
+    import pyarrow as pa
+
+    from tidemark.llm import tables
+
+    monkeypatch.setattr(tables, "SLICE_BYTES", 1000)
+    for texts in ([], [None], ["x" * 5000], ["a" * (37 * i % 700) for i in range(200)] + [None, ""]):
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string())], ["i", "t"])
+        parts = list(tables.slices(batch, 1))
+        assert [x for p in parts for x in p.column(1).to_pylist()] == texts
+        assert all(sum(len(x or "") + 64 for x in p.column(1).to_pylist()[:-1]) <= 2000 for p in parts)
+
+
 def test_hidden_from_the_rest():
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     for folder, _, files in os.walk(os.path.join(root, "tidemark")):

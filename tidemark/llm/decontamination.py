@@ -20,11 +20,13 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StringType, StructField
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from tidemark.llm.tables import column, map_arrow, map_texts, staged
+from tidemark.llm.tables import column, map_arrow, map_texts, packed, slices, staged
 
 WIDTH = 10
 BLOCK_BYTES = 16 << 20
@@ -182,22 +184,19 @@ def _pass(docs, block, spark, text, keep, width, again, earlier=None) -> DataFra
 
 
 def _map_again(frame: DataFrame, make) -> DataFrame:
-    import pyarrow as pa
-    from pyspark.sql.types import StructType
-
-    from tidemark.llm.tables import _arrow_type, packed
-
+    """A further pass over rows that have their hits of earlier blocks beside them."""
     narrowed = frame.select(packed(frame, ["doc", "text"]), "text", "hits", "items")
     schema = StructType([narrowed.schema["doc"], *_FIELDS])
-    types = [_arrow_type(f.dataType) for f in _FIELDS]
+    types = [to_arrow_type(f.dataType) for f in _FIELDS]
 
     def run(batches):
         work = make()
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
-            before = list(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True))
-            made = [pa.array(v, t) for v, t in zip(work(texts, before), types, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *made], schema.names)
+            for part in slices(batch, 1):
+                texts = part.column(1).cast(pa.binary()).to_pylist()
+                before = list(zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True))
+                made = [pa.array(v, t) for v, t in zip(work(texts, before), types, strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column(0), *made], schema.names)
 
     return map_arrow(narrowed, run, schema)
 

@@ -74,15 +74,15 @@ def lanes(documents: list[np.ndarray], width: int = LANES) -> tuple[np.ndarray,
         heapq.heappush(heap, (length + len(documents[i]), k))
     sizes = sorted(heap, reverse=True)
     steps = sizes[0][0] if sizes else 0
-    tokens = np.full((len(sizes), steps), -1, np.int32)
-    owner = np.full((len(sizes), steps), -1, np.int32)
+    tokens = np.full((steps, len(sizes)), -1, np.int32)
+    owner = np.full((steps, len(sizes)), -1, np.int32)
     for row, (_, k) in enumerate(sizes):
         at = 0
         for i in dealt[k]:
             n = len(documents[i])
-            tokens[row, at : at + n], owner[row, at : at + n] = documents[i], i
+            tokens[at : at + n, row], owner[at : at + n, row] = documents[i], i
             at += n
-    return np.ascontiguousarray(tokens.T), np.ascontiguousarray(owner.T)
+    return tokens, owner
 
 
 _SAFE = 40.0

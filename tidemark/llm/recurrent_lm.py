@@ -38,9 +38,9 @@ from tidemark.llm.tables import column, map_arrow, staged
 
 HOT_SHARE = 1_000_000
 HEAD_CLASSES, PER_CLASS, TAIL_CLASSES = 16, 64, 16
-CHUNK_TOKENS = 3_000_000
+CHUNK_TOKENS = 5_000_000
 COUNTED_WORDS = 300_000
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 _END = b""
 _SCALE = 1 << 20
 
