@@ -88,13 +88,17 @@ def lanes(documents: list[np.ndarray], width: int = LANES) -> tuple[np.ndarray,
 _SAFE = 40.0
 
 
-def _log_softmax(x: np.ndarray, bound: float) -> tuple[np.ndarray, np.ndarray]:
-    """Logarithms and values of a softmax over rows; no |x| is above ``bound``."""
+def _softmax(x: np.ndarray, target: np.ndarray, bound: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each row the log-softmax at ``target``, and exponentials with their sum.
+
+    No |x| is above ``bound``; ``x`` is overwritten.
+    """
     if bound > _SAFE:
-        x = x - x.max(axis=1, keepdims=True)
-    e = np.exp(x)
-    total = e @ np.ones((x.shape[1], 1), np.float32)
-    return x - np.log(total), e / total
+        x -= x.max(axis=1, keepdims=True)
+    picked = x[np.arange(len(x)), target]
+    np.exp(x, out=x)
+    total = x @ np.ones((x.shape[1], 1), np.float32)
+    return picked - np.log(total[:, 0]), x, total
 
 
 def _bound(w: np.ndarray, bias: np.ndarray) -> float:
@@ -164,14 +168,15 @@ class Network:
             state = hidden[t]
         flat, target, word = hidden.reshape(-1, size), target.ravel(), word.ravel()
         ok = valid.ravel()
-        rows = np.arange(len(flat))
-        log_class, share = _log_softmax(
-            flat @ w["out"] + w["out_bias"], _bound(w["out"], w["out_bias"])
-        )
-        out = log_class[rows, target]
+        padded = not ok.all()
+        logits = flat @ w["out"]
+        logits += w["out_bias"]
+        out, share, total = _softmax(logits, target, _bound(w["out"], w["out_bias"]))
         if learn:
-            share[rows, target] -= 1
-            share[~ok] = 0
+            share /= total
+            share[np.arange(len(flat)), target] -= 1
+            if padded:
+                share[~ok] = 0
             d_hidden = share @ w["out"].T
             grads = {"out": flat.T @ share, "out_bias": share.sum(axis=0)}
             g_word, g_bias = np.zeros_like(w["word"]), np.zeros_like(w["word_bias"])
@@ -183,13 +188,16 @@ class Network:
             at = order[bounds[k] : bounds[k + 1]]
             if not len(at):
                 continue
-            some = flat[at]
-            log_word, share = _log_softmax(some @ w["word"][k] + w["word_bias"][k], bound)
-            i = np.arange(len(at))
-            out[at] += log_word[i, word[at]]
+            some, which = flat[at], word[at]
+            logits = some @ w["word"][k]
+            logits += w["word_bias"][k]
+            picked, share, total = _softmax(logits, which, bound)
+            out[at] += picked
             if learn:
-                share[i, word[at]] -= 1
-                share[~ok[at]] = 0
+                share /= total
+                share[np.arange(len(at)), which] -= 1
+                if padded:
+                    share[~ok[at]] = 0
                 d_hidden[at] += share @ w["word"][k].T
                 g_word[k], g_bias[k] = some.T @ share, share.sum(axis=0)
         if learn:
