@@ -373,6 +373,51 @@ def test_licenses(docs, plain):
             assert "icens" in text[r.doc_id][int(a) : int(b)]
 
 
+def test_license_lines_of_the_documents(spark):
+    """Against the lines themselves, not the operator's templates."""
+    docs = spark.read.parquet(f"{TESTDATA}/sf0.01/documents.parquet")
+    lines = {
+        "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+        "Released under the MIT License.": "MIT",
+        "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+        "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+        "All rights reserved.": "all-rights-reserved",
+    }
+    got = {r.doc_id: r for r in licenses.license_report(docs).collect()}
+    seen = set()
+    for r in docs.collect():
+        here = {name for line, name in lines.items() if line in (r.text or "").split("\n")}
+        found = got[r.doc_id]
+        assert {x for x in (found.licenses + "," + found.notices).split(",") if x} == here
+        assert bool(found.n_matches) == bool(here)
+        for span in found.notice_spans.split(",") if found.notice_spans else ():
+            _, a, b = span.rsplit(":", 2)
+            assert r.text[int(a) : int(b)] == "All rights reserved"
+        seen |= here
+    assert seen == set(lines.values())
+
+
+@pytest.mark.parametrize(
+    "text, name",
+    [
+        ("under the terms of the GNU Lesser General Public License as published", "LGPL"),
+        ("under the GNU Affero General Public License version 3", "AGPL"),
+        ("under the GNU General Public License, version 2 of 1991", "GPL-2.0"),
+        ("distributed under the ISC License", None),
+        ("Licensed under the ISC License.", "ISC"),
+        ("see the BSD 3-Clause License for more", "BSD-3-Clause"),
+        ("Use of this source code is governed by a BSD-style license", "BSD"),
+        ("shared under CC BY-SA 4.0 by us", "CC-BY-SA-4.0"),
+        ("Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International", "CC-BY-NC-SA-4.0"),
+        ("// SPDX-License-Identifier: LGPL-2.1-or-later", "LGPL-2.1"),
+        ("Unless asked otherwise this is plain prose about rights and what was reserved", None),
+    ],
+)
+def test_license_families(text, name):
+    found = licenses.TemplateIndex(licenses.TEMPLATES).find(licenses.words_of(text.encode()))
+    assert {m[0].split("/")[0] for m in found} == ({name} if name else set())
+
+
 def test_license_bands_seldom_miss():
     assert licenses.miss_chance(licenses.CONTAINMENT / (licenses.STRETCH + 0.2)) < 1e-6
 
