@@ -202,6 +202,35 @@ def test_lm_beats_base_on_held_out(spark):
     assert got[0] > got[1]
 
 
+def test_lm_tasks_weigh_by_tokens(spark):
+    """Two tasks of as many tokens, one with a long document, count alike."""
+    import random
+
+    import numpy as np
+
+    draw = random.Random(3)
+    words = [f"w{i}" for i in range(40)]
+    some = lambda n: " ".join(draw.choices(words, k=n))
+    rows = [(some(3999), False)] + [(some(9), False) for _ in range(400)]
+    parts = [rows[:1], rows[1:]]
+
+    def tasks(*lists):
+        dealt = spark.sparkContext.parallelize(lists, len(lists)).flatMap(lambda x: x)
+        return spark.createDataFrame(dealt, "text string, held_out boolean")
+
+    v = recurrent_lm.Vocabulary([(b"", 401)] + [(w.encode(), 100) for w in words], 8000)
+    layout = recurrent_lm._layout()
+    counts = np.zeros(recurrent_lm.HEAD_CLASSES * recurrent_lm.PER_CLASS)
+    counts[: v.head] = v.counts[: v.head]
+    flat = layout.flat(layout.start(v.class_counts(np.zeros(recurrent_lm.TAIL_CLASSES)), counts))
+    context = spark.sparkContext
+    vocabulary, start = context.broadcast(v), context.broadcast(flat)
+    a, b = (recurrent_lm.train(tasks(p), vocabulary, start) for p in parts)
+    both = recurrent_lm.train(tasks(*parts), vocabulary, start)
+    assert np.abs(a - b).max() > 0.01
+    assert np.allclose(both, (a + b) / 2, atol=1e-5)
+
+
 def test_lm_gradients():
     import numpy as np
 

@@ -119,8 +119,8 @@ class Network:
         return total
 
     def train(self, documents, entry, classes, within) -> int:
-        """One pass; returns the number of windows."""
-        return sum(1 for _ in self._windows(documents, entry, classes, within, True))
+        """One pass; returns the number of tokens."""
+        return sum(int(valid.sum()) for *_, valid in self._windows(documents, entry, classes, within, True))
 
     def _windows(self, documents, entry, classes, within, learn):
         tokens, owner = lanes(documents)

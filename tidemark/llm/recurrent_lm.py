@@ -6,8 +6,8 @@
 2. Words with at least a millionth of all tokens - a million at most, whatever
    the data - are broadcast with their counts.  The commonest form the head.
 3. Every task trains the network on its own training documents from the same
-   start, and the weights are averaged, weighed by windows: all training
-   documents count, and what is shuffled grows with them.
+   start, and the weights are averaged, weighed by training tokens: all training
+   documents count alike, and what is shuffled grows with the tasks.
 4. Every task scores its documents, whole, state carried throughout.  Words
    outside the broadcast are joined with their counts; as each holds less than a
    millionth of the tokens, no key of that join is hot.
@@ -183,7 +183,7 @@ def _chunks(batches, lookup, wanted=None):
 
 
 def train(docs: DataFrame, vocabulary, start) -> np.ndarray:
-    """Weights averaged over the tasks, each weighed by the windows it saw."""
+    """Weights averaged over the tasks, each weighed by the tokens it trained on."""
 
     def run(batches):
         v, layout = vocabulary.value, _layout()
@@ -191,15 +191,16 @@ def train(docs: DataFrame, vocabulary, start) -> np.ndarray:
         for numbers, *_ in _chunks(batches, v.lookup(), False):
             seen += network.train(numbers, v.entry, v.classes, v.within)
         if seen:
-            values = np.round(layout.flat(network.w).astype(np.float64) * _SCALE).astype(np.int64) * seen
+            values = np.round(layout.flat(network.w).astype(np.float64) * _SCALE).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(len(values), dtype=np.int32)), pa.array(values), pa.array(np.full(len(values), seen, np.int64))],
                 ["k", "value", "seen"],
             )
 
     parts = map_arrow(docs.select("text", "held_out"), run, "k int, value bigint, seen bigint")
-    # Whole numbers add up to the same in any order.
-    means = parts.groupBy("k").agg((F.sum("value") / F.sum("seen") / _SCALE).alias("value"))
+    # Whole numbers add up to the same in any order; by tokens they outgrow a bigint.
+    weighed = F.col("value").cast("decimal(18,0)") * F.col("seen").cast("decimal(18,0)")
+    means = parts.groupBy("k").agg((F.sum(weighed).cast("double") / F.sum("seen") / _SCALE).alias("value"))
     values = start.value.copy()
     for row in means.toLocalIterator():
         values[row.k] = row.value
