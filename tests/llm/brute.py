@@ -138,3 +138,59 @@ def components(rows, radius=2):
     for d, f in rows:
         known[find(f)] += [] if d is None else [d]
     return {f: min(known[find(f)], default=None) for f in prints}
+
+
+def cut_and_turned(doc_id, text, seed=42, fim=50, spm=80):
+    """n, form, code points of prefix and middle, and output of a fill-in-the-middle text."""
+    text = text or ""
+    units = re.findall(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+", text)
+    digest = sha(f"{seed}:{'' if doc_id is None else doc_id}")
+    h = [int(digest[i : i + 8], 16) for i in (0, 8, 16, 24)]
+    n = len(units)
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= fim:
+        return n, "plain", None, None, text
+    a, b = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    p, m, s = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    if h[3] % 100 < spm:
+        return n, "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return n, "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+def _levels(nodes):
+    out = [nodes]
+    while len(out[-1]) > 1:
+        out.append([sha("".join(out[-1][i : i + 16])) for i in range(0, len(out[-1]), 16)])
+    return out
+
+
+def _siblings(levels, at):
+    path = []
+    for nodes in levels[:-1]:
+        begin = at - at % 16
+        path.append(("".join(nodes[begin:at]), "".join(nodes[at + 1 : begin + 16])))
+        at //= 16
+    return path
+
+
+def merkle(rows):
+    """(doc_id, source, lang, n_chars, text) rows to the columns of the report."""
+    leaf = lambda r: sha("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in r))
+    groups = defaultdict(list)
+    for r in rows:
+        groups[r[1]].append(r)
+    order = sorted(groups, key=lambda s: (s is not None, (s or "").encode()))
+    members = {s: sorted(groups[s], key=lambda r: (r[0] is not None, r[0] or 0, leaf(r))) for s in order}
+    trees = {s: _levels([leaf(r) for r in members[s]]) for s in order}
+    above = _levels([trees[s][-1][0] for s in order])
+    out = []
+    for k, s in enumerate(order):
+        for i, r in enumerate(members[s]):
+            path = _siblings(trees[s], i) + _siblings(above, k)
+            tampered = r[0] is not None and zlib.crc32(str(r[0]).encode()) % 5 == 0 and r[4] is not None
+            node = leaf((*r[:4], lower(r[4]))) if tampered else leaf(r)
+            for before, after in path:
+                node = sha(before + node + after)
+            proof = sha("".join(b + a for b, a in path))
+            root = above[-1][0]
+            out.append((r[0], leaf(r), trees[s][-1][0], root, proof, node, node == root))
+    return out

@@ -23,14 +23,13 @@ def duck():
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_sql(spark, duck, name):
-    got = QUERIES[name](spark, f"{TESTDATA}/{SF}").toPandas()
-    want = duck.execute(SQL[name]).df()
-    assert sorted(got.columns) == sorted(want.columns)
-    columns = sorted(want.columns)
-    rows = lambda f: sorted(map(tuple, f[columns].astype(object).itertuples(index=False)), key=repr)
-    for a, b in zip(rows(got), rows(want), strict=True):
-        assert a == b
-    assert {c: str(got[c].dtype) for c in columns} == {c: str(want[c].dtype) for c in columns}
+    got = QUERIES[name](spark, f"{TESTDATA}/{SF}").toArrow()
+    want = duck.execute(SQL[name]).to_arrow_table()
+    columns = sorted(want.column_names)
+    assert sorted(got.column_names) == columns
+    rows = lambda t: sorted(zip(*(t.column(c).to_pylist() for c in columns), strict=True), key=repr)
+    assert rows(got) == rows(want)
+    assert {c: got.schema.field(c).type for c in columns} == {c: want.schema.field(c).type for c in columns}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))

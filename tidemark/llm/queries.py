@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
     bpe_counts,
+    chat_format,
     credentials,
     decontamination,
+    fill_middle,
     licenses,
+    merkle,
     mixing,
     quality,
     recurrent_lm,
@@ -67,6 +70,25 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, folder, "documents"))
 
 
+def op11_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_middle.fim_report(read_table(spark, folder, "documents"))
+
+
+def op12_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    rows = read_table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    # One more conversation, which says what the template's own marks are made of.
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.sql(
+        f"SELECT * FROM VALUES (-1L, 0L, 'user', '{said}'), (-1L, 1L, 'assistant', '{said}') "
+        "AS extra(conv_id, turn, role, text)"
+    )
+    return chat_format.chat_report(rows.unionByName(extra))
+
+
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.merkle_report(read_table(spark, folder, "documents"))
+
+
 QUERIES = {
     run.__name__: run
     for run in (
@@ -80,6 +102,9 @@ QUERIES = {
         op8_toxicity,
         op9_licenses,
         op10_simhash,
+        op11_fill_middle,
+        op12_chat_format,
+        op13_merkle,
     )
 }
 

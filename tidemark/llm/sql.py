@@ -6,7 +6,15 @@ retrieval are loops, and SimHash needs a hash that DuckDB does not have.
 
 from __future__ import annotations
 
-from tidemark.llm import credentials, decontamination, mixing, quality
+from tidemark.llm import (
+    chat_format,
+    credentials,
+    decontamination,
+    fill_middle,
+    merkle,
+    mixing,
+    quality,
+)
 
 _WORD = r"[^\x20\x09-\x0D]+"
 _WORD_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -203,9 +211,165 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        coalesce(NOT base_failed AND {" AND ".join(f"{k} <= max_{k}" for k in quality.SLACK)}, false) AS kept
 FROM a LEFT JOIN f ON a.lang IS NOT DISTINCT FROM f.lang AND a.source IS NOT DISTINCT FROM f.source"""
 
+
+def _head(group: int) -> str:
+    return f"CAST('0x' || substr(x, {8 * group + 1}, 8) AS BIGINT)"
+
+
+_SHA_KEY = f"sha256('{fill_middle.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), ''))"
+_MARKED = " AND ".join(f"NOT contains(t, '{m}')" for m in ("<P>", "<S>", "<M>"))
+
+OP11 = f"""
+WITH d AS (
+  SELECT doc_id, t, x, len(u) AS n, u
+  FROM (SELECT doc_id, coalesce(text, '') AS t, {_SHA_KEY} AS x,
+               regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+        FROM documents)
+),
+c AS (
+  SELECT doc_id, t, n, u,
+         least({_head(0)} % (n + 1), {_head(1)} % (n + 1)) AS a,
+         greatest({_head(0)} % (n + 1), {_head(1)} % (n + 1)) AS b,
+         CASE WHEN t <> '' AND {_MARKED} AND {_head(2)} % 100 < {fill_middle.FIM_PERCENT}
+              THEN CASE WHEN {_head(3)} % 100 < {fill_middle.SPM_PERCENT} THEN 'spm' ELSE 'psm' END
+              ELSE 'plain' END AS form
+  FROM d
+),
+p AS (
+  SELECT doc_id, t, n, form, coalesce(array_to_string(u[1:a], ''), '') AS prefix,
+         coalesce(array_to_string(u[a + 1:b], ''), '') AS middle,
+         coalesce(array_to_string(u[b + 1:n], ''), '') AS suffix
+  FROM c
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN t ELSE prefix || middle || suffix END) AS restored_sha256
+FROM p"""
+
+
+def _escape(text: str) -> str:
+    return f"regexp_replace({text}, {_quoted(chat_format.CONTROL)}, '\\1\\\\\\2\\3', 'g')"
+
+
+_MARK = (
+    "CASE role "
+    + " ".join(f"WHEN '{role}' THEN '{mark}'" for role, mark in chat_format.MARKS.items())
+    + f" ELSE '{chat_format.ROLE_MARK}' || "
+    + _escape("replace(replace(role, '\\', '\\\\'), chr(10), '\\n')")
+    + " || chr(10) END"
+)
+
+OP12 = f"""
+WITH r AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS t FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+g AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn, role, t) AS turns,
+         coalesce(string_agg(t, '' ORDER BY turn, t) FILTER (role = '{chat_format.LOSS_ROLE}'), '') AS loss,
+         '{chat_format.BEGIN}' || string_agg({_MARK} || {_escape("t")} || '{chat_format.END}', '') AS formatted
+  FROM r GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+       length(formatted) AS formatted_chars
+FROM g"""
+
+
+# So many levels are written out: enough for 16 ** 6 documents of a source and 16 ** 3 sources.
+_ROW_LEVELS, _SOURCE_LEVELS = 6, 3
+
+
+def _up(table: str, levels: int) -> str:
+    """Tables <table>1, <table>2, ... of the nodes (g, i, h) over those of <table>0; single ones stay."""
+    made = []
+    for k in range(levels):
+        made.append(
+            f"""{table}{k + 1} AS (
+  SELECT g, i // {merkle.FAN_OUT} AS i,
+         CASE WHEN any_value(n) > 1 THEN sha256(string_agg(h, '' ORDER BY i)) ELSE any_value(h) END AS h
+  FROM (SELECT g, i, h, count(*) OVER (PARTITION BY g) AS n FROM {table}{k})
+  GROUP BY g, i // {merkle.FAN_OUT}
+)"""
+        )
+    return ",\n".join(made)
+
+
+def _siblings(table: str, level: int) -> str:
+    """Those before and after each node of a level; null for a single node."""
+    window = f"OVER (PARTITION BY g, i // {merkle.FAN_OUT} ORDER BY i ROWS BETWEEN"
+    return f"""{table}{level}s AS (
+  SELECT g, i, CASE WHEN n > 1 THEN coalesce(b, '') END AS b, CASE WHEN n > 1 THEN coalesce(a, '') END AS a
+  FROM (SELECT g, i, count(*) OVER (PARTITION BY g) AS n,
+               string_agg(h, '') {window} UNBOUNDED PRECEDING AND 1 PRECEDING) AS b,
+               string_agg(h, '') {window} 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS a
+        FROM {table}{level})
+)"""
+
+
+def _fold(begin: str, table: str, levels: int, group: str, index: str) -> tuple[str, list[str]]:
+    """Proofs and folds of ``begin`` (with proof and node) through all levels of a table."""
+    made, last = [], begin
+    for k in range(levels):
+        name = f"{begin}_{table}{k}"
+        made.append(
+            f"""{name} AS (
+  SELECT {last}.* REPLACE (proof || coalesce(s.b || s.a, '') AS proof,
+         CASE WHEN s.b IS NULL THEN node ELSE sha256(s.b || node || s.a) END AS node)
+  FROM {last} JOIN {table}{k}s s ON s.g = {group} AND s.i = {index} // {merkle.FAN_OUT**k}
+)"""
+        )
+        last = name
+    return last, made
+
+
+def _leaf(text: str) -> str:
+    values = [f"CAST({c} AS VARCHAR)" for c in ("doc_id", "source", "lang", "n_chars")] + [text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+
+# An unsigned crc32, bit by bit: an exclusive-or with each byte, then eight shifts.
+_CRC = """xor(4294967295, list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(range(1, length(k) + 1),
+      lambda p: [CAST(ascii(substr(k, p, 1)) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"""
+
+_FOLDED, _FOLDS = _fold("l", "r", _ROW_LEVELS, "l_g", "l_i")
+_ROOTED, _ROOTS = _fold(_FOLDED, "s", _SOURCE_LEVELS, "0", "(l_g - 1)")
+
+OP13 = f"""
+WITH d AS (
+  SELECT doc_id, {_leaf("text")} AS leaf, {_leaf(_LOWER.format("text"))} AS lowered,
+         dense_rank() OVER (ORDER BY source NULLS FIRST) AS g, CAST(doc_id AS VARCHAR) AS k
+  FROM documents
+),
+e AS (
+  SELECT doc_id, leaf, g, CASE WHEN k IS NOT NULL AND {_CRC} % 5 = 0 THEN lowered ELSE leaf END AS seen,
+         row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i
+  FROM d
+),
+r0 AS (SELECT g, i, leaf AS h FROM e),
+{_up("r", _ROW_LEVELS)},
+s0 AS (SELECT 0 AS g, g - 1 AS i, h FROM r{_ROW_LEVELS}),
+{_up("s", _SOURCE_LEVELS)},
+{", ".join(_siblings("r", k) for k in range(_ROW_LEVELS))},
+{", ".join(_siblings("s", k) for k in range(_SOURCE_LEVELS))},
+l AS (SELECT doc_id, leaf, g AS l_g, i AS l_i, '' AS proof, seen AS node FROM e),
+{", ".join(_FOLDS + _ROOTS)}
+SELECT doc_id, leaf, r{_ROW_LEVELS}.h AS subroot, top.h AS root, sha256(proof) AS proof_sha256,
+       node AS folded_root, node = top.h AS verified
+FROM {_ROOTED} JOIN r{_ROW_LEVELS} ON r{_ROW_LEVELS}.g = l_g CROSS JOIN s{_SOURCE_LEVELS} top"""
+
 SQL = {
     "op1_secrets": OP1,
     "op2_decontamination": OP2,
     "op3_mixing": OP3,
     "op7_quality": OP7,
+    "op11_fill_middle": OP11,
+    "op12_chat_format": OP12,
+    "op13_merkle": OP13,
 }
