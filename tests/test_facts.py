@@ -115,25 +115,44 @@ def test_aggregate_reads_only_what_it_needs(spark, stored):
     assert "ReadSchema: struct<customer_id:bigint,product_id:string,unit_price:int,quantity:int>" in plan
 
 
-def test_aggregate_spreads_a_hot_product(spark, hot_lines):
-    """Lines are shuffled twice, and no task gets more than its share of a hot product."""
+def test_aggregate_spreads_hot_keys(spark, hot_lines):
+    """A hot pair is one row after partial sums; a hot customer's pairs fill half of the tasks."""
     session, lines, products, customers = hot_lines
+    session.conf.set("spark.sql.shuffle.partitions", "64")
+    # Customer 7 has half of all lines, with any product, and a pair of it a third of them.
+    lines = lines.withColumns(
+        {
+            "customer_id": F.expr("CASE WHEN order_number % 2 = 0 THEN 7 ELSE customer_id END"),
+            "product_id": F.expr("CASE WHEN order_number % 3 = 0 THEN '0' ELSE product_id END"),
+        }
+    )
     products = products.union(products.where("product_id < '2'"))
-    made = facts.fact_customer_sales(lines, products, customers)
-    got = {(r.product_id, r.customer_id): r.total_quantity for r in made.collect()}
+    hot = facts.hot_keys(lines, ["product_id", "customer_id"], 64)
+    assert [keys for _, keys in hot["customer_id"]] == [[7]]
+    salting = {
+        "product_salting": facts.Salting(1, hot["product_id"]),
+        "customer_salting": facts.Salting(1, hot["customer_id"]),
+    }
     want = lines.join(products, "product_id").join(customers, "customer_id")
     want = want.groupBy("product_id", "customer_id").agg(F.sum("quantity").alias("n"))
-    assert got == {(r.product_id, r.customer_id): r.n for r in want.collect()}
+    want = {(r.product_id, r.customer_id): r.n for r in want.collect()}
+    for options in ({}, salting):
+        made = facts.fact_customer_sales(lines, products, customers, **options)
+        assert {(r.product_id, r.customer_id): r.total_quantity for r in made.collect()} == want
+        plan = made._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        # Sums in part before the first shuffle; after it there are pairs only.
+        assert "partial_sum(quantity" in plan and "BroadcastHashJoin" not in plan
+    session.conf.set("spark.sql.adaptive.enabled", "false")
+    tasks = made.where("customer_id = 7").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks >= 24
+
+
+def test_aggregate_shuffles_once_with_small_dimensions(spark, stored):
+    lines, products, customers = stored
+    made = facts.fact_customer_sales(lines, products, customers)
+    made.collect()
     plan = made._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    # Two of the lines, by product and by customer, and none of the sums.
-    taken = [x for x in plan.split("\n") if "Exchange hashpartitioning" in x]
-    by = [x.split("hashpartitioning(")[1].split("#")[0] for x in taken if "_salt" in x]
-    assert sorted(by) == ["customer_id"] * 2 + ["product_id"] * 2 and len(taken) <= 6
-    assert "BroadcastHashJoin" not in plan
-    spread = F.pmod(F.xxhash64("customer_id"), facts.SPREAD.count("product_id"))
-    hot = lines.where("product_id = '0'").groupBy(spread.alias("salt")).count().collect()
-    assert len(hot) == facts.SPREAD.base
-    assert max(r["count"] for r in hot) < 2 * 300000 / 3 / facts.SPREAD.base
+    assert plan.count("BroadcastHashJoin") == 2
 
 
 def test_fact_plan_reads_only_what_it_needs(spark, stored):

@@ -69,10 +69,15 @@ def _cleanse_rows(messages: DataFrame, schema: T.StructType, keep_null_rows: boo
     if keep_null_rows:
         parsed = messages.select(row.alias("row"))
     else:
-        parsed = _explode(messages, F.array_compact(F.array(row)), "row", [])
+        parsed = explode_kept(messages, row, "row")
     return parsed.select("row.*")
 
 
+def explode_kept(rows: DataFrame, value: Column, name: str) -> DataFrame:
+    """``value`` of the rows where it is not null, worked out once."""
+    return _explode(rows, F.array_compact(F.array(value)), name, [])
+
+
 def _explode(rows: DataFrame, items: Column, name: str, others) -> DataFrame:
     """The rows of a plain explode, parsing each message once.
 

@@ -159,49 +159,45 @@ def fact_sales_orders(
     )
 
 
-# Every key of the aggregate's joins spreads over so many tasks.
-SPREAD = Salting(8)
-
-
 def fact_customer_sales(
     lines: DataFrame,
     products: DataFrame,
     customers: DataFrame,
     *,
-    product_salting: Salting = SPREAD,
-    customer_salting: Salting = SPREAD,
+    product_salting: Salting = NO_SALT,
+    customer_salting: Salting = NO_SALT,
 ) -> DataFrame:
     """Quantity and amount sold per product and customer (batch only).
 
     The sums over the three-way join equal the sums over the lines alone times
-    the number of versions on either side, so no line is multiplied by versions.
-
-    A side that is small is broadcast.  Otherwise lines are shuffled twice: by
-    product, the lines of one product salted by their customer, and by customer,
-    salted by product.  A salt follows from the other key, so that all lines of
-    a pair stay together and the sums need no shuffle of their own.  The salts
-    of keys that hold far more than their share can be measured with
-    ``hot_keys``; the price is as many copies of their one row of the dimension.
+    the number of versions on either side.  So lines are summed first, partly
+    before any shuffle, which leaves one row per pair however hot it is, and no
+    line is multiplied by versions.
+
+    The pairs then meet the numbers of versions.  AQE broadcasts a side that is
+    measured to be small, so that the sums are the only shuffle; else it splits
+    skewed partitions.  Salts, measured with ``hot_keys``, spread the pairs of a
+    hot product over the customers' hashes, and the other way round, also where
+    AQE is off; the price is as many copies of one row of the dimension.
     """
     amount = F.col("unit_price").cast("bigint") * F.col("quantity")
-    product_salt, customer_salt = _salt("product_id"), _salt("customer_id")
-    s = lines.select(
-        "product_id",
-        "customer_id",
-        "quantity",
-        amount.alias("amount"),
-        F.pmod(F.xxhash64("customer_id"), product_salting.count("product_id")).cast("int").alias(product_salt),
-        F.pmod(F.xxhash64("product_id"), customer_salting.count("customer_id")).cast("int").alias(customer_salt),
+    pairs = lines.groupBy("product_id", "customer_id").agg(
+        F.sum("quantity").alias("quantity"), F.sum(amount).alias("amount")
     )
+    salts = {
+        _salt(key): F.pmod(F.xxhash64(other), salting.count(key)).cast("int")
+        for key, other, salting in (
+            ("product_id", "customer_id", product_salting),
+            ("customer_id", "product_id", customer_salting),
+        )
+        if salting.used
+    }
     p = _versions(products, "product_id", "product_versions", product_salting)
     c = _versions(customers, "customer_id", "customer_versions", customer_salting)
-    sold = s.join(p, ["product_id", product_salt]).join(c, ["customer_id", customer_salt])
-    versions = ["product_versions", "customer_versions"]
-    sums = sold.groupBy("customer_id", customer_salt, "product_id", *versions).agg(
-        F.sum("quantity").alias("quantity"), F.sum("amount").alias("amount")
-    )
+    sold = pairs.withColumns(salts).join(p, _keys("product_id", product_salting))
+    sold = sold.join(c, _keys("customer_id", customer_salting))
     times = F.col("product_versions") * F.col("customer_versions")
-    return sums.select(
+    return sold.select(
         "product_id",
         "customer_id",
         (F.col("quantity") * times).alias("total_quantity"),
@@ -212,6 +208,8 @@ def fact_customer_sales(
 def _versions(rows: DataFrame, key: str, name: str, salting: Salting) -> DataFrame:
     """The number of rows of each key, once for each of its salts."""
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias(name))
+    if not salting.used:
+        return counts
     salts = F.explode(F.sequence(F.lit(0), salting.count(key) - 1))
     return counts.select(key, name, salts.alias(_salt(key)))
 

@@ -49,7 +49,7 @@ def assign_keys(
         # key spreads over as many ranges as its size asks for.
         order = [*order_by, _PART, _POSITION]
         if stable_input:
-            arrived = _with_places(rows, columns)
+            arrived = with_places(rows, columns)
         else:
             arrived = _write_with_places(rows, columns, f"{staging}/arrival")
         ordered = arrived.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -67,7 +67,8 @@ def assign_keys(
     return placed.join(F.broadcast(offsets), _PART).select(number.alias(key), *columns)
 
 
-def _with_places(rows: DataFrame, columns) -> DataFrame:
+def with_places(rows: DataFrame, columns) -> DataFrame:
+    """``columns`` and where each row is: ``_part``, the task, and ``_position`` in it."""
     # The generated id holds the partition in its upper bits and counts from
     # zero in the lower 33.
     rows = rows.withColumn("_id", F.monotonically_increasing_id())
@@ -79,6 +80,6 @@ def _with_places(rows: DataFrame, columns) -> DataFrame:
 
 
 def _write_with_places(rows: DataFrame, columns, path: str) -> DataFrame:
-    placed = _with_places(rows, columns)
+    placed = with_places(rows, columns)
     placed.write.parquet(path)
     return rows.sparkSession.read.schema(placed.schema).parquet(path)

@@ -17,10 +17,11 @@ from tidemark import schemas
 from tidemark.functions import json_text
 from tidemark.functions.changes import encode_changes, tombstones
 from tidemark.functions.decimals import decode_scaled_decimal
-from tidemark.operators import cleanse, facts, raw
+from tidemark.operators import cleanse, facts, raw, validity
+from tidemark.operators.expectations import QUARANTINE, Rule
 from tidemark.operators.keys import assign_keys
 from tidemark.plans import replay
-from tidemark.plans.retail import retail_datasets
+from tidemark.plans.retail import current_datasets, incremental_datasets, retail_datasets
 from tidemark.plans.retail_sql import retail_sql_datasets
 from tidemark.session import scratch_dir
 from tidemark.sources import bus, flat_files
@@ -573,18 +574,19 @@ def ingest_csv_semicolon(spark: SparkSession, folder: str) -> DataFrame:
 class _Replay:
     """A lake fed from message files in the scratch folder."""
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+    def __init__(self, spark: SparkSession, folder: str, columns=("key", "value")):
+        self.spark, self.folder, self.columns = spark, folder, list(columns)
+        self.schema = schemas.pick(schemas.BUS_MESSAGE, columns)
         self.root = scratch_dir(spark, "lake")
         self.database = f"tidemark_{uuid.uuid4().hex}"
         self.paths = {t: f"{self.root}/bus/{t}" for t in bus.CAPTURED_TABLES}
         # An empty first file lets a stream start before its messages come.
-        empty = spark.createDataFrame([], "key binary, value binary")
+        empty = spark.createDataFrame([], self.schema)
         for table in bus.CAPTURED_TABLES:
             self.send(table, empty)
 
     def send(self, table: str, messages: DataFrame) -> None:
-        messages.select("key", "value").write.mode("append").parquet(self.paths[table])
+        messages.select(*self.columns).write.mode("append").parquet(self.paths[table])
 
     def send_all(self) -> None:
         self.send("sales_orders", replay.order_messages(self.spark, self.folder))
@@ -595,12 +597,15 @@ class _Replay:
         """The messages of a table; none of them if the bus has dropped them."""
         kept = F.lit(not expired)
         path = self.paths[table]
-        return lambda spark: bus.message_stream(spark, "parquet", {}, path=path).where(kept)
+        schema = self.schema
+        return lambda spark: bus.message_stream(
+            spark, "parquet", {}, path=path, schema=schema
+        ).where(kept)
 
-    def retail(self, *, expired: bool = False, datasets=retail_datasets, **options) -> Lake:
+    def retail(self, *, expired: bool = False, datasets=retail_datasets, more=(), **options) -> Lake:
         sources = {t: self.source(t, expired=expired) for t in bus.CAPTURED_TABLES}
         return Lake(
-            self.spark, f"{self.root}/lake", self.database, datasets(sources, **options)
+            self.spark, f"{self.root}/lake", self.database, [*datasets(sources, **options), *more]
         )
 
     def close(self) -> None:
@@ -928,7 +933,321 @@ def literal_row_lake(spark: SparkSession, folder: str) -> DataFrame:
 
 @_register(_CUSTOMER_TOTALS)
 def cached_lake_table(spark: SparkSession, folder: str) -> DataFrame:
-    """A table of the lake kept in memory and shown, then read from there."""
-    rows = fact_customer_sales_lake(spark, folder).cache()
-    rows.limit(5).collect()
+    """A table of the lake kept in memory while it is shown, then let go."""
+    rows = fact_customer_sales_lake(spark, folder)
+    kept = rows.cache()
+    kept.limit(5).collect()
+    kept.unpersist()
+    return rows
+
+
+# -- state, validity, rules ------------------------------------------------
+
+
+def _placed(messages: DataFrame, offset: Column) -> DataFrame:
+    """Messages with the place on the bus that a connector would report."""
+    return messages.withColumns(
+        {
+            "partition": F.lit(0),
+            "offset": offset,
+            "timestamp": F.timestamp_seconds(F.lit(1_700_000_000) + offset),
+        }
+    )
+
+
+def _customer_offset(step: int) -> Column:
+    """Offsets in the order of a customer's changes."""
+    number = F.get_json_object(F.col("key").cast("string"), "$.payload.customer_id")
+    return number.cast("bigint") * 4 + step
+
+
+@_register("SELECT" + _CUSTOMER.replace("c_name AS customer_name", "c_name || CASE WHEN c_mktsegment = 'BUILDING' THEN ' & Co' ELSE '' END AS customer_name") + " WHERE c_acctbal >= 0")
+def current_customers_lake(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers as they are now, merged from creates, updates, deletes and tombstones.
+
+    The renaming of a customer comes after the delete that follows it, and
+    everybody's creation once more at the end.
+    """
+    run = _Replay(spark, folder, ["key", "value", "offset"])
+    rows = replay.customer_rows(spark, folder)
+    key, topic = ["customer_id", "valid_from"], bus.topic_name("customers")
+    renamed = rows.where(F.col("loyalty_segment") == "BUILDING").withColumn(
+        "customer_name", F.concat("customer_name", F.lit(" & Co"))
+    )
+    gone = rows.where(F.col("valid_to").isNotNull())
+    created = _placed(encode_changes(rows, key, op="c", topic=topic), _customer_offset(0))
+    updated = _placed(encode_changes(renamed, key, op="u", topic=topic), _customer_offset(1))
+    deleted = _placed(encode_changes(gone, key, op="d", topic=topic), _customer_offset(2))
+    emptied = _placed(tombstones(gone, key, topic=topic), _customer_offset(3))
+    datasets = [d for d in current_datasets(buckets=16) if d.name == "current_customers"]
+    for messages in (created, deleted, updated, emptied, created):
+        run.send("customers", messages)
+        lake = run.retail(datasets=lambda sources: retail_datasets(sources)[1:2], more=datasets)
+        lake.update()
+    rows = _decoded_customers(lake.read("current_customers"))
+    run.close()
+    return rows
+
+
+_VERSIONS = """
+customer_versions AS (
+  SELECT c_custkey AS customer_id, CAST(NULL AS BIGINT) AS valid_from,
+         CAST(epoch(DATE '1993-01-01') AS BIGINT) + c_custkey % 1000 * 86400 AS valid_to FROM customer
+  UNION ALL
+  SELECT c_custkey, CAST(epoch(DATE '1993-01-01') AS BIGINT) + c_custkey % 1000 * 86400,
+         CAST(epoch(DATE '1993-01-01') AS BIGINT) + (c_custkey % 1000 + 1 + c_custkey % 400) * 86400 FROM customer
+  UNION ALL
+  SELECT c_custkey, CAST(epoch(DATE '1993-01-01') AS BIGINT) + (c_custkey % 1000 + 1 + c_custkey % 400) * 86400, NULL
+  FROM customer WHERE c_acctbal >= 0
+),
+product_versions AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS product_id, CAST(NULL AS BIGINT) AS valid_from,
+         CAST(NULL AS BIGINT) AS valid_to FROM part WHERE p_size <= 25
+  UNION ALL
+  SELECT CAST(p_partkey AS VARCHAR), NULL, CAST(epoch(DATE '1995-06-01') AS BIGINT) FROM part WHERE p_size > 25
+  UNION ALL
+  SELECT CAST(p_partkey AS VARCHAR), CAST(epoch(DATE '1995-06-01') AS BIGINT), NULL FROM part WHERE p_size > 25
+),
+customers AS (
+  SELECT row_number() OVER (ORDER BY customer_id, valid_from NULLS FIRST) AS customer_key, *
+  FROM customer_versions
+),
+products AS (
+  SELECT row_number() OVER (ORDER BY product_id, valid_from NULLS FIRST) AS product_key, *
+  FROM product_versions
+)"""
+
+
+def _versions_of(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Dimensions with several versions: what each changed to, and since when."""
+    day = lambda days: F.lit(725_846_400) + days * 86_400  # noqa: E731  (from 1993-01-01 on)
+    never = F.lit(None).cast("bigint")
+    key = F.col("customer_id")
+    first, second = day(key % 1000), day(key % 1000 + 1 + key % 400)
+    customers = _customers(spark, folder).select(
+        "customer_id",
+        F.explode(
+            F.array_compact(
+                F.array(
+                    F.struct(never.alias("valid_from"), first.alias("valid_to")),
+                    # Its end is the start of the next version, or the close of the account.
+                    F.struct(
+                        first.alias("valid_from"),
+                        F.when(F.col("valid_to").isNotNull(), second).alias("valid_to"),
+                    ),
+                    F.when(
+                        F.col("valid_to").isNull(),
+                        F.struct(second.alias("valid_from"), never.alias("valid_to")),
+                    ),
+                )
+            )
+        ).alias("v"),
+    ).select("customer_id", "v.*")
+    large = replay.table(spark, folder, "part").select(
+        F.col("p_partkey").cast("string").alias("product_id"), (F.col("p_size") > 25).alias("large")
+    )
+    changed = F.lit(801_964_800)  # 1995-06-01
+    products = _products(spark, folder).join(large, "product_id").select(
+        "product_id",
+        F.explode(F.when(F.col("large"), F.array(never, changed)).otherwise(F.array(never))).alias("valid_from"),
+        never.alias("valid_to"),
+    )
+    order = F.col("valid_from").asc_nulls_first()
+    return (
+        assign_keys(
+            validity.successive(products, "product_id", "valid_from", "valid_to"),
+            "product_key", order_by=["product_id", order],
+        ),
+        assign_keys(
+            validity.successive(customers, "customer_id", "valid_from", "valid_to"),
+            "customer_key", order_by=["customer_id", order],
+        ),
+    )
+
+
+@_register(
+    f"""
+    WITH {_LINES}, {_VERSIONS}
+    SELECT order_number, customer_key, product_key, order_date AS order_datetime,
+           unit_price, quantity, CAST(unit_price AS BIGINT) * quantity AS total_price
+    FROM (SELECT *, CAST(epoch(CAST(order_datetime AS TIMESTAMP)) AS BIGINT) AS ordered_at FROM lines) l
+    JOIN products p ON p.product_id = l.product_id
+      AND (p.valid_from IS NULL OR ordered_at >= p.valid_from) AND (p.valid_to IS NULL OR ordered_at < p.valid_to)
+    JOIN customers c ON c.customer_id = l.customer_id
+      AND (c.valid_from IS NULL OR ordered_at >= c.valid_from) AND (c.valid_to IS NULL OR ordered_at < c.valid_to)
+    """
+)
+def fact_sales_as_of(spark: SparkSession, folder: str) -> DataFrame:
+    """Each line with the one version of its product and customer that was valid when it was ordered."""
+    lines = _sales_lines(spark, folder).withColumn("ordered_at", F.unix_timestamp("order_datetime"))
+    products, customers = _versions_of(spark, folder)
+    hot = facts.hot_keys(lines, ["product_id", "customer_id"], spark.sparkContext.defaultParallelism)
+    hot = hot or {"product_id": [], "customer_id": []}
+    return validity.fact_sales_as_of(
+        lines,
+        products,
+        customers,
+        product_salting=facts.Salting(1, hot["product_id"]),
+        customer_salting=facts.Salting(1, hot["customer_id"]),
+    )
+
+
+@_register(
+    f"""
+    WITH {_LINES}, history AS ({_HISTORY}),
+    versions AS (
+      SELECT CAST(p_partkey AS VARCHAR) AS product_id, CASE WHEN p_size > 40 THEN 2 ELSE 1 END AS n FROM part
+    )
+    SELECT product_id, customer_id, CAST(sum(quantity * n) AS BIGINT) AS total_quantity,
+           CAST(sum(CAST(unit_price AS BIGINT) * quantity * n) AS BIGINT) AS sale_amount
+    FROM lines JOIN history USING (customer_id) JOIN versions USING (product_id)
+    GROUP BY product_id, customer_id
+    """
+)
+def customer_sales_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """Sales kept from changes: lines and dimensions, more lines, then second versions of both."""
+    run = _Replay(spark, folder)
+    orders = replay.order_rows(spark, folder)
+    late = F.col("order_number") % 3 == 0
+
+    def sent(rows: DataFrame) -> DataFrame:
+        return encode_changes(
+            rows, ["order_number"], json_columns=schemas.ORDER_JSON_COLUMNS, topic=bus.topic_name("sales_orders")
+        )
+
+    def update() -> Lake:
+        lake = run.retail(
+            datasets=lambda sources: [d for d in retail_datasets(sources) if "sales_orders_c" in d.name or "fact" not in d.name and d.name != "customer_sales"],
+            more=incremental_datasets(grid=4),
+        )
+        lake.update()
+        return lake
+
+    run.send("sales_orders", sent(orders.where(~late)))
+    run.send("customers", replay.customer_messages(spark, folder))
+    run.send("products", replay.product_messages(spark, folder))
+    update()
+    run.send("sales_orders", sent(orders.where(late)))
+    update()
+    renamed = replay.customer_rows(spark, folder).where(F.col("loyalty_segment") == "BUILDING")
+    run.send("customers", encode_changes(renamed, ["customer_id"], op="u", topic=bus.topic_name("customers")))
+    large = replay.table(spark, folder, "part").where("p_size > 40")
+    large = large.select(F.col("p_partkey").cast("string").alias("product_id"))
+    changed = replay.product_rows(spark, folder).join(large, "product_id", "left_semi")
+    run.send("products", encode_changes(changed, ["product_id"], op="u", topic=bus.topic_name("products")))
+    rows = update().read("customer_sales_incremental")
+    run.close()
+    return rows
+
+
+@_register(
+    """
+    SELECT 'retail.public.sales_orders' AS topic, o_orderkey AS "offset", o_orderkey AS order_number,
+           c_name AS customer_name, count(*) AS number_of_line_items
+    FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+    GROUP BY o_orderkey, c_name
+    """
+)
+def raw_orders_once(spark: SparkSession, folder: str) -> DataFrame:
+    """A raw table of a bus that is replayed from its start, twice, while new messages come."""
+    run = _Replay(spark, folder, ["key", "value", "topic", "partition", "offset", "timestamp"])
+    number = F.get_json_object(F.col("key").cast("string"), "$.payload.order_number").cast("bigint")
+    messages = _placed(replay.order_messages(spark, folder), number)
+    early = messages.where(F.col("offset") % 2 == 0)
+
+    def update() -> Lake:
+        lake = run.retail(datasets=lambda sources: retail_datasets(sources, exactly_once=True)[:1])
+        lake.update()
+        return lake
+
+    run.send("sales_orders", early)
+    update()
+    run.send("sales_orders", messages)
+    run.send("sales_orders", early)
+    update()
+    run.send("sales_orders", messages)
+    rows = update().read("sales_orders_raw")
+    run.close()
+    return rows.select(
+        "topic",
+        "offset",
+        F.get_json_object("key", "$.payload.order_number").cast("bigint").alias("order_number"),
+        F.get_json_object("value", "$.payload.after.customer_name").alias("customer_name"),
+        F.get_json_object("value", "$.payload.after.number_of_line_items")
+        .cast("bigint")
+        .alias("number_of_line_items"),
+    )
+
+
+# Rules on order lines: what each asks of a good line, and what happens to others.
+_ORDER_RULES = [
+    Rule("priced", "unit_price IS NOT NULL"),
+    Rule("plain", "ordered_products.promotion_info IS NULL"),
+    Rule("small", "quantity < 45", QUARANTINE),
+    Rule("worth_it", "unit_price * quantity >= 2000", QUARANTINE),
+]
+
+_JUDGED = f"""
+WITH {_LINES},
+judged AS (
+  SELECT order_number, product_id, unit_price, quantity, l_linenumber,
+         unit_price IS NULL AS b0, l_discount >= 0.05 AS b1, quantity >= 45 AS b2,
+         CAST(unit_price AS BIGINT) * quantity < 2000 AS b3
+  FROM lines
+)"""
+
+
+def _rules_lake(spark: SparkSession, folder: str) -> tuple[Lake, _Replay]:
+    run = _Replay(spark, folder)
+    orders = replay.order_messages(spark, folder)
+    half = F.crc32("key") % 2 == 0
+    for part in (orders.where(half), orders.where(~half)):
+        run.send("sales_orders", part)
+        lake = run.retail(
+            datasets=lambda sources: [
+                d for d in retail_datasets(sources, order_rules=_ORDER_RULES) if d.name.startswith("sales_orders")
+            ]
+        )
+        lake.update()
+    return lake, run
+
+
+@_register(
+    f"""
+    {_JUDGED}
+    SELECT order_number, product_id, unit_price, quantity,
+           CASE WHEN b2 OR b3 THEN 'quarantined' ELSE 'kept' END AS state,
+           CASE WHEN b2 OR b3 THEN concat_ws(',', CASE WHEN b1 THEN 'plain' END, CASE WHEN b2 THEN 'small' END,
+                                             CASE WHEN b3 THEN 'worth_it' END) END AS broken
+    FROM judged
+    """
+)
+def expectations_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines that keep the rules, and those in quarantine with the rules they break."""
+    lake, run = _rules_lake(spark, folder)
+    columns = ["order_number", "product_id", "unit_price", "quantity"]
+    kept = lake.read("sales_orders_cleansed").select(
+        *columns, F.lit("kept").alias("state"), F.lit(None).cast("string").alias("broken")
+    )
+    apart = lake.quarantine("sales_orders_cleansed").select(
+        *columns, F.lit("quarantined").alias("state"), F.array_join("broken_rules", ",").alias("broken")
+    )
+    run.close()
+    return kept.unionByName(apart)
+
+
+@_register(
+    f"""
+    {_JUDGED}
+    SELECT 'priced' AS rule, 'warn' AS action, count(*) AS checked, count(*) FILTER (b0) AS broken FROM judged
+    UNION ALL SELECT 'plain', 'warn', count(*), count(*) FILTER (b1) FROM judged
+    UNION ALL SELECT 'small', 'quarantine', count(*), count(*) FILTER (b2) FROM judged
+    UNION ALL SELECT 'worth_it', 'quarantine', count(*), count(*) FILTER (b3) FROM judged
+    """
+)
+def expectations_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """How many lines each rule has seen, and how many broke it."""
+    lake, run = _rules_lake(spark, folder)
+    rows = lake.rule_counts("sales_orders_cleansed")
+    run.close()
     return rows

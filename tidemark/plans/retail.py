@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark import schemas
-from tidemark.operators import cleanse, facts, raw
-from tidemark.streaming.lake import KEYED, RECOMPUTED, Dataset
+from tidemark.operators import cleanse, current, facts, incremental, raw
+from tidemark.operators.expectations import Rule
+from tidemark.streaming.lake import KEYED, MERGED, ONCE, RECOMPUTED, STREAM, Dataset
 
 GOLD = {"quality": "gold"}
 
@@ -25,6 +26,8 @@ def retail_datasets(
     keep_null_rows: bool = False,
     output_partitions: int | None = None,
     late: facts.Lateness | None = None,
+    exactly_once: bool = False,
+    order_rules: Sequence[Rule] = (),
 ) -> list[Dataset]:
     """All datasets, given a message source per captured table.
 
@@ -47,19 +50,24 @@ def retail_datasets(
     gets per micro-batch.  ``late`` bounds the state of the fact's joins by an
     event time that the lines and both dimensions must carry; off by default, as
     it drops late matches.
+
+    ``exactly_once`` keeps a message that the bus delivers again out of the raw
+    tables; messages then come with their topic, partition and offset.
+    ``order_rules`` are checked on the cleansed order lines.
     """
     options = {} if read_options is None else read_options
     rows = {"read_options": options, "output_partitions": output_partitions}
     return [
-        _raw("sales_orders", sources, reset_allowed=False),
-        _raw("customers", sources, reset_allowed=True),
-        _raw("products", sources, reset_allowed=False),
+        _raw("sales_orders", sources, reset_allowed=False, exactly_once=exactly_once),
+        _raw("customers", sources, reset_allowed=True, exactly_once=exactly_once),
+        _raw("products", sources, reset_allowed=False, exactly_once=exactly_once),
         Dataset(
             "sales_orders_cleansed",
             lambda spark, messages: cleanse.cleanse_orders(messages, mode=order_mode),
             ["sales_orders_raw"],
             schema=schemas.ORDER_LINE,
             comment="Order lines with typed columns",
+            rules=order_rules,
             **rows,
         ),
         Dataset(
@@ -126,9 +134,7 @@ def retail_datasets(
         ),
         Dataset(
             "fact_customer_sales",
-            lambda spark, lines, products, customers: facts.fact_customer_sales(
-                lines, products, customers
-            ),
+            _measured_customer_sales,
             ["sales_orders_cleansed", "dim_products", "dim_customers"],
             kind=RECOMPUTED,
             schema=schemas.FACT_CUSTOMER_SALES,
@@ -147,6 +153,46 @@ def retail_datasets(
     ]
 
 
+def current_datasets(*, buckets: int = 64) -> list[Dataset]:
+    """The customers and products as they are now, from the raw tables of ``retail_datasets``.
+
+    Updates replace and deletes remove.  The raw tables must keep the ``offset`` of
+    their messages.
+    """
+    kinds = {"customers": (schemas.CUSTOMER, "customer_id"), "products": (schemas.PRODUCT, "product_id")}
+    return [
+        Dataset(
+            f"current_{table}",
+            lambda spark, messages, row=row, key=key: current.keyed_changes(
+                messages, schemas.pick(row, [key]), row
+            ),
+            [f"{table}_raw"],
+            kind=MERGED,
+            merge=current.LastWriter([key], buckets=buckets),
+            schema=row,
+            comment=f"The {table} as they are now",
+            properties=GOLD,
+        )
+        for table, (row, key) in kinds.items()
+    ]
+
+
+def incremental_datasets(*, grid: int = 16) -> list[Dataset]:
+    """The sales by product and customer of ``retail_datasets``, kept from what is new."""
+    return [
+        Dataset(
+            "customer_sales_incremental",
+            lambda spark, *inputs: incremental.sales_changes(*inputs),
+            ["sales_orders_cleansed", "dim_products", "dim_customers"],
+            kind=MERGED,
+            merge=incremental.SalesTotals(grid),
+            schema=schemas.FACT_CUSTOMER_SALES,
+            comment="Sales by product and customer, kept from changes",
+            properties=GOLD,
+        )
+    ]
+
+
 def _hot_keys(spark: SparkSession, lines: DataFrame, *dimensions: DataFrame) -> dict | None:
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     hot = facts.hot_keys(lines, ["product_id", "customer_id"], partitions)
@@ -155,10 +201,27 @@ def _hot_keys(spark: SparkSession, lines: DataFrame, *dimensions: DataFrame) ->
     return {"hot_products": hot["product_id"], "hot_customers": hot["customer_id"]}
 
 
-def _raw(table: str, sources: Mapping[str, Source], *, reset_allowed: bool) -> Dataset:
+def _measured_customer_sales(
+    spark: SparkSession, lines: DataFrame, products: DataFrame, customers: DataFrame
+) -> DataFrame:
+    """The aggregate, its hot keys measured anew each time it is computed."""
+    hot = _hot_keys(spark, lines) or {"hot_products": (), "hot_customers": ()}
+    return facts.fact_customer_sales(
+        lines,
+        products,
+        customers,
+        product_salting=facts.Salting(1, hot["hot_products"]),
+        customer_salting=facts.Salting(1, hot["hot_customers"]),
+    )
+
+
+def _raw(
+    table: str, sources: Mapping[str, Source], *, reset_allowed: bool, exactly_once: bool
+) -> Dataset:
     return Dataset(
         f"{table}_raw",
         lambda spark: raw.as_text(sources[table](spark)),
+        kind=ONCE if exactly_once else STREAM,
         trigger="1 seconds",
         reset_allowed=reset_allowed,
     )

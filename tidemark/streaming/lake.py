@@ -12,17 +12,22 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.keys import assign_keys
+from tidemark.operators import expectations, once
+from tidemark.operators.expectations import Rule
+from tidemark.operators.keys import assign_keys, with_places
 from tidemark.session import own_session, stream_settings
 from tidemark.streaming import files
+from tidemark.streaming.buckets import Buckets
 
 STREAM = "stream"
 KEYED = "keyed"
+ONCE = "once"
+MERGED = "merged"
 RECOMPUTED = "recomputed"
 
 
@@ -36,6 +41,11 @@ class Dataset:
     - ``stream``: inputs are streams, new rows are appended;
     - ``keyed``: as ``stream``, and rows get the surrogate key column ``key``,
       in the order ``order_by`` within a micro-batch;
+    - ``once``: as ``stream``, but a row whose ``identity`` columns are stored
+      already, or came before in its micro-batch, is left out;
+    - ``merged``: inputs are streams, each micro-batch is merged into a table that
+      changes in place, as ``merge`` says (``LastWriter``, ``SalesTotals``); it is
+      read with ``Lake.read``, has no entry in the catalog, and no stream reads it;
     - ``recomputed``: inputs are complete tables, the result replaces the last.
 
     ``schema`` is checked against the built columns.  ``trigger`` is the interval
@@ -49,6 +59,10 @@ class Dataset:
     ``Lake.rebuild``.  If it returns None there is nothing to measure yet:
     updates leave the dataset empty, and a continuous run starts it without.
 
+    ``rules`` are checked on the rows of a stream as they are written.  Those in
+    quarantine are read with ``Lake.quarantine``, the counts of each rule with
+    ``Lake.rule_counts``.
+
     ``output_partitions`` bounds the number of files that a stream's micro-batch
     adds, by a shuffle of its result.  ``stable_input`` is that of
     ``assign_keys`` for a keyed dataset.
@@ -71,14 +85,23 @@ class Dataset:
     measure: Callable[..., dict | None] | None = None
     output_partitions: int | None = None
     stable_input: bool = False
+    identity: Sequence[str] = once.IDENTITY
+    merge: object | None = None
+    rules: Sequence[Rule] = ()
 
     def __post_init__(self):
-        if self.kind not in (STREAM, KEYED, RECOMPUTED):
+        if self.kind not in (STREAM, KEYED, ONCE, MERGED, RECOMPUTED):
             raise ValueError(f"{self.name}: unknown kind {self.kind!r}")
+        if (self.kind == MERGED) != (self.merge is not None):
+            raise ValueError(f"{self.name}: a merged dataset, and no other, says how")
+        if self.rules and (self.kind != STREAM or self.temporary):
+            raise ValueError(f"{self.name}: rules are for stored streams")
+        if self.kind in (ONCE, MERGED) and self.temporary:
+            raise ValueError(f"{self.name}: {self.kind} datasets are stored")
         if (self.kind == KEYED) != (self.key is not None):
             raise ValueError(f"{self.name}: a keyed dataset, and no other, names its key")
-        if self.kind == KEYED and self.schema is None:
-            raise ValueError(f"{self.name}: a keyed dataset declares its schema")
+        if self.kind in (KEYED, MERGED) and self.schema is None:
+            raise ValueError(f"{self.name}: a {self.kind} dataset declares its schema")
 
 
 def conform(rows: DataFrame, schema: T.StructType | None) -> DataFrame:
@@ -130,11 +153,53 @@ class Lake:
         """All rows of a dataset as of now."""
         return self._read(self.spark, name)
 
+    def quarantine(self, name: str) -> DataFrame:
+        """The rows that rules have kept out of a dataset, with the names of those they break."""
+        schema = T.StructType([*self._stored_schema(name).fields, _BROKEN_FIELD])
+        reader = self.spark.read.option("recursiveFileLookup", "true").schema(schema)
+        path = self._quarantine_path(name)
+        files.make_folder(self.spark, path)
+        return reader.parquet(path).withColumnRenamed(expectations.BROKEN, "broken_rules")
+
+    def rule_counts(self, name: str) -> DataFrame:
+        """``rule``, ``action``, ``checked`` and ``broken`` of each rule of a dataset, over all batches."""
+        path = self._counts_path(name)
+        kind = "rule string, action string, checked bigint, broken bigint"
+        files.make_folder(self.spark, path)
+        found = self.spark.read.schema(kind).json(path)
+        return found.groupBy("rule", "action").agg(
+            F.sum("checked").alias("checked"), F.sum("broken").alias("broken")
+        )
+
+    def repair(self, name: str, source: DataFrame) -> int:
+        """Add the messages of a complete ``source`` that a ``once`` dataset lacks; how many.
+
+        Its query must not be running.  Readers get them as new rows.
+        """
+        dataset = self.datasets[name]
+        if dataset.kind != ONCE:
+            raise ValueError(f"{name} is not of kind {ONCE!r}")
+        if any(q.name == name for q in self.session.streams.active):
+            raise ValueError(f"stop the query of {name} first")
+        files.make_folder(self.spark, self._path(name))
+        stored = self._files(self.spark.read, name)
+        absent = once.missing(conform(source, stored.schema), stored, dataset.identity)
+        tag = uuid.uuid4().hex
+        staging = f"{self.root}/staging/{name}-{tag}"
+        absent.write.parquet(staging)
+        added = self.spark.read.schema(stored.schema).parquet(staging).count()
+        if added:
+            files.publish(self.spark, staging, f"{self._path(name)}/repair-{tag}")
+        files.delete(self.spark, staging)
+        return added
+
     def stream(self, name: str, options: Mapping[str, str] | None = None) -> DataFrame:
         """The rows of a dataset as they are added."""
         if self._is_view(name):
             return self.session.table(name)
         reader = self.session.readStream.options(**(options or {}))
+        if self.datasets[name].kind == MERGED:
+            raise ValueError(f"{name} changes in place, so it is no stream")
         if self.datasets[name].temporary:
             return self._files(reader, name)
         return reader.table(self.table_name(name))
@@ -229,12 +294,27 @@ class Lake:
             return self.session.table(name)
         if dataset.temporary:
             return self._files(session.read, name)
+        if dataset.kind == MERGED:
+            rows = dataset.merge.view(Buckets(session, self._path(name)))
+            if rows is None:
+                return session.createDataFrame([], dataset.schema)
+            return conform(rows, dataset.schema)
         session.catalog.refreshTable(self.table_name(name))
         return session.read.table(self.table_name(name))
 
     def _files(self, reader, name: str) -> DataFrame:
         reader = reader.option("recursiveFileLookup", "true")
-        return reader.schema(self.datasets[name].schema).parquet(self._path(name))
+        return reader.schema(self._stored_schema(name)).parquet(self._path(name))
+
+    def _stored_schema(self, name: str) -> T.StructType:
+        declared = self.datasets[name].schema
+        return self.spark.table(self.table_name(name)).schema if declared is None else declared
+
+    def _quarantine_path(self, name: str) -> str:
+        return f"{self.root}/quarantine/{name}"
+
+    def _counts_path(self, name: str) -> str:
+        return f"{self.root}/rules/{name}"
 
     def _built(self, dataset: Dataset, measured: dict) -> DataFrame:
         if dataset.kind == RECOMPUTED:
@@ -263,7 +343,7 @@ class Lake:
             return None
         measured = self._pinned(dataset, wait)
         rows = self._built(dataset, measured or {})
-        if dataset.kind == STREAM:
+        if dataset.kind in (STREAM, ONCE):
             rows = conform(rows, dataset.schema)
         if measured is None:
             self._create(dataset, rows.schema)
@@ -283,6 +363,14 @@ class Lake:
             files.make_folder(self.spark, self._path(dataset.name))
             self._create(dataset, dataset.schema, recursiveFileLookup="true")
             return writer.foreachBatch(self._keyed_batch(dataset)).start()
+        if dataset.kind == MERGED:
+            return writer.foreachBatch(self._merged_batch(dataset)).start()
+        if dataset.kind == ONCE or dataset.rules:
+            self._check_batches(dataset)
+            files.make_folder(self.spark, self._path(dataset.name))
+            self._create(dataset, rows.schema, recursiveFileLookup="true")
+            write = self._once_batch if dataset.kind == ONCE else self._checked_batch
+            return writer.foreachBatch(write(dataset)).start()
         self._create(dataset, rows.schema)
         return writer.format("parquet").toTable(self.table_name(dataset.name))
 
@@ -318,6 +406,85 @@ class Lake:
 
         return write
 
+    def _once_batch(self, dataset: Dataset):
+        """Rows are written with their places first; only where some repeat, they are written again."""
+        path, place = self._path(dataset.name), ["_part", "_position"]
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            spark = batch.sparkSession
+            name = _batch_name(batch_id)
+            if name in files.child_names(spark, path):
+                return
+            staging = f"{self.root}/staging/{dataset.name}-{uuid.uuid4().hex}"
+            placed = with_places(batch, batch.columns)
+            placed.write.parquet(f"{staging}/arrived")
+            arrived = spark.read.schema(placed.schema).parquet(f"{staging}/arrived")
+            stored = self._files(spark.read, dataset.name)
+            found = once.repeats(arrived, stored, place, dataset.identity)
+            found.write.parquet(f"{staging}/repeats")
+            found = spark.read.schema(found.schema).parquet(f"{staging}/repeats")
+            ready = f"{staging}/arrived"
+            if not found.isEmpty():
+                ready = f"{staging}/kept"
+                kept = once.without(arrived, found, place, dataset.identity)
+                kept.select(*batch.columns).write.parquet(ready)
+            files.publish(spark, ready, f"{path}/{name}")
+            files.delete(spark, staging)
+
+        return write
+
+    def _checked_batch(self, dataset: Dataset):
+        """Good rows, rows in quarantine and counts, out of one pass over the batch."""
+        path, apart = self._path(dataset.name), self._quarantine_path(dataset.name)
+        state = expectations.STATE
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            spark = batch.sparkSession
+            name = _batch_name(batch_id)
+            if name in files.child_names(spark, path):
+                return
+            staging = f"{self.root}/staging/{dataset.name}-{uuid.uuid4().hex}"
+            counted = Observation()
+            rows = expectations.observed(
+                expectations.judged(batch, dataset.rules), dataset.rules, counted
+            )
+            written = rows.where(F.col(state) != expectations.DROPPED)
+            if dataset.output_partitions is not None:
+                written = written.repartition(dataset.output_partitions)
+            written.write.partitionBy(state).parquet(staging)
+            counts = counted.get
+            told = [
+                {"rule": r.name, "action": r.action, "checked": counts["rows"], "broken": counts[r.name]}
+                for r in dataset.rules
+            ]
+            lines = "\n".join(map(json.dumps, told))
+            files.write_text(spark, f"{self._counts_path(dataset.name)}/{name}.json", lines)
+            # The good rows come last: with them the batch counts as written.
+            made = files.child_names(spark, staging)
+            if f"{state}={expectations.QUARANTINED}" in made:
+                files.delete(spark, f"{apart}/{name}")
+                files.publish(spark, f"{staging}/{state}={expectations.QUARANTINED}", f"{apart}/{name}")
+            if f"{state}={expectations.KEPT}" in made:
+                files.publish(spark, f"{staging}/{state}={expectations.KEPT}", f"{path}/{name}")
+            else:
+                files.make_folder(spark, f"{path}/{name}")
+            files.delete(spark, staging)
+
+        return write
+
+    def _merged_batch(self, dataset: Dataset):
+        path = self._path(dataset.name)
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            store = Buckets(batch.sparkSession, path)
+            if store.listing()["batch"] >= batch_id:
+                # The batch was merged, but its commit was not recorded.
+                return
+            sections, live = dataset.merge.merge(store, batch)
+            store.commit(batch_id, sections, live)
+
+        return write
+
     def _replace(self, dataset: Dataset) -> None:
         rows = conform(self._built(dataset, {}), dataset.schema)
         path = self._path(dataset.name)
@@ -402,11 +569,13 @@ class Lake:
     def _clear(self, dataset: Dataset) -> None:
         if self._is_view(dataset.name):
             return
-        if not dataset.temporary:
+        if not dataset.temporary and dataset.kind != MERGED:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.table_name(dataset.name)}")
         files.delete(self.spark, self._path(dataset.name))
         files.delete(self.spark, self._checkpoint(dataset.name))
         files.delete(self.spark, self._pinned_path(dataset.name))
+        files.delete(self.spark, self._quarantine_path(dataset.name))
+        files.delete(self.spark, self._counts_path(dataset.name))
 
     def _pinned_path(self, name: str) -> str:
         return f"{self.root}/pinned/{name}.json"
@@ -450,6 +619,7 @@ class Lake:
             )
 
 
+_BROKEN_FIELD = T.StructField(expectations.BROKEN, T.ArrayType(T.StringType()))
 # The property that names those which a lake has set itself.
 _OWN = "tidemark.properties"
 
