@@ -32,6 +32,10 @@ def successive(versions: DataFrame, key: str, start: str, end: str) -> DataFrame
     return holds.where(F.col(end).isNull() | F.col(start).isNull() | (F.col(start) < F.col(end)))
 
 
+def _slot(level: int):
+    return lambda bucket: F.struct(F.lit(level).alias(_LEVEL), bucket.cast("bigint").alias(_BUCKET))
+
+
 def _slots(start: Column, end: Column, base: int) -> Column:
     """The buckets of an interval, at the finest level where it needs at most ``RATIO`` + 1 of them."""
     slots = F.array(F.struct(F.lit(LEVELS).alias(_LEVEL), F.lit(0).cast("bigint").alias(_BUCKET)))
@@ -41,10 +45,7 @@ def _slots(start: Column, end: Column, base: int) -> Column:
         fits = start.isNotNull() & end.isNotNull() & (end - start <= RATIO * width)
         # Outside of the condition the sequence must still be a short one.
         buckets = F.sequence(F.when(fits, first).otherwise(0), F.when(fits, last).otherwise(0))
-        at_level = F.transform(
-            buckets,
-            lambda b, n=level: F.struct(F.lit(n).alias(_LEVEL), b.cast("bigint").alias(_BUCKET)),
-        )
+        at_level = F.transform(buckets, _slot(level))
         slots = F.when(fits, at_level).otherwise(slots)
     return slots
 
