@@ -1,11 +1,12 @@
 """Secret scan with linking of multipart credentials.
 
 Strong finds (assignments, access keys, long hexadecimal runs) stand for
-themselves.  Weak candidates - identifier-like tokens, secret-like tokens and
-endpoints - are reported only where a part with another role starts within
+themselves.  Weak candidates - long tokens of upper case and digits, all other
+long tokens of mixed classes (UUIDs among them), and endpoints - are reported only where a part with another role starts within
 ``scope`` code points: an identifier needs a secret or an endpoint, and so on.
 A weak candidate that overlaps a strong find starting within the scope is part
-of it and not reported again.
+of it and not reported again, a token that overlaps an endpoint is part of that,
+and what overlaps is no company.
 
 The link is an interval join of a text's own parts.  They are sorted by start;
 as finds of one pattern do not overlap, a known number of neighbours on either
@@ -13,7 +14,8 @@ side covers the interval, so the join takes linear time, needs no shuffle and
 looks at no pair beyond the scope.
 
 Only built-in expressions are used.  Null texts count as empty, and every row
-gives a row.  Places are code points, ends exclusive.
+gives a row, repeated ones each.  Places are code points, ends exclusive.  Very
+long texts are scanned whole.  Columns of the input stay in ``doc``.
 """
 
 from __future__ import annotations
@@ -32,6 +34,10 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 # Weak candidates; the counted repeats keep matching linear.
 TOKEN = r"[A-Za-z0-9+/_-]{16,}"
+# Letters alone are taken for a secret from this length on.
+_LETTERS = 20
+IDENTIFIER = r"^[A-Z0-9]+$"
+UUID = r"^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$"
 ENDPOINT = r"""https?://[^\x20\x09-\x0D"'<>]+|[A-Za-z0-9-]{1,63}\.[A-Za-z0-9.-]{1,190}:[0-9]{2,5}"""
 
 KINDS = ["assign", "access", "hex", "weak_id", "weak_secret", "endpoint"]
@@ -85,11 +91,11 @@ def _parts(text: Column, pattern: str, found: Column, kind) -> Column:
 
 
 def _token_kind(token: Column, _) -> Column:
+    """Upper case with digits may be an identifier, any other mix of classes a secret; the link decides."""
     has = lambda p: token.rlike(p)
-    return F.when(has("^[A-Z0-9]+$") & has("[0-9]") & has("[A-Z]"), F.lit(3)).when(
-        (F.length(token) >= 20) & has("[A-Z]") & has("[a-z]") & has("[0-9]")
-        | has("^[0-9a-f]{16,23}$") & has("[0-9]") & has("[a-f]"),
-        F.lit(4),
+    long = F.length(token) >= _LETTERS
+    return F.when(has(IDENTIFIER) & has("[0-9]") & has("[A-Z]"), F.lit(3)).when(
+        (has("[a-z]") & (has("[0-9]") | (has("[A-Z]") & long))) | has(UUID), F.lit(4)
     )
 
 
@@ -146,16 +152,13 @@ def _linked(parts: Column, scope: int) -> Column:
 
     def stays(p: Column, i: Column) -> Column:
         other = lambda j: F.get(parts, j)
-        inside = F.exists(
-            near(i),
-            lambda j: (other(j)["kind"] < _N_STRONG)
-            & (F.abs(other(j)["start"] - p["start"]) <= scope)
-            & (other(j)["start"] < p["end"])
-            & (p["start"] < other(j)["end"]),
-        )
+        close = lambda q: F.abs(q["start"] - p["start"]) <= scope
+        overlaps = lambda q: (q["start"] < p["end"]) & (p["start"] < q["end"])
+        around = lambda q: (q["kind"] < _N_STRONG) | ((q["kind"] == 5) & (p["kind"] < 5))
+        inside = F.exists(near(i), lambda j: around(other(j)) & close(other(j)) & overlaps(other(j)))
         complement = F.exists(
             near(i),
-            lambda j: (role(other(j)) != role(p)) & (F.abs(other(j)["start"] - p["start"]) <= scope),
+            lambda j: (role(other(j)) != role(p)) & close(other(j)) & ~overlaps(other(j)),
         )
         return (p["kind"] < _N_STRONG) | (~inside & complement)
 

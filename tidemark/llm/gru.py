@@ -107,9 +107,18 @@ def _bound(w: np.ndarray, bias: np.ndarray) -> float:
 
 
 class Network:
-    def __init__(self, layout: Layout, weights: dict[str, np.ndarray]):
+    """``seen`` adds up the squares of each weight's gradients, over earlier training too if given."""
+
+    UNSEEN = 1e-4
+
+    def __init__(
+        self, layout: Layout, weights: dict[str, np.ndarray], seen: dict[str, np.ndarray] | None = None
+    ):
         self.layout, self.w = layout, {k: v.copy() for k, v in weights.items()}
-        self.seen = {k: np.full(v.shape, 1e-4, np.float32) for k, v in weights.items()}
+        if seen is None:
+            self.seen = {k: np.full(v.shape, self.UNSEEN, np.float32) for k, v in weights.items()}
+        else:
+            self.seen = {k: v.copy() for k, v in seen.items()}
 
     def log_likelihoods(self, documents, entry, classes, within) -> np.ndarray:
         """Natural log-probabilities, per document, of classes and head words."""

@@ -14,8 +14,10 @@ per task and source carries the offsets, so a hot source spreads over as many
 tasks as its size asks for.  Every shuffled table is written before its
 partition numbers are used, so a lost executor cannot change them.
 
+Decisions go back to the texts by file and place (``rows``), without a shuffle.
+
 Null texts have size zero and are never taken, nor are other texts without a
-word.  Rows of the same document id, size and source are told apart by their
+word.  A very long text is a row like any other; only its words are counted.  Rows of the same document id, size and source are told apart by their
 place only, so their results may swap; reruns give the same rows.
 """
 
@@ -28,12 +30,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from tidemark.llm.tables import column, map_arrow, packed, small, staged
+from tidemark.llm.rows import address, stored, with_numbers
+from tidemark.llm.tables import column, map_arrow, small, staged
 from tidemark.operators.keys import assign_keys
 
 WEIGHTS = (1, 2, 3)
 REPEAT = 3
 SEED = "mix"
+# Sources are joined by a broadcast up to this many, some 100 MB, and by a shuffle
+# of narrow rows beyond; texts take part in neither.
+BROADCAST_SOURCES = 500_000
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -105,33 +111,32 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, repeat: int = REPEAT) -> D
     return ranked.select("source", "source_no", "source_size", target.alias("target"))
 
 
-def mix(
-    docs: DataFrame,
-    *,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    source: str = "source",
-    keep: list[str] | None = None,
-    weights=WEIGHTS,
-    repeat: int = REPEAT,
-    seed: str = SEED,
-) -> DataFrame:
-    """``doc`` (a struct of ``keep``), ``size``, ``source_size``, ``target`` and ``copies``."""
+def _sized(docs: DataFrame, doc_id: str, text: str, source: str, seed: str, carried) -> DataFrame:
+    """``doc`` (a struct of ``carried``), ``source``, ``size`` and ``shuffle``, without the text."""
     identity = F.coalesce(column(doc_id).cast("string"), F.lit(""))
-    rows = docs.select(
-        packed(docs, keep),
+    drawn = F.md5(F.concat(F.lit(f"{seed}|"), identity).cast("binary"))
+    return docs.select(
+        F.struct(*carried).alias("doc"),
         column(source).alias("source"),
         F.coalesce(F.regexp_count(column(text), F.lit(_WORD)), F.lit(0)).cast("bigint").alias("size"),
-        F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), identity).cast("binary")), 1, 15), 16, 10)
-        .cast("bigint")
-        .alias("shuffle"),
+        F.conv(F.substring(drawn, 1, 15), 16, 10).cast("bigint").alias("shuffle"),
     )
-    rows = staged(rows.withColumn("place", F.monotonically_increasing_id()), "mix-rows")
+
+
+def _taken(sized: DataFrame, weights, repeat: int) -> DataFrame:
+    """``doc``, ``size``, ``source_size``, ``target`` and ``copies`` of each row of ``_sized``.
+
+    A source's copies finish in the order of pass, shuffle, size and place, so
+    what the budget takes of it is all up to one cut point.  The last copy taken,
+    one row per source, says for every document how many of its copies are.
+    """
+    rows = staged(sized.withColumn("place", F.monotonically_increasing_id()), "mix-rows")
     targets = staged(source_targets(rows, weights, repeat), "mix-targets")
 
     slim = rows.select("source", "size", "shuffle", "place")
     numbered = slim.join(
-        targets.select("source", "source_no"), slim.source.eqNullSafe(targets.source)
+        small(targets.select("source", "source_no"), BROADCAST_SOURCES),
+        slim.source.eqNullSafe(targets.source),
     ).select("source_no", "size", "shuffle", "place")
     lines = staged(
         _running(numbered, ["source_no", "shuffle", "size", "place"], "size", "source_no"), "mix-lines"
@@ -159,35 +164,49 @@ def mix(
     finish = ((F.col("pass_no") - 1) * F.col("source_size") + F.col("done")) / F.col("target")
     copies = copies.select(finish.alias("finish"), "source_no", "shuffle", "size", "place", "pass_no")
     sorted_copies = staged(
-        _running(
-            copies, ["finish", "source_no", "shuffle", "size", "place", "pass_no"], "size"
-        ).select("place", "size", "part", "run"),
+        _running(copies, ["finish", "source_no", "shuffle", "size", "place", "pass_no"], "size"),
         "mix-queue",
     )
     # One row for each task.
     sums = sorted_copies.groupBy("part").agg(F.sum("size").alias("in_part"))
     ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("part", F.coalesce(F.sum("in_part").over(ahead), F.lit(0)).alias("ahead"))
-    taken = staged(
+    last = F.max(F.struct("pass_no", "shuffle", "size", "place")).alias("last")
+    cuts = (
         sorted_copies.join(F.broadcast(sums), "part")
         .where(F.col("ahead") + F.col("run") <= budget)
-        .groupBy("place")
-        .agg(F.count(F.lit(1)).alias("copies")),
-        "mix-taken",
+        .groupBy("source_no")
+        .agg(last)
     )
-    counted = rows.join(small(taken), "place", "left")
-    return counted.join(
-        targets.select(F.col("source").alias("target_source"), "source_size", "target"),
-        F.col("source").eqNullSafe(F.col("target_source")),
-    ).select(
-        "doc", "size", "source_size", "target", F.coalesce("copies", F.lit(0)).alias("copies")
+    cuts = staged(
+        targets.join(cuts, "source_no", "left").select(
+            F.col("source").alias("cut_source"), "source_size", "target", "last"
+        ),
+        "mix-cuts",
     )
+    here = F.struct("shuffle", "size", "place")
+    there = F.struct(*(F.col("last")[c].alias(c) for c in ("shuffle", "size", "place")))
+    whole = F.col("last.pass_no") - F.when(here <= there, 0).otherwise(1)
+    taken = F.when((F.col("size") > 0) & F.col("last").isNotNull(), whole).otherwise(0)
+    return rows.join(
+        small(cuts, BROADCAST_SOURCES), F.col("source").eqNullSafe(F.col("cut_source"))
+    ).select("doc", "size", "source_size", "target", taken.cast("bigint").alias("copies"))
 
 
-def mix_report(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
+def mix_report(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    *,
+    text: str = "text",
+    source: str = "source",
+    weights=WEIGHTS,
+    repeat: int = REPEAT,
+    seed: str = SEED,
+) -> DataFrame:
     """How many words the mix takes of each document."""
-    return mix(docs, doc_id=doc_id, keep=[doc_id], **options).select(
-        F.col(f"doc.`{doc_id}`").alias("doc_id"),
+    sized = _sized(docs, doc_id, text, source, seed, [column(doc_id).alias("doc_id")])
+    return _taken(sized, weights, repeat).select(
+        "doc.doc_id",
         "size",
         "source_size",
         "target",
@@ -195,6 +214,26 @@ def mix_report(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
     )
 
 
-def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The documents that the mix takes, with ``copies``, how often each is to be read."""
-    return mix(docs, **options).where("copies > 0").select("doc.*", "copies")
+def mixed(
+    docs: DataFrame,
+    *,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    weights=WEIGHTS,
+    repeat: int = REPEAT,
+    seed: str = SEED,
+) -> DataFrame:
+    """The documents that the mix takes, with ``copies``, how often each is to be read.
+
+    An input column ``copies`` is replaced.  Texts are read twice, to be counted
+    and to be given out, and not shuffled.
+    """
+    table = stored(docs, "mix-input")
+    sized = _sized(table, doc_id, text, source, seed, address(table))
+    decided = _taken(sized, weights, repeat).where("copies > 0").select("doc.*", "copies")
+    # A power of two, so that no number lies across two words.
+    bits = 1 << (max(1, repeat.bit_length()) - 1).bit_length()
+    rows = with_numbers(table, staged(decided, "mix-decided"), "copies", bits, "mix")
+    kept = [F.col("doc").getField(c).alias(c) for c in table.columns if c != "copies"]
+    return rows.where("copies > 0").select(*kept, F.col("copies").cast("bigint").alias("copies"))

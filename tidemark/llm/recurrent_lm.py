@@ -3,12 +3,17 @@
 1. Words are counted over all documents (partial counts per task, then one
    shuffle).  Training documents are those whose crc32 of the id leaves a
    remainder other than 2 by 7.
-2. Words with at least a millionth of all tokens - a million at most, whatever
-   the data - are broadcast with their counts.  The commonest form the head.
-3. Every task trains the network on its own training documents from the same
-   start, and the weights are averaged, weighed by training tokens: all training
-   documents count alike, and what is shuffled grows with the tasks.
-4. Every task scores its documents, whole, state carried throughout.  Words
+2. Words with at least a millionth of all tokens, or of the training tokens - two
+   million words at most, whatever the data - are broadcast with their counts.
+   The commonest in training form the head; training counts alone shape classes.
+3. Texts are turned into token numbers once and written; training and scoring
+   read the numbers.
+4. Training goes over the training documents once, in ``ROUNDS`` disjoint parts.
+   A part is dealt by hash to shards of about ``SHARD_TOKENS`` tokens; every shard
+   trains the network from the same weights, and these are averaged, weighed by
+   tokens, before the next round.  Shards follow from the documents, not from
+   files or tasks, so neither does the model.
+5. Every task scores its documents, whole, state carried throughout.  Words
    outside the broadcast are joined with their counts; as each holds less than a
    millionth of the tokens, no key of that join is hot.
 
@@ -17,7 +22,8 @@ words, and within it the probability (c+1)/(sum of (c+1) over the class + 1).
 
 Null and empty texts hold the end token alone.  Without an id a document is one
 for training.  Repeated rows count and score each.  Without training documents
-every token has the base probability 1.
+every token has the base probability 1.  A very long text is one task's work,
+token by token; it is never cut.
 """
 
 from __future__ import annotations
@@ -34,15 +40,16 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from tidemark.llm.gru import Layout, Network
-from tidemark.llm.tables import column, map_arrow, staged
+from tidemark.llm.tables import column, map_arrow, slices, staged
 
 HOT_SHARE = 1_000_000
 HEAD_CLASSES, PER_CLASS, TAIL_CLASSES = 16, 64, 16
 CHUNK_TOKENS = 5_000_000
+ROUNDS, SHARD_TOKENS = 4, 1_000_000
+_PIECES = 16
 COUNTED_WORDS = 300_000
 CACHED_WORDS = 150_000
 _END = b""
-_SCALE = 1 << 20
 
 
 def tokens_of(text: bytes | None) -> list[bytes]:
@@ -156,55 +163,152 @@ def _class_mass(rare: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return n, m
 
 
-def _chunks(batches, lookup, wanted=None):
-    """Token numbers of documents, as many at a time as hold ``CHUNK_TOKENS``."""
-    numbers, words, ids, held, n = [], [], [], [], 0
-    for batch in batches:
-        texts = batch.column(0).cast(pa.binary()).to_pylist()
-        outs = batch.column(1).to_pylist()
-        names = batch.column(2).to_pylist() if batch.num_columns > 2 else [None] * len(texts)
-        for text, out, name in zip(texts, outs, names, strict=True):
-            if wanted is not None and out is not wanted:
-                continue
-            document = tokens_of(text)
-            found = [lookup[w] for w in document]
-            numbers.append(np.array(found, np.int32))
-            if wanted is None:
-                hot = lookup.hot
-                words.append(Counter([w for w, k in zip(document, found, strict=True) if k >= hot]))
-            ids.append(name)
-            held.append(out)
-            n += len(document)
-            if n >= CHUNK_TOKENS:
-                yield numbers, words, ids, held
-                numbers, words, ids, held, n = [], [], [], [], 0
-    if numbers:
-        yield numbers, words, ids, held
+_NUMBERED = (
+    "place bigint, doc_id {id}, held_out boolean, n_tokens bigint, numbers binary, "
+    "words array<struct<word:binary,n:bigint>>"
+)
+
+
+def _numbered(docs: DataFrame, vocabulary) -> DataFrame:
+    """A row per document: its tokens as 32-bit numbers, and its words outside the broadcast, counted."""
+    schema = StructType.fromDDL(_NUMBERED.format(id="bigint"))
+    schema["doc_id"].dataType = docs.schema["doc_id"].dataType
+    arrow = to_arrow_schema(schema)
+
+    def run(batches):
+        v = vocabulary.value
+        lookup, hot = v.lookup(), v.hot
+        place = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            for part in slices(batch, 0):
+                numbers, sizes, words = [], [], []
+                for text in part.column(0).cast(pa.binary()).to_pylist():
+                    document = tokens_of(text)
+                    found = np.fromiter(map(lookup.__getitem__, document), np.int32, len(document))
+                    numbers.append(found.tobytes())
+                    sizes.append(len(document))
+                    words.append(Counter([document[i] for i in np.flatnonzero(found >= hot).tolist()]))
+                n = part.num_rows
+                made = [
+                    pa.array(np.arange(place, place + n)),
+                    part.column(2),
+                    part.column(1),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(numbers, pa.binary()),
+                    _lists(words, arrow.field("words").type),
+                ]
+                place += n
+                yield pa.RecordBatch.from_arrays(made, schema=arrow)
+
+    return map_arrow(docs, run, schema)
+
+
+def _arrays(column_of_numbers) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.int32) for x in column_of_numbers.to_pylist()]
+
+
+def train(numbered: DataFrame, vocabulary, start: np.ndarray, tokens: int) -> np.ndarray:
+    """The network's weights after ``ROUNDS`` rounds over disjoint parts of the training documents."""
+    spark = numbered.sparkSession
+    shards = max(1, -(-tokens // (ROUNDS * SHARD_TOKENS)))
+    # Neither a hot id nor copies of a text share a hash.
+    drawn = F.xxhash64(F.lit("lm"), "doc_id", "numbers")
+    dealt = numbered.where("not held_out").select(
+        F.pmod(drawn, F.lit(ROUNDS)).alias("round"),
+        F.pmod(F.floor(drawn / ROUNDS).cast("bigint"), F.lit(shards)).cast("int").alias("shard"),
+        drawn.alias("drawn"),
+        "numbers",
+    )
+    # Weights, and what the network has seen of each weight's gradient.
+    state = np.concatenate((start, np.full(len(start), Network.UNSEEN, np.float32)))
+    for number in range(ROUNDS):
+        part = dealt.where(F.col("round") == number).drop("round")
+        part = part.repartitionByRange(shards, "shard").sortWithinPartitions("shard", "drawn", "numbers")
+        shared = spark.sparkContext.broadcast(state)
+        state = _averaged(_trained(part, vocabulary, shared), state)
+    return state[: len(start)]
+
+
+_TRAINED = "piece int, shard int, seen bigint, value binary"
 
 
-def train(docs: DataFrame, vocabulary, start) -> np.ndarray:
-    """Weights averaged over the tasks, each weighed by the tokens it trained on."""
+def _trained(part: DataFrame, vocabulary, shared) -> DataFrame:
+    """What each shard's training ends with, cut into pieces."""
 
     def run(batches):
         v, layout = vocabulary.value, _layout()
-        network, seen = Network(layout, layout.unflat(start.value)), 0
-        for numbers, *_ in _chunks(batches, v.lookup(), False):
-            seen += network.train(numbers, v.entry, v.classes, v.within)
-        if seen:
-            values = np.round(layout.flat(network.w).astype(np.float64) * _SCALE).astype(np.int64)
+        shard, network, seen, open_, size = None, None, 0, [], 0
+
+        def learn():
+            nonlocal seen, open_, size
+            if open_:
+                seen += network.train(open_, v.entry, v.classes, v.within)
+                open_, size = [], 0
+
+        def closed():
+            values = np.concatenate((layout.flat(network.w), layout.flat(network.seen)))
+            pieces = np.array_split(values.astype(np.float32), _PIECES)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(values), dtype=np.int32)), pa.array(values), pa.array(np.full(len(values), seen, np.int64))],
-                ["k", "value", "seen"],
+                [
+                    pa.array(np.arange(_PIECES, dtype=np.int32)),
+                    pa.array(np.full(_PIECES, shard, np.int32)),
+                    pa.array(np.full(_PIECES, seen, np.int64)),
+                    pa.array([p.tobytes() for p in pieces], pa.binary()),
+                ],
+                ["piece", "shard", "seen", "value"],
             )
 
-    parts = map_arrow(docs.select("text", "held_out"), run, "k int, value bigint, seen bigint")
-    # Whole numbers add up to the same in any order; by tokens they outgrow a bigint.
-    weighed = F.col("value").cast("decimal(18,0)") * F.col("seen").cast("decimal(18,0)")
-    means = parts.groupBy("k").agg((F.sum(weighed).cast("double") / F.sum("seen") / _SCALE).alias("value"))
-    values = start.value.copy()
-    for row in means.toLocalIterator():
-        values[row.k] = row.value
-    return values
+        for batch in batches:
+            for now, numbers in zip(batch.column(0).to_pylist(), _arrays(batch.column(2)), strict=True):
+                if now != shard:
+                    if network is not None:
+                        learn()
+                        yield from closed()
+                    weights, before = np.split(shared.value, 2)
+                    shard, seen = now, 0
+                    network = Network(layout, layout.unflat(weights), layout.unflat(before))
+                open_.append(numbers)
+                size += len(numbers)
+                if size >= CHUNK_TOKENS:
+                    learn()
+        if network is not None:
+            learn()
+            yield from closed()
+
+    return map_arrow(part, run, _TRAINED)
+
+
+def _averaged(trained: DataFrame, state: np.ndarray) -> np.ndarray:
+    """The mean over shards, weighed by tokens; ``state`` where there are none.
+
+    Each piece is summed in the order of the shards, so reruns agree.
+    """
+
+    def run(batches):
+        piece, total, weight = None, None, 0
+        for batch in batches:
+            for k, _, seen, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if k != piece and piece is not None:
+                    yield _piece(piece, total / weight)
+                if k != piece:
+                    piece, total, weight = k, 0.0, 0
+                total = total + np.frombuffer(value, np.float32).astype(np.float64) * seen
+                weight += seen
+        if piece is not None:
+            yield _piece(piece, total / weight)
+
+    ordered = trained.repartition("piece").sortWithinPartitions("piece", "shard")
+    rows = map_arrow(ordered, run, "piece int, value binary").collect()
+    if not rows:
+        return state
+    means = [np.frombuffer(r.value, np.float64) for r in sorted(rows, key=lambda r: r.piece)]
+    return np.concatenate(means).astype(np.float32)
+
+
+def _piece(piece: int, values: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([piece], pa.int32()), pa.array([values.tobytes()], pa.binary())], ["piece", "value"]
+    )
 
 
 def score(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -218,8 +322,13 @@ def score(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Dat
         F.count_if(F.col("n_train") > 0),
         F.coalesce(F.sum("n_all"), F.lit(0)),
     ).first()
-    # The end token is broadcast even where documents are very long.
-    hot = (F.col("n_all") * HOT_SHARE >= tokens) | (F.length("word") == 0)
+    # The end token is broadcast even where documents are very long.  A word that
+    # is frequent in training is, whatever the other documents hold.
+    hot = (
+        (F.col("n_all") * HOT_SHARE >= tokens)
+        | ((F.col("n_train") > 0) & (F.col("n_train") * HOT_SHARE >= total))
+        | (F.length("word") == 0)
+    )
     known = [(bytes(r.word), r.n_train) for r in counts.where(hot).toLocalIterator()]
     known.sort(key=lambda x: (-x[1], x[0]))
     rare = counts.where(~hot)
@@ -230,8 +339,9 @@ def score(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Dat
     words = np.zeros(HEAD_CLASSES * PER_CLASS)
     words[: v.head] = v.counts[: v.head]
     vocabulary = spark.sparkContext.broadcast(v)
-    start = spark.sparkContext.broadcast(layout.flat(layout.start(v.class_counts(rare_tokens), words)))
-    weights = spark.sparkContext.broadcast(train(docs, vocabulary, start))
+    numbered = staged(_numbered(docs, vocabulary), "lm-numbers")
+    start = layout.flat(layout.start(v.class_counts(rare_tokens), words))
+    weights = spark.sparkContext.broadcast(train(numbered, vocabulary, start, total))
 
     # What a class divides by, and what a word outside the head adds.
     mass = np.bincount(
@@ -242,48 +352,67 @@ def score(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Dat
     mass[HEAD_CLASSES + TAIL_CLASSES :] += rare_mass
     log_mass = np.log10(mass + 1)
     log_mass[:HEAD_CLASSES] = 0
-    scored = staged(_scored(docs, vocabulary, weights, log_mass), "lm-scores")
-    return _put_together(scored, rare, total, kinds)
+    scored = staged(_scored(numbered, vocabulary, weights, log_mass), "lm-scores")
+    return _put_together(scored, numbered, rare, total, kinds)
 
 
 _SCORED = (
-    "place bigint, doc_id {id}, held_out boolean, n_tokens bigint, n_known bigint, base double, "
-    "model double, words array<struct<word:binary,n:bigint>>"
+    "place bigint, doc_id {id}, held_out boolean, n_tokens bigint, n_known bigint, base double, model double"
 )
 
 
-def _scored(docs: DataFrame, vocabulary, weights, log_mass) -> DataFrame:
-    """A row per document, with the words that are still to be joined."""
+def _scored(numbered: DataFrame, vocabulary, weights, log_mass) -> DataFrame:
+    """A row per document, without the counts of the words that are still to be joined."""
     schema = StructType.fromDDL(_SCORED.format(id="bigint"))
-    schema["doc_id"].dataType = docs.schema["doc_id"].dataType
-    arrow = to_arrow_schema(schema)
+    schema["doc_id"].dataType = numbered.schema["doc_id"].dataType
+    names = schema.names
 
     def run(batches):
         v, layout = vocabulary.value, _layout()
         network = Network(layout, layout.unflat(weights.value))
-        place = TaskContext.get().partitionId() << 33
         log_count = np.concatenate((np.log10(v.counts + 1), np.zeros(TAIL_CLASSES)))
         is_known = np.concatenate((v.counts > 0, np.zeros(TAIL_CLASSES, bool)))
         in_class = np.where(np.arange(len(v.classes)) < v.head, 0, log_count) - log_mass[v.classes]
-        for numbers, words, ids, held in _chunks(batches, v.lookup()):
+        for rows, numbers in _chunks(batches):
             model = network.log_likelihoods(numbers, v.entry, v.classes, v.within) / np.log(10)
-            n, sizes = len(numbers), [len(x) for x in numbers]
-            every, begins = np.concatenate(numbers), np.concatenate(([0], np.cumsum(sizes)[:-1]))
+            every = np.concatenate(numbers)
+            begins = np.concatenate(([0], np.cumsum([len(x) for x in numbers])[:-1]))
             model += np.add.reduceat(in_class[every], begins)
-            columns = [
-                np.arange(place, place + n),
-                ids,
-                held,
-                sizes,
-                np.add.reduceat(is_known[every].astype(np.int64), begins),
-                np.add.reduceat(log_count[every], begins),
-                model,
+            made = [
+                pa.array(np.add.reduceat(is_known[every].astype(np.int64), begins)),
+                pa.array(np.add.reduceat(log_count[every], begins)),
+                pa.array(model),
             ]
-            place += n
-            made = [pa.array(c, f.type) for c, f in zip(columns, arrow, strict=False)]
-            yield pa.RecordBatch.from_arrays([*made, _lists(words, arrow.field("words").type)], schema=arrow)
+            yield pa.RecordBatch.from_arrays([*rows, *made], names)
 
-    return map_arrow(docs, run, schema)
+    return map_arrow(numbered.select("place", "doc_id", "held_out", "n_tokens", "numbers"), run, schema)
+
+
+def _chunks(batches):
+    """Other columns and token numbers of documents, about ``CHUNK_TOKENS`` at a time."""
+    kept, numbers, n = [], [], 0
+
+    def together():
+        table = pa.Table.from_batches(kept).combine_chunks()
+        return [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in table.columns]
+
+    for batch in batches:
+        sizes = np.cumsum(batch.column(3).to_numpy(zero_copy_only=False))
+        begin = 0
+        while begin < batch.num_rows:
+            before = int(sizes[begin - 1]) if begin else 0
+            room = before + CHUNK_TOKENS - n
+            end = max(begin + 1, int(np.searchsorted(sizes, room, "right")))
+            part = batch.slice(begin, end - begin)
+            kept.append(part.select(["place", "doc_id", "held_out", "n_tokens"]))
+            numbers += _arrays(part.column(4))
+            n += int(sizes[end - 1]) - before
+            begin = end
+            if n >= CHUNK_TOKENS or begin < batch.num_rows:
+                yield together(), numbers
+                kept, numbers, n = [], [], 0
+    if numbers:
+        yield together(), numbers
 
 
 def _lists(words: list[Counter], kind: pa.ListType) -> pa.Array:
@@ -297,8 +426,10 @@ def _lists(words: list[Counter], kind: pa.ListType) -> pa.Array:
     return pa.ListArray.from_arrays(ends, structs, type=kind)
 
 
-def _put_together(scored: DataFrame, rare: DataFrame, total: int, kinds: int) -> DataFrame:
-    asked = scored.select("place", F.explode("words").alias("w")).select("place", "w.word", "w.n")
+def _put_together(
+    scored: DataFrame, numbered: DataFrame, rare: DataFrame, total: int, kinds: int
+) -> DataFrame:
+    asked = numbered.select("place", F.explode("words").alias("w")).select("place", "w.word", "w.n")
     found = (
         asked.join(rare.where("n_train > 0").select("word", "n_train"), "word")
         .groupBy("place")
@@ -309,7 +440,7 @@ def _put_together(scored: DataFrame, rare: DataFrame, total: int, kinds: int) ->
     )
     more = F.coalesce("more", F.lit(0.0))
     each = float(np.log10(total + kinds + 1))
-    return scored.drop("words").join(found, "place", "left").select(
+    return scored.join(found, "place", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",

@@ -15,6 +15,7 @@ links: at most one per fingerprint it has seen, never all pairs of a group.
 
 Null and empty texts have the fingerprint zero and link like any other.
 Repeated rows share a fingerprint.  A component without any doc_id has none.
+A very long text is hashed whole, some thousand shingles at a time.
 """
 
 from __future__ import annotations
@@ -28,7 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.llm.components import connected_components
-from tidemark.llm.tables import column, map_arrow, map_texts, small, staged
+from tidemark.llm.rows import FILE, ROW, address, stored, with_numbers
+from tidemark.llm.tables import column, map_arrow, map_texts, staged
 
 SEED = 42
 SHINGLE = 3
@@ -227,35 +229,21 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 def drop_near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each component, that of the least doc_id.
 
-    Only ids and fingerprints are stored.  A row that stays and has an id of its
-    own is picked by that id.  Where the least id of a component repeats or is
-    missing, all rows with it are fingerprinted again, and of those with the
-    component's first fingerprint the least row, column by column, stays.
+    Ids that are missing come last; of rows with the same id the one with the
+    least fingerprint stays, and of those the first in the files.  Only ids,
+    fingerprints and addresses are stored and shuffled: texts are read twice, to
+    be fingerprinted and to be given out.
     """
-    slim = fingerprints(docs, text=text, keep=[doc_id])
-    slim = staged(slim.select(F.col(f"doc.`{doc_id}`").alias("doc_id"), "fp"), "simhash")
+    table = stored(docs, "simhash-input")
+    slim = table.select(column(doc_id).alias("doc_id"), column(text).alias("text"), *address(table))
+    slim = fingerprints(slim, keep=["doc_id", FILE, ROW])
+    slim = staged(slim.select("doc.*", "fp"), "simhash")
     classes = staged(fingerprint_components(slim).select("fp", "component"), "simhash-classes")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("first")
-    stays = slim.join(classes, "fp").groupBy("component").agg(first).select("first.doc_id", "first.fp")
-    rows = slim.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
-    same = stays.doc_id.eqNullSafe(rows.doc_id)
-    alone = (F.col("rows") == 1) & stays.doc_id.isNotNull()
-    stays = staged(stays.join(rows, same).select(stays.doc_id, "fp", alone.alias("alone")), "simhash-stays")
-
-    # What goes is mostly less than what stays.
-    gone = slim.select("doc_id").distinct().join(stays.where("alone"), "doc_id", "left_anti")
-    gone = staged(gone.where("doc_id is not null").withColumnRenamed("doc_id", "_gone"), "simhash-gone")
-    picked = docs.where(column(doc_id).isNotNull())
-    picked = picked.join(small(gone), column(doc_id) == F.col("_gone"), "left_anti")
-    several = stays.where("not alone")
-    if several.isEmpty():
-        return picked
-    ids = several.select(F.col("doc_id").alias("_stays")).distinct()
-    again = docs.join(ids, column(doc_id).eqNullSafe(F.col("_stays")), "left_semi")
-    again = fingerprints(again, text=text).join(
-        several.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp")),
-        F.col(f"doc.`{doc_id}`").eqNullSafe(F.col("_id")) & (F.col("fp") == F.col("_fp")),
-        "left_semi",
-    )
-    least = again.groupBy(F.col(f"doc.`{doc_id}`").alias("_id"), "fp").agg(F.min("doc").alias("doc"))
-    return picked.unionByName(least.select("doc.*"))
+    # One row per fingerprint before the join, so copies make no key hot.
+    order = [F.col("doc_id").isNull().alias("none"), "doc_id"]
+    firsts = slim.groupBy("fp").agg(F.min(F.struct(*order, FILE, ROW)).alias("first"))
+    least = F.min(F.struct("first.none", "first.doc_id", "fp", f"first.{FILE}", f"first.{ROW}"))
+    stays = firsts.join(classes, "fp").groupBy("component").agg(least.alias("first"))
+    stays = stays.select(f"first.{FILE}", f"first.{ROW}", F.lit(1).alias("stays"))
+    rows = with_numbers(table, staged(stays, "simhash-stays"), "stays", 1, "simhash")
+    return rows.where("stays > 0").select(*(F.col("doc").getField(c).alias(c) for c in table.columns))

@@ -47,12 +47,12 @@ def _spans(kind: str, pattern: str, keep: str, group: str = "m") -> str:
     ) WHERE {keep}"""
 
 
-_TOKEN_KIND = """CASE
-      WHEN regexp_matches(x, '^[A-Z0-9]+$') AND regexp_matches(x, '[0-9]') AND regexp_matches(x, '[A-Z]') THEN 3
-      WHEN length(x) >= 20 AND regexp_matches(x, '[A-Z]') AND regexp_matches(x, '[a-z]')
-           AND regexp_matches(x, '[0-9]')
-        OR regexp_matches(x, '^[0-9a-f]{16,23}$') AND regexp_matches(x, '[0-9]') AND regexp_matches(x, '[a-f]')
-        THEN 4 END"""
+_TOKEN_KIND = f"""CASE
+      WHEN regexp_matches(x, '{credentials.IDENTIFIER}') AND regexp_matches(x, '[0-9]') AND regexp_matches(x, '[A-Z]')
+        THEN 3
+      WHEN regexp_matches(x, '[a-z]')
+           AND (regexp_matches(x, '[0-9]') OR regexp_matches(x, '[A-Z]') AND length(x) >= {credentials._LETTERS})
+        OR regexp_matches(x, '{credentials.UUID}') THEN 4 END"""
 
 _ROLES = "[1, 0, 1, 0, 1, 2]"
 
@@ -69,10 +69,11 @@ k AS (
   SELECT * FROM p WHERE kind < 3
   UNION ALL
   SELECT * FROM p WHERE kind >= 3
-    AND NOT EXISTS (SELECT 1 FROM p q WHERE q.rid = p.rid AND q.kind < 3
+    AND NOT EXISTS (SELECT 1 FROM p q WHERE q.rid = p.rid AND (q.kind < 3 OR q.kind = 5 AND p.kind < 5)
       AND abs(q."start" - p."start") <= {credentials.SCOPE} AND q."start" < p."end" AND p."start" < q."end")
     AND EXISTS (SELECT 1 FROM p q WHERE q.rid = p.rid
-      AND ({_ROLES})[q.kind + 1] <> ({_ROLES})[p.kind + 1] AND abs(q."start" - p."start") <= {credentials.SCOPE})
+      AND ({_ROLES})[q.kind + 1] <> ({_ROLES})[p.kind + 1] AND abs(q."start" - p."start") <= {credentials.SCOPE}
+      AND NOT (q."start" < p."end" AND p."start" < q."end"))
 ),
 w AS (
   SELECT rid, kind, "start", ({credentials.KINDS})[kind + 1] || ':' || "start" || ':' || "end" AS span FROM k
@@ -170,9 +171,45 @@ SELECT doc_id, size, source_size, target, CAST(coalesce(copies, 0) * size AS BIG
 FROM q LEFT JOIN n USING (rid)"""
 
 
-def _fence(metric: str, slack: float) -> str:
-    at = lambda q: f"list_sort(list({metric}))[CAST(ceil({q} * count(*)) AS BIGINT)]"
-    return f"{at(0.5)} + ({at(0.5)} - {at(0.25)}) * {quality.SPREAD} + {slack} AS max_{metric}"
+_MEASURES = [*quality.STEPS, quality.LENGTH]
+
+
+def _quantiles(measure: str) -> str:
+    at = ", ".join(f"list_sort(list({measure}))[CAST(ceil({q} * count(*)) AS BIGINT)]" for q in quality.QUANTILES)
+    return f"[{at}] AS {measure}"
+
+
+def _drawn(own: str, wider: str) -> str:
+    """Quantiles of one table drawn towards those of a wider one."""
+    return ", ".join(
+        f"list_transform(range(1, {len(quality.QUANTILES) + 1}), lambda i: ({own}.{m}[i] * {own}.n"
+        f" + {wider}.{m}[i] * {quality.PRIOR}) / ({own}.n + {quality.PRIOR})) AS {m}"
+        for m in _MEASURES
+    )
+
+
+def _bodies() -> str:
+    """One table per quantile: how far the body of each ratio reaches by then."""
+    made, last = [], "b1"
+    firsts = ", ".join(f"{m}[2] AS end_{m}" for m in quality.STEPS)
+    made.append(f"b1 AS (SELECT *, {firsts} FROM g)")
+    for i in range(3, len(quality.QUANTILES) + 1):
+        ends = ", ".join(
+            f"CASE WHEN {m}[{i}] <= end_{m} * {quality.REACH} + {step} THEN {m}[{i}] ELSE end_{m} END AS end_{m}"
+            for m, step in quality.STEPS.items()
+        )
+        made.append(f"b{i - 1} AS (SELECT * REPLACE ({ends}) FROM {last})")
+        last = f"b{i - 1}"
+    bounds = ", ".join(f"end_{m} * {quality.REACH} + {step} AS max_{m}" for m, step in quality.STEPS.items())
+    q = quality.LENGTH
+    made.append(
+        f"""f AS (
+  SELECT lang, source, {bounds}, {q}[1] - ({q}[2] - {q}[1]) * {quality.SPREAD} AS min_{q},
+         {q}[8] + ({q}[8] - {q}[2]) * {quality.SPREAD} AS max_{q}
+  FROM {last}
+)"""
+    )
+    return ",\n".join(made)
 
 
 OP7 = f"""
@@ -200,15 +237,24 @@ a AS (
          coalesce(shouts / nullif(n_words, 0), 0) AS shout_ratio,
          coalesce(n_dup_lines / nullif(n_lines, 0), 0) AS dup_line_ratio,
          coalesce(n_repeat_words / nullif(n_words, 0), 0) AS repeat_ratio,
+         coalesce(word_chars / nullif(n_words, 0), 0) AS mean_length,
          n_words < {quality.MIN_WORDS} OR n_repeat_words * 100 > n_words * {quality.MAX_REPEAT_PERCENT} AS base_failed
   FROM m
 ),
-f AS (
-  SELECT lang, source, {", ".join(_fence(k, v) for k, v in quality.SLACK.items())}
+qs AS (
+  SELECT lang, source, count(*) AS n, {", ".join(map(_quantiles, _MEASURES))}
   FROM a WHERE NOT base_failed GROUP BY lang, source
-)
+),
+ql AS (SELECT lang, count(*) AS n, {", ".join(map(_quantiles, _MEASURES))} FROM a WHERE NOT base_failed GROUP BY lang),
+qc AS (SELECT count(*) AS n, {", ".join(map(_quantiles, _MEASURES))} FROM a WHERE NOT base_failed),
+l AS (SELECT ql.lang, {_drawn("ql", "qc")} FROM ql CROSS JOIN qc),
+g AS (
+  SELECT qs.lang, qs.source, {_drawn("qs", "l")} FROM qs JOIN l ON qs.lang IS NOT DISTINCT FROM l.lang
+),
+{_bodies()}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       coalesce(NOT base_failed AND {" AND ".join(f"{k} <= max_{k}" for k in quality.SLACK)}, false) AS kept
+       coalesce(NOT base_failed AND {" AND ".join(f"{k} <= max_{k}" for k in _MEASURES)}
+                AND {quality.LENGTH} >= min_{quality.LENGTH}, false) AS kept
 FROM a LEFT JOIN f ON a.lang IS NOT DISTINCT FROM f.lang AND a.source IS NOT DISTINCT FROM f.source"""
 
 

@@ -19,8 +19,6 @@ from pyspark.sql.types import StructField, StructType
 from tidemark.session import scratch_dir
 
 SLICE_BYTES = 4 << 20
-# Rows of a few numbers that are broadcast at most: some 50 MB.
-BROADCAST_ROWS = 2_000_000
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -53,10 +51,10 @@ def staged(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-def small(frame: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A stored table marked to be broadcast if it has at most so many rows.
+def small(frame: DataFrame, rows: int) -> DataFrame:
+    """A stored table of a few numbers a row, marked to be broadcast if it has at most so many rows.
 
-    Beyond that a join with it shuffles both sides.
+    Beyond that a join with it shuffles both sides, so the other one must hold no texts.
     """
     return F.broadcast(frame) if frame.count() <= rows else frame
 
