@@ -91,6 +91,69 @@ def test_weak_parts_need_company(spark):
     }
 
 
+LONG = [
+    ("weak_secret", "3f2b8c1e-7d4a-4e9b-9c1d-5a6f7e8d9c0b"),
+    ("weak_secret", "k3v9x2m7q1z8w4n6b5j0t2y7"),
+    ("weak_secret", "QwErTyUiOpAsDfGhJkLzXcVb"),
+    ("weak_secret", "wJalrXUtnFEMIK7MDENGbPxRfiCY"),
+    ("weak_secret", "0123456789abcdef0123"),
+    ("weak_id", "ZX81QLTRM4P9KDW7HB3C"),
+    (None, "LONGWORDSINUPPERCASE"),
+    (None, "alongwordinlowercaseletters"),
+    (None, "12345678901234567890"),
+    (None, "MixedButShortWord"),
+]
+
+
+def test_any_mixed_token_is_a_candidate(spark):
+    """The link decides, not the shape: each is found beside other parts, and none alone."""
+    rows = [(i, f"{tricky.AKIA} with {t} at https://store.example.com/x") for i, (_, t) in enumerate(LONG)]
+    rows += [(100 + i, f"here is {t} alone") for i, (_, t) in enumerate(LONG)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.spans.split(",") for r in credentials.secret_report(docs).collect()}
+    for i, (kind, token) in enumerate(LONG):
+        at = len(tricky.AKIA) + 6
+        assert (f"{kind}:{at}:{at + len(token)}" in got[i]) == (kind is not None), token
+        assert got[100 + i] == [""], token
+
+
+def test_parts_of_an_address_are_no_company(spark):
+    rows = [(1, "see https://store.example.com/a/SomeLongPathName2024withMore/x now"), (2, "a db.example.com:5432 there")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert [r.spans for r in credentials.secret_report(docs).collect()] == ["", ""]
+
+
+def test_linking(docs, plain):
+    """Against every pair of parts of a text."""
+    import re
+
+    roles = {"assign": 1, "access": 0, "hex": 1, "weak_id": 0, "weak_secret": 1, "endpoint": 2}
+    want = []
+    for doc_id, text, *_ in plain:
+        text = text or ""
+        parts = [(int(s.split(":")[1]), s.split(":")[0], int(s.split(":")[2])) for s in brute.base_secrets(text)]
+        for m in re.finditer(credentials.TOKEN, text):
+            t = m[0]
+            up, low, digit = (bool(re.search(p, t)) for p in ("[A-Z]", "[a-z]", "[0-9]"))
+            if up and digit and not low and t.isalnum():
+                parts.append((m.start(), "weak_id", m.end()))
+            elif low and (digit or (up and len(t) >= 20)) or re.match(credentials.UUID, t):
+                parts.append((m.start(), "weak_secret", m.end()))
+        parts += [(m.start(), "endpoint", m.end()) for m in re.finditer(credentials.ENDPOINT, text)]
+        kept = []
+        for a, kind, b in parts:
+            near = [p for p in parts if abs(p[0] - a) <= credentials.SCOPE]
+            over = lambda p: p[0] < b and a < p[2]  # noqa: B023, E731
+            strong = ("assign", "access", "hex")
+            around = strong if kind == "endpoint" else (*strong, "endpoint")
+            inside = any(over(p) and p[1] in around for p in near)
+            if kind in strong or not inside and any(roles[p[1]] != roles[kind] and not over(p) for p in near):
+                kept.append((a, credentials.KINDS.index(kind), b))
+        want.append((doc_id, ",".join(f"{credentials.KINDS[k]}:{a}:{b}" for a, k, b in sorted(kept))))
+    got = credentials.secret_report(docs).select("doc_id", "spans").collect()
+    assert multiset(got) == multiset(want)
+
+
 def test_redaction(docs, plain):
     got = credentials.redact_secrets(docs)
     assert got.columns == docs.columns
@@ -202,33 +265,83 @@ def test_lm_beats_base_on_held_out(spark):
     assert got[0] > got[1]
 
 
-def test_lm_tasks_weigh_by_tokens(spark):
-    """Two tasks of as many tokens, one with a long document, count alike."""
-    import random
-
+def _lm_frame(spark, documents, tasks):
+    """Numbered documents as the model reads them, in so many tasks."""
     import numpy as np
 
-    draw = random.Random(3)
-    words = [f"w{i}" for i in range(40)]
-    some = lambda n: " ".join(draw.choices(words, k=n))
-    rows = [(some(3999), False)] + [(some(9), False) for _ in range(400)]
-    parts = [rows[:1], rows[1:]]
+    rows = [(i, held, len(d), bytearray(np.array(d, np.int32).tobytes())) for i, (d, held) in enumerate(documents)]
+    names = "doc_id bigint, held_out boolean, n_tokens bigint, numbers binary"
+    return spark.createDataFrame(rows, names).repartition(tasks)
 
-    def tasks(*lists):
-        dealt = spark.sparkContext.parallelize(lists, len(lists)).flatMap(lambda x: x)
-        return spark.createDataFrame(dealt, "text string, held_out boolean")
 
-    v = recurrent_lm.Vocabulary([(b"", 401)] + [(w.encode(), 100) for w in words], 8000)
+def _lm_setting(spark, words, tokens):
+    import numpy as np
+
+    v = recurrent_lm.Vocabulary([(b"", tokens // 20)] + [(f"w{i}".encode(), 100) for i in range(words)], tokens)
     layout = recurrent_lm._layout()
     counts = np.zeros(recurrent_lm.HEAD_CLASSES * recurrent_lm.PER_CLASS)
     counts[: v.head] = v.counts[: v.head]
-    flat = layout.flat(layout.start(v.class_counts(np.zeros(recurrent_lm.TAIL_CLASSES)), counts))
-    context = spark.sparkContext
-    vocabulary, start = context.broadcast(v), context.broadcast(flat)
-    a, b = (recurrent_lm.train(tasks(p), vocabulary, start) for p in parts)
-    both = recurrent_lm.train(tasks(*parts), vocabulary, start)
-    assert np.abs(a - b).max() > 0.01
-    assert np.allclose(both, (a + b) / 2, atol=1e-5)
+    start = layout.flat(layout.start(v.class_counts(np.zeros(recurrent_lm.TAIL_CLASSES)), counts))
+    return spark.sparkContext.broadcast(v), start
+
+
+def test_lm_does_not_depend_on_tasks(spark, monkeypatch):
+    """Shards follow from the documents; how many tasks read them changes nothing."""
+    import random
+
+    import numpy as np
+
+    monkeypatch.setattr(recurrent_lm, "SHARD_TOKENS", 1500)
+    draw = random.Random(3)
+    documents = [([draw.randrange(1, 41) for _ in range(draw.randrange(5, 60))] + [0], i % 7 == 2) for i in range(500)]
+    documents += [([draw.randrange(1, 41) for _ in range(4000)] + [0], False)]
+    tokens = sum(len(d) for d, held in documents if not held)
+    vocabulary, start = _lm_setting(spark, 40, tokens)
+    few, many = (recurrent_lm.train(_lm_frame(spark, documents, n), vocabulary, start, tokens) for n in (2, 23))
+    assert np.abs(few - start).max() > 0.01
+    assert np.array_equal(few, many)
+    # What is held out is not learned from.
+    other = [(d if not held else [1] * len(d), held) for d, held in documents]
+    assert np.array_equal(few, recurrent_lm.train(_lm_frame(spark, other, 5), vocabulary, start, tokens))
+    # Without training documents the weights stay.
+    none = [(d, True) for d, _ in documents[:5]]
+    assert np.array_equal(start, recurrent_lm.train(_lm_frame(spark, none, 2), vocabulary, start, 0))
+
+
+def test_lm_shards_weigh_by_tokens(spark):
+    import numpy as np
+
+    state = np.zeros(64, np.float32)
+    rows = [
+        (piece, shard, seen, bytearray(np.full(4, value, np.float32).tobytes()))
+        for piece in range(recurrent_lm._PIECES)
+        for shard, seen, value in ((0, 100, 1.0), (1, 300, 5.0))
+    ]
+    trained = spark.createDataFrame(rows, recurrent_lm._TRAINED).repartition(3)
+    assert np.allclose(recurrent_lm._averaged(trained, state), 4.0)
+    assert recurrent_lm._averaged(trained.limit(0), state) is state
+
+
+def test_lm_gain_is_steady(spark):
+    """The held-out gain over the base does not fall with the number of tasks."""
+    docs = spark.read.parquet(f"{TESTDATA}/sf0.01/documents.parquet")
+    gains = []
+    for tasks in (8, 64):
+        got = recurrent_lm.score(docs.repartition(tasks)).where("held_out")
+        gains.append(got.agg((F.sum("score") - F.sum("base_score")) / F.sum("n_tokens")).first()[0])
+    assert gains[0] > 0 and abs(gains[0] - gains[1]) <= abs(gains[0]) / 5
+
+
+def test_lm_frequent_words_follow_training_alone(spark, monkeypatch):
+    """A word that is frequent in training is broadcast, whatever the other documents hold."""
+    monkeypatch.setattr(recurrent_lm, "HOT_SHARE", 50)
+    held = [i for i in range(200) if brute.base_scores([(i, "")])[0][0]]
+    rows = [(i, "often " * 3 + f"w{i} x{i} y{i}") for i in range(200) if i not in held]
+    some = spark.createDataFrame(rows, "doc_id bigint, text string")
+    more = spark.createDataFrame([(i, "other words " * 500) for i in held], "doc_id bigint, text string")
+    alone = {r.doc_id: r.score for r in recurrent_lm.score(some).collect()}
+    both = {r.doc_id: r.score for r in recurrent_lm.score(some.union(more)).collect()}
+    assert all(abs(both[d] - s) < 1e-3 * abs(s) for d, s in alone.items())
 
 
 def test_lm_gradients():
@@ -610,7 +723,7 @@ def test_pipeline(spark):
 def test_stages_take_tricky_rows(spark, tmp_path):
     import corpus_pipeline
 
-    for docs in (tricky.frame(spark).drop("copies"), tricky.empty(spark).drop("copies")):
+    for docs in (tricky.frame(spark), tricky.empty(spark)):
         names = docs.columns
         for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
             made = stage(spark, docs, FOLDER)
@@ -619,20 +732,65 @@ def test_stages_take_tricky_rows(spark, tmp_path):
             assert made.count() <= docs.count()
 
 
-def test_large_tables_are_not_broadcast(spark, monkeypatch):
-    """Beyond the bound the same rows come out of shuffled joins."""
-    from tidemark.llm import tables
+def test_rows_come_in_waves(spark, monkeypatch):
+    """The same rows with one file a wave, and with fences and sources joined by shuffles."""
+    from tidemark.llm import rows
 
-    docs = tricky.frame(spark).drop("copies")
+    docs = tricky.frame(spark)
     results = []
-    for rows in (tables.BROADCAST_ROWS, 0):
-        monkeypatch.setattr(tables.small, "__defaults__", (rows,))
-        monkeypatch.setattr(quality, "BROADCAST_GROUPS", rows)
+    for bound in (1 << 25, 1):
+        monkeypatch.setattr(rows, "WAVE_ROWS", bound)
+        monkeypatch.setattr(quality, "BROADCAST_GROUPS", bound)
+        monkeypatch.setattr(mixing, "BROADCAST_SOURCES", bound)
         made = (quality.keep_good(docs), simhash.drop_near_duplicates(docs), mixing.mixed(docs))
         results.append([multiset(m.collect()) for m in made])
     assert results[0] == results[1]
 
 
+def test_no_stage_shuffles_texts(spark, tmp_path, monkeypatch):
+    """With broadcasts left to hints alone, no exchange of any stage holds a text."""
+    import corpus_pipeline
+
+    path = f"{tmp_path}/docs"
+    spark.read.parquet(f"{FOLDER}/documents.parquet").repartition(3).write.parquet(path)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plans, write = [], None
+    try:
+        from pyspark.sql.readwriter import DataFrameWriter
+
+        write = DataFrameWriter.parquet
+
+        def noted(self, *args, **options):
+            plans.append(self._df._jdf.queryExecution().executedPlan())
+            return write(self, *args, **options)
+
+        monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+        for name, stage in corpus_pipeline.STAGES:
+            stage(spark, spark.read.parquet(path), FOLDER).write.parquet(f"{tmp_path}/{name}")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    seen = 0
+
+    def walk(node):
+        nonlocal seen
+        if node.nodeName() == "AdaptiveSparkPlan":
+            return walk(node.initialPlan())
+        if node.nodeName() == "Exchange":
+            seen += 1
+            columns = [a.name() for a in _scala(node.output())]
+            assert not {"text", "doc"} & set(columns), columns
+        for child in _scala(node.children()):
+            walk(child)
+
+    def _scala(seq):
+        return [seq.apply(i) for i in range(seq.size())]
+
+    for plan in plans:
+        walk(plan)
+    assert seen > 20
+
+
 def test_slices_hold_all_rows(monkeypatch):
     import pyarrow as pa
 

@@ -38,7 +38,7 @@ QUANTILES = (0.02, 0.5, 0.75, 0.9, 0.95, 0.96, 0.97, 0.98, 0.99, 0.995)
 _LOW, _MEDIAN, _HIGH = 0, 1, 7
 REACH = 2.0
 SPREAD = 3.0
-PRIOR = 300
+PRIOR = 10
 ACCURACY = 10_000
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 # Fences are joined by a broadcast up to this many groups, and by a shuffle of

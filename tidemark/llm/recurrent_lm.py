@@ -68,11 +68,13 @@ class Vocabulary:
 
     def __init__(self, hot: list[tuple[bytes, int]], total: int):
         hot = [(_END, next((c for w, c in hot if w == _END), 0))] + [x for x in hot if x[0] != _END]
-        self.head = min(HEAD_CLASSES * PER_CLASS, len(hot))
         self.counts = np.array([c for _, c in hot], np.int64)
         self.hot = len(hot)
         self.numbers = {w: i for i, (w, _) in enumerate(hot)}
+        # The broadcast has more words than these, for joins alone.
         frequent = self.counts * HOT_SHARE >= max(1, total)
+        frequent[0] = True
+        self.head = min(HEAD_CLASSES * PER_CLASS, int(frequent.sum()))
         classes = np.zeros(self.hot + TAIL_CLASSES, np.int32)
         within = np.zeros(len(classes), np.int32)
         # Neighbours in rank share a class.
