@@ -7,6 +7,8 @@ a row, it replaces nothing.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,33 +51,42 @@ def cleanse_orders(messages: DataFrame, *, mode: str = "nested", columns=None) -
     return lines.select(*[_line_column(name) for name in columns])
 
 
-def cleanse_customers(messages: DataFrame, *, keep_null_rows: bool = False) -> DataFrame:
-    """Customer versions.  ``keep_null_rows`` keeps an all-NULL row per delete."""
-    return _cleanse_rows(messages, schemas.CUSTOMER, keep_null_rows)
+def cleanse_customers(
+    messages: DataFrame, *, keep_null_rows: bool = False, carry: Sequence[str] = ()
+) -> DataFrame:
+    """Customer versions.  ``keep_null_rows`` keeps an all-NULL row per delete.
+
+    ``carry`` names columns of the message, such as its time, that go along.
+    """
+    return _cleanse_rows(messages, schemas.CUSTOMER, keep_null_rows, carry)
 
 
-def cleanse_products(messages: DataFrame, *, keep_null_rows: bool = False) -> DataFrame:
-    """Product versions.  ``keep_null_rows`` keeps an all-NULL row per delete.
+def cleanse_products(
+    messages: DataFrame, *, keep_null_rows: bool = False, carry: Sequence[str] = ()
+) -> DataFrame:
+    """Product versions, with ``keep_null_rows`` and ``carry`` as for customers.
 
     ``product_id`` is char(20) at the source, where padding is not part of the
     value, so trailing spaces go.
     """
-    rows = _cleanse_rows(messages, schemas.PRODUCT, keep_null_rows)
+    rows = _cleanse_rows(messages, schemas.PRODUCT, keep_null_rows, carry)
     return rows.withColumn("product_id", F.rtrim("product_id"))
 
 
-def _cleanse_rows(messages: DataFrame, schema: T.StructType, keep_null_rows: bool) -> DataFrame:
+def _cleanse_rows(
+    messages: DataFrame, schema: T.StructType, keep_null_rows: bool, carry: Sequence[str]
+) -> DataFrame:
     row = json_text.parse_after(F.col("value"), schema)
     if keep_null_rows:
-        parsed = messages.select(row.alias("row"))
+        parsed = messages.select(*carry, row.alias("row"))
     else:
-        parsed = explode_kept(messages, row, "row")
-    return parsed.select("row.*")
+        parsed = explode_kept(messages, row, "row", carry)
+    return parsed.select(*carry, "row.*")
 
 
-def explode_kept(rows: DataFrame, value: Column, name: str) -> DataFrame:
-    """``value`` of the rows where it is not null, worked out once."""
-    return _explode(rows, F.array_compact(F.array(value)), name, [])
+def explode_kept(rows: DataFrame, value: Column, name: str, others: Sequence[str] = ()) -> DataFrame:
+    """``value`` of the rows where it is not null, worked out once, next to ``others``."""
+    return _explode(rows, F.array_compact(F.array(value)), name, others)
 
 
 def _explode(rows: DataFrame, items: Column, name: str, others) -> DataFrame:

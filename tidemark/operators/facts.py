@@ -205,6 +205,35 @@ def fact_customer_sales(
     )
 
 
+def unmatched_lines(
+    lines: DataFrame, products: DataFrame, *, at: str, delay: str, within: str, time: str = "timestamp"
+) -> DataFrame:
+    """Order lines that no version of their product came for (two streams, or two batch frames).
+
+    A line (at its ``at``) and a version (at its ``time``) belong together if they
+    are at most ``within`` apart.  On streams a line is given out once no version
+    within the bound can come any more, that is when both watermarks, ``delay``
+    behind the newest event of either, have passed it; then it leaves the state,
+    as matched ones do.  Lines without a product are unmatched, those without a
+    time are left out.
+    """
+    columns, theirs = lines.columns, "_product_time"
+    s = lines.where(F.col(at).isNotNull())
+    s = s.withColumn("_product", F.coalesce("product_id", F.lit("")))
+    p = products.where(F.col("product_id").isNotNull() & F.col(time).isNotNull()).select(
+        F.col(time).alias(theirs), F.coalesce("product_id", F.lit("")).alias("_sold")
+    )
+    if lines.isStreaming:
+        s, p = s.withWatermark(at, delay), p.withWatermark(theirs, delay)
+    else:
+        p = p.distinct()
+    near = F.expr(f"{theirs} >= {at} - INTERVAL {within} AND {theirs} <= {at} + INTERVAL {within}")
+    on = (F.col("_product") == F.col("_sold")) & near
+    if not lines.isStreaming:
+        return s.join(p, on, "left_anti").select(columns)
+    return s.join(p, on, "left_outer").where(F.col("_sold").isNull()).select(columns)
+
+
 def _versions(rows: DataFrame, key: str, name: str, salting: Salting) -> DataFrame:
     """The number of rows of each key, once for each of its salts."""
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias(name))

@@ -43,7 +43,7 @@ def assign_keys(
     staging = staging or scratch_dir(spark, "keys")
 
     if order_by is None:
-        placed = _write_with_places(rows, columns, f"{staging}/arrival")
+        placed = write_with_places(rows, columns, f"{staging}/arrival")
     else:
         # The arrival place parts rows that tie, copies included, so one hot
         # key spreads over as many ranges as its size asks for.
@@ -51,9 +51,9 @@ def assign_keys(
         if stable_input:
             arrived = with_places(rows, columns)
         else:
-            arrived = _write_with_places(rows, columns, f"{staging}/arrival")
+            arrived = write_with_places(rows, columns, f"{staging}/arrival")
         ordered = arrived.repartitionByRange(*order).sortWithinPartitions(*order)
-        placed = _write_with_places(ordered, columns, f"{staging}/ordered")
+        placed = write_with_places(ordered, columns, f"{staging}/ordered")
         files.delete(spark, f"{staging}/arrival")
 
     # One row per written partition: a count bounded by the number of tasks,
@@ -79,7 +79,8 @@ def with_places(rows: DataFrame, columns) -> DataFrame:
     )
 
 
-def _write_with_places(rows: DataFrame, columns, path: str) -> DataFrame:
+def write_with_places(rows: DataFrame, columns, path: str) -> DataFrame:
+    """``rows`` written with their places, and read from there."""
     placed = with_places(rows, columns)
     placed.write.parquet(path)
     return rows.sparkSession.read.schema(placed.schema).parquet(path)

@@ -17,9 +17,11 @@ from tidemark import schemas
 from tidemark.functions import json_text
 from tidemark.functions.changes import encode_changes, tombstones
 from tidemark.functions.decimals import decode_scaled_decimal
-from tidemark.operators import cleanse, facts, raw, validity
+from tidemark.operators import cleanse, facts, raw, reconcile, rollup, validity
 from tidemark.operators.expectations import QUARANTINE, Rule
 from tidemark.operators.keys import assign_keys
+from tidemark.operators.running import running, top_of_groups
+from tidemark.operators.sessions import Sessions
 from tidemark.plans import replay
 from tidemark.plans.retail import current_datasets, incremental_datasets, retail_datasets
 from tidemark.plans.retail_sql import retail_sql_datasets
@@ -27,7 +29,7 @@ from tidemark.session import scratch_dir
 from tidemark.sources import bus, flat_files
 from tidemark.sources.tables import table_stream
 from tidemark.streaming import files
-from tidemark.streaming.lake import Dataset, Lake
+from tidemark.streaming.lake import MERGED, Dataset, Lake
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -351,25 +353,32 @@ _HISTORY = """
 """
 
 
-@_register(_HISTORY)
+# The same with all columns.
+_HISTORY_ROWS = f"""
+    SELECT {_CUSTOMER}
+    UNION ALL
+    SELECT * REPLACE (customer_name || ' & Co' AS customer_name)
+    FROM (SELECT {_CUSTOMER} WHERE c_mktsegment = 'BUILDING')
+"""
+_NULL_ROWS = f"""
+    UNION ALL
+    SELECT {", ".join(["NULL"] * len(schemas.CUSTOMER))}
+    FROM customer, (VALUES ('delete'), ('tombstone')) WHERE c_acctbal < 0
+"""
+
+
+@_register(_HISTORY_ROWS)
 def customer_versions(spark: SparkSession, folder: str) -> DataFrame:
     """Updates add a row; deletes and tombstones add none."""
     messages = raw.as_text(_customer_history(spark, folder))
-    return cleanse.cleanse_customers(messages).select("customer_id", "customer_name")
+    return _decoded_customers(cleanse.cleanse_customers(messages))
 
 
-@_register(
-    _HISTORY
-    + """
-    UNION ALL
-    SELECT NULL, NULL FROM customer, (VALUES ('delete'), ('tombstone')) WHERE c_acctbal < 0
-    """
-)
+@_register(_HISTORY_ROWS + _NULL_ROWS)
 def customer_versions_with_nulls(spark: SparkSession, folder: str) -> DataFrame:
     """Deletes and tombstones as all-NULL rows."""
     messages = raw.as_text(_customer_history(spark, folder))
-    rows = cleanse.cleanse_customers(messages, keep_null_rows=True)
-    return rows.select("customer_id", "customer_name")
+    return _decoded_customers(cleanse.cleanse_customers(messages, keep_null_rows=True))
 
 
 # -- surrogate keys --------------------------------------------------------
@@ -379,14 +388,15 @@ def customer_versions_with_nulls(spark: SparkSession, folder: str) -> DataFrame:
     """
     SELECT row_number() OVER (ORDER BY CAST(p_partkey AS VARCHAR)) AS product_key,
            CAST(p_partkey AS VARCHAR) AS product_id, p_type AS product_category,
-           p_name AS product_name, CAST(p_partkey + 2.0e12 AS DOUBLE) AS ean13
+           p_name AS product_name, CAST(p_retailprice AS DECIMAL(18,2)) AS sales_price,
+           CAST(p_partkey + 2.0e12 AS DOUBLE) AS ean13,
+           lpad(CAST(p_partkey % 100000 AS VARCHAR), 5, '0') AS ean5, 'pcs' AS product_unit
     FROM part
     """
 )
 def dim_products(spark: SparkSession, folder: str) -> DataFrame:
-    return _dim_products(spark, folder).select(
-        "product_key", "product_id", "product_category", "product_name", "ean13"
-    )
+    price = decode_scaled_decimal(F.col("sales_price"), 2).cast("decimal(18,2)")
+    return _dim_products(spark, folder).withColumn("sales_price", price)
 
 
 @_register("SELECT row_number() OVER (ORDER BY c_custkey) AS customer_key," + _CUSTOMER)
@@ -793,24 +803,18 @@ def _history_lake(spark: SparkSession, folder: str, keep_null_rows: bool) -> Dat
     run.send("customers", _customer_history(spark, folder))
     lake = run.retail(keep_null_rows=keep_null_rows)
     lake.update()
-    rows = lake.read("customers_cleansed").select("customer_id", "customer_name")
+    rows = _decoded_customers(lake.read("customers_cleansed"))
     run.close()
     return rows
 
 
-@_register(_HISTORY)
+@_register(_HISTORY_ROWS)
 def customer_history_lake(spark: SparkSession, folder: str) -> DataFrame:
     """Creates, updates, deletes and tombstones through the lake."""
     return _history_lake(spark, folder, keep_null_rows=False)
 
 
-@_register(
-    _HISTORY
-    + """
-    UNION ALL
-    SELECT NULL, NULL FROM customer, (VALUES ('delete'), ('tombstone')) WHERE c_acctbal < 0
-    """
-)
+@_register(_HISTORY_ROWS + _NULL_ROWS)
 def customer_history_lake_with_nulls(spark: SparkSession, folder: str) -> DataFrame:
     return _history_lake(spark, folder, keep_null_rows=True)
 
@@ -907,9 +911,9 @@ def dataset_catalog(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @_register(
-    """
-    SELECT c_custkey AS customer_id, c_name AS customer_name FROM customer
-    UNION ALL SELECT 0, 'John smith'
+    f"""
+    SELECT {_CUSTOMER}
+    UNION ALL SELECT 0, NULL, NULL, 'John smith', 'MI', {", ".join(["NULL"] * (len(schemas.CUSTOMER) - 5))}
     """
 )
 def literal_row_lake(spark: SparkSession, folder: str) -> DataFrame:
@@ -923,7 +927,7 @@ def literal_row_lake(spark: SparkSession, folder: str) -> DataFrame:
         run.send("customers", encode_changes(row, ["customer_id"], topic=bus.topic_name("customers")))
         for name in ("customers_raw", "customers_cleansed"):
             queries[name].processAllAvailable()
-        rows = lake.read("customers_cleansed").select("customer_id", "customer_name")
+        rows = _decoded_customers(lake.read("customers_cleansed"))
     finally:
         for query in queries.values():
             query.stop()
@@ -1251,3 +1255,261 @@ def expectations_counts(spark: SparkSession, folder: str) -> DataFrame:
     rows = lake.rule_counts("sales_orders_cleansed")
     run.close()
     return rows
+
+
+_SESSION_GAP = 60 * 86_400
+
+
+@_register(
+    f"""
+    WITH {_LINES}, e AS (
+      SELECT customer_id, CAST(epoch(CAST(order_datetime AS TIMESTAMP)) AS BIGINT) AS at, quantity,
+             CAST(unit_price AS BIGINT) * quantity AS amount FROM lines
+    ),
+    n AS (
+      SELECT *, CASE WHEN at - lag(at) OVER (PARTITION BY customer_id ORDER BY at) <= {_SESSION_GAP} THEN 0 ELSE 1 END AS opens
+      FROM e
+    ),
+    r AS (SELECT *, sum(opens) OVER (PARTITION BY customer_id ORDER BY at ROWS UNBOUNDED PRECEDING) AS run FROM n)
+    SELECT customer_id, min(at) AS started, max(at) AS ended, count(*) AS events,
+           CAST(sum(quantity) AS BIGINT) AS quantity, CAST(sum(amount) AS BIGINT) AS amount
+    FROM r GROUP BY customer_id, run
+    """
+)
+def order_sessions_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of a customer's orders without a gap of over 60 days, kept as orders come in any order."""
+    run = _Replay(spark, folder)
+    orders = replay.order_messages(spark, folder)
+    third = F.pmod(F.crc32("key"), F.lit(3))
+
+    def events(spark: SparkSession, messages: DataFrame) -> DataFrame:
+        lines = cleanse.cleanse_orders(messages, columns=_SALES_COLUMNS)
+        return lines.select(
+            "customer_id",
+            F.unix_timestamp("order_datetime").alias("at"),
+            F.col("quantity").cast("bigint").alias("quantity"),
+            (F.col("unit_price").cast("bigint") * F.col("quantity")).alias("amount"),
+        )
+
+    sums = {"quantity": "quantity", "amount": "amount"}
+    sessions = Dataset(
+        "order_sessions",
+        events,
+        ["sales_orders_raw"],
+        kind=MERGED,
+        merge=Sessions("customer_id", sums, gap=_SESSION_GAP, buckets=16),
+        schema=schemas.struct(
+            customer_id=schemas.LONG, **{n: schemas.LONG for n in ("started", "ended", "events", *sums)}
+        ),
+    )
+    for n in range(3):
+        run.send("sales_orders", orders.where(third == n))
+        lake = run.retail(datasets=lambda sources: retail_datasets(sources)[:1], more=[sessions])
+        lake.update()
+    rows = lake.read("order_sessions")
+    run.close()
+    return rows
+
+
+@_register(
+    f"""
+    WITH {_LINES}
+    SELECT order_number, product_id, unit_price, quantity
+    FROM lines JOIN part ON CAST(p_partkey AS VARCHAR) = product_id WHERE p_size % 10 = 0
+    """
+)
+def orphan_lines_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines whose product does not come, given out once the time for it has passed.
+
+    A tenth of the products never come, half of the others after their lines.
+    The last messages are far in the future and move the watermarks on.
+    """
+    run = _Replay(spark, folder, ["key", "value", "timestamp"])
+    topic = bus.topic_name("products")
+    at = lambda messages, text: messages.withColumn("timestamp", F.lit(text).cast("timestamp"))
+    parts = replay.table(spark, folder, "part").where("p_size % 10 <> 0")
+    parts = parts.select(F.col("p_partkey").cast("string").alias("product_id"), (F.col("p_partkey") % 2 == 0).alias("soon"))
+    products = replay.product_rows(spark, folder).join(parts, "product_id")
+    sent = lambda rows: at(encode_changes(rows.drop("soon"), ["product_id"], topic=topic), "1995-01-01 00:00:00")
+    datasets = [
+        Dataset("orders_stream", run.source("sales_orders"), temporary=True),
+        Dataset("products_stream", run.source("products"), temporary=True),
+        Dataset(
+            "orphan_lines",
+            lambda spark, orders, changes: facts.unmatched_lines(
+                cleanse.cleanse_orders(raw.as_text(orders), columns=_SALES_COLUMNS).withColumn(
+                    "ordered_at", F.col("order_datetime").try_cast("timestamp")
+                ),
+                cleanse.cleanse_products(raw.as_text(changes), carry=["timestamp"]),
+                at="ordered_at",
+                delay="1 day",
+                within="5000 days",
+            ),
+            ["orders_stream", "products_stream"],
+        ),
+    ]
+
+    def update() -> Lake:
+        lake = Lake(spark, f"{run.root}/lake", run.database, datasets)
+        lake.update()
+        return lake
+
+    run.send("sales_orders", at(replay.order_messages(spark, folder), "1995-01-01 00:00:00"))
+    run.send("products", sent(products.where("soon")))
+    update()
+    run.send("products", sent(products.where("NOT soon")))
+    update()
+    future = "2100-01-01 00:00:00"
+    order = spark.sql(
+        "SELECT -1L AS order_number, -1L AS customer_id, cast(unix_timestamp(timestamp '2100-01-01 00:00:00') AS string)"
+        " AS order_datetime, array(named_struct('id', 'none', 'price', 1, 'qty', 1)) AS ordered_products"
+    )
+    run.send(
+        "sales_orders",
+        at(encode_changes(order, ["order_number"], json_columns=["ordered_products"]), future),
+    )
+    product = spark.sql("SELECT 'never' AS product_id")
+    run.send("products", at(encode_changes(product, ["product_id"], topic=topic), future))
+    rows = update().read("orphan_lines").select("order_number", "product_id", "unit_price", "quantity")
+    run.close()
+    return rows
+
+
+# -- analysis --------------------------------------------------------------
+
+
+@_register(
+    f"""
+    WITH {_LINES}, l AS (
+      SELECT customer_id, order_datetime, order_number, product_id, quantity,
+             CAST(unit_price AS BIGINT) * quantity AS amount FROM lines
+    )
+    SELECT *, row_number() OVER w AS line_rank, CAST(sum(amount) OVER (w ROWS UNBOUNDED PRECEDING) AS BIGINT) AS spent,
+           lag(amount) OVER w AS last_amount
+    FROM l WINDOW w AS (PARTITION BY customer_id ORDER BY order_datetime, order_number, product_id, quantity, amount)
+    """
+)
+def customer_running_sales(spark: SparkSession, folder: str) -> DataFrame:
+    """Each line's place among its customer's, what they had spent by then, and on the line before."""
+    lines = _sales_lines(spark, folder).select(
+        "customer_id",
+        "order_datetime",
+        "order_number",
+        "product_id",
+        "quantity",
+        (F.col("unit_price").cast("bigint") * F.col("quantity")).alias("amount"),
+    )
+    return running(
+        lines,
+        "customer_id",
+        ["order_datetime", "order_number", "product_id", "quantity", "amount"],
+        rank="line_rank",
+        totals={"spent": "amount"},
+        previous={"last_amount": "amount"},
+    )
+
+
+@_register(
+    f"""
+    WITH {_LINES}, s AS (
+      SELECT region, product_id, CAST(sum(CAST(unit_price AS BIGINT) * quantity) AS BIGINT) AS amount
+      FROM lines JOIN (SELECT {_CUSTOMER}) USING (customer_id) GROUP BY region, product_id
+    )
+    SELECT * FROM (
+      SELECT *, CAST(row_number() OVER (PARTITION BY region ORDER BY amount DESC, product_id) AS INTEGER) AS rank FROM s
+    ) WHERE rank <= 10
+    """
+)
+def top_products_per_region(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten products that sold for most in each region; of equal ones the least product_id."""
+    regions = _customers(spark, folder).select("customer_id", "region")
+    sold = facts.fact_customer_sales(
+        _sales_lines(spark, folder), _products(spark, folder), _customers(spark, folder)
+    )
+    amounts = sold.join(regions, "customer_id").groupBy("region", "product_id").agg(
+        F.sum("sale_amount").alias("amount")
+    )
+    return top_of_groups(amounts, ["region"], [F.desc("amount"), "product_id"], 10)
+
+
+@_register(
+    f"""
+    WITH {_LINES}, l AS (
+      SELECT region, p_type AS category, order_date AS day, customer_id, quantity,
+             CAST(unit_price AS BIGINT) * quantity AS amount
+      FROM lines JOIN (SELECT {_CUSTOMER}) USING (customer_id) JOIN part ON CAST(p_partkey AS VARCHAR) = product_id
+    )
+    SELECT region, category, day, CAST(3 - bit_count(GROUPING_ID(region, category, day)) AS INTEGER) AS level,
+           count(*) AS row_count, CAST(sum(quantity) AS BIGINT) AS quantity, CAST(sum(amount) AS BIGINT) AS amount,
+           count(DISTINCT customer_id) AS customers, true AS estimate_is_close
+    FROM l GROUP BY ROLLUP (region, category, day)
+    """
+)
+def sales_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    """Sales by region, category and day and all levels above, out of stored cells.
+
+    The number of customers is exact; whether the merged sketches' estimate lies
+    within six standard errors of it (or one customer) stands beside it.
+    """
+    dimensions = ["region", "category", "day"]
+    regions = _customers(spark, folder).select("customer_id", "region")
+    categories = _products(spark, folder).select("product_id", F.col("product_category").alias("category"))
+    lines = _sales_lines(spark, folder).select(
+        "customer_id",
+        "product_id",
+        F.to_date("order_datetime").alias("day"),
+        "quantity",
+        (F.col("unit_price").cast("bigint") * F.col("quantity")).alias("amount"),
+    )
+    path = scratch_dir(spark, "sales")
+    lines.join(regions, "customer_id").join(categories, "product_id").write.parquet(path)
+    rows = spark.read.parquet(path)
+    cells = rollup.base_cells(rows, dimensions, {"quantity": "quantity", "amount": "amount"}, "customer_id")
+    path = scratch_dir(spark, "cells")
+    cells.write.parquet(path)
+    made = rollup.rolled_up(spark.read.parquet(path), dimensions, ["quantity", "amount"])
+    made = rollup.with_exact(
+        made, rollup.exact_distinct(rows, dimensions, "customer_id", "customers"), dimensions
+    )
+    most = F.greatest(F.lit(1.0), F.col("customers") * 6 * 1.04 / 2 ** (rollup.SKETCH_SIZE / 2))
+    close = F.abs(F.col("estimate") - F.col("customers")) <= most
+    return made.withColumn("estimate_is_close", close).drop("estimate")
+
+
+@_register(
+    f"""
+    WITH {_LINES}, l AS (
+      SELECT order_number, product_id, quantity, order_number % 97 AS m FROM lines
+    ),
+    d AS (
+      SELECT order_number, product_id, quantity, -1 AS n FROM l WHERE m = 1
+      UNION ALL SELECT order_number, product_id, quantity, 1 FROM l WHERE m = 2
+      UNION ALL SELECT order_number, product_id, quantity, -1 FROM l WHERE m = 3
+      UNION ALL SELECT order_number, product_id, quantity + 100, 1 FROM l WHERE m = 3
+    )
+    SELECT order_number, product_id, quantity, CAST(sum(n) AS BIGINT) AS surplus
+    FROM d GROUP BY order_number, product_id, quantity
+    """
+)
+def reconcile_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines that a lake lost, holds twice or changed, found against the source."""
+    run = _Replay(spark, folder)
+    orders = replay.order_rows(spark, folder)
+    m = F.col("order_number") % 97
+    product = F.transform("ordered_products", lambda x: x.withField("qty", x["qty"] + 100))
+    changed = orders.where(m == 3).withColumn("ordered_products", product)
+    sent = orders.where((m != 1) & (m != 3)).unionByName(orders.where(m == 2)).unionByName(changed)
+    run.send(
+        "sales_orders",
+        encode_changes(
+            sent, ["order_number"], json_columns=schemas.ORDER_JSON_COLUMNS, topic=bus.topic_name("sales_orders")
+        ),
+    )
+    lake = run.retail(datasets=lambda sources: [d for d in retail_datasets(sources) if d.name.startswith("sales_orders")])
+    lake.update()
+    columns = ["order_number", "product_id", "quantity"]
+    rows = reconcile.differences(
+        lake.read("sales_orders_cleansed"), _sales_lines(spark, folder).select(columns), columns, ["order_number"], 64
+    )
+    run.close()
+    return rows
