@@ -1263,15 +1263,15 @@ _SESSION_GAP = 60 * 86_400
 @_register(
     f"""
     WITH {_LINES}, e AS (
-      SELECT customer_id, CAST(epoch(CAST(order_datetime AS TIMESTAMP)) AS BIGINT) AS at, quantity,
+      SELECT customer_id, CAST(epoch(CAST(order_datetime AS TIMESTAMP)) AS BIGINT) AS t, quantity,
              CAST(unit_price AS BIGINT) * quantity AS amount FROM lines
     ),
     n AS (
-      SELECT *, CASE WHEN at - lag(at) OVER (PARTITION BY customer_id ORDER BY at) <= {_SESSION_GAP} THEN 0 ELSE 1 END AS opens
+      SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY customer_id ORDER BY t) <= {_SESSION_GAP} THEN 0 ELSE 1 END AS opens
       FROM e
     ),
-    r AS (SELECT *, sum(opens) OVER (PARTITION BY customer_id ORDER BY at ROWS UNBOUNDED PRECEDING) AS run FROM n)
-    SELECT customer_id, min(at) AS started, max(at) AS ended, count(*) AS events,
+    r AS (SELECT *, sum(opens) OVER (PARTITION BY customer_id ORDER BY t ROWS UNBOUNDED PRECEDING) AS run FROM n)
+    SELECT customer_id, min(t) AS started, max(t) AS ended, count(*) AS events,
            CAST(sum(quantity) AS BIGINT) AS quantity, CAST(sum(amount) AS BIGINT) AS amount
     FROM r GROUP BY customer_id, run
     """
