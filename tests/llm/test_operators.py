@@ -271,7 +271,7 @@ def _lm_frame(spark, documents, tasks):
 
     rows = [(i, held, len(d), bytearray(np.array(d, np.int32).tobytes())) for i, (d, held) in enumerate(documents)]
     names = "doc_id bigint, held_out boolean, n_tokens bigint, numbers binary"
-    return spark.createDataFrame(rows, names).repartition(tasks)
+    return spark.createDataFrame(rows, names).withColumn("drawn", F.xxhash64("doc_id")).repartition(tasks)
 
 
 def _lm_setting(spark, words, tokens):
@@ -292,20 +292,21 @@ def test_lm_does_not_depend_on_tasks(spark, monkeypatch):
     import numpy as np
 
     monkeypatch.setattr(recurrent_lm, "SHARD_TOKENS", 1500)
+    monkeypatch.setattr(recurrent_lm, "LONG_TOKENS", 50)
     draw = random.Random(3)
     documents = [([draw.randrange(1, 41) for _ in range(draw.randrange(5, 60))] + [0], i % 7 == 2) for i in range(500)]
     documents += [([draw.randrange(1, 41) for _ in range(4000)] + [0], False)]
     tokens = sum(len(d) for d, held in documents if not held)
     vocabulary, start = _lm_setting(spark, 40, tokens)
-    few, many = (recurrent_lm.train(_lm_frame(spark, documents, n), vocabulary, start, tokens) for n in (2, 23))
+    few, many = (recurrent_lm.train(_lm_frame(spark, documents, n), vocabulary, start) for n in (2, 23))
     assert np.abs(few - start).max() > 0.01
     assert np.array_equal(few, many)
     # What is held out is not learned from.
     other = [(d if not held else [1] * len(d), held) for d, held in documents]
-    assert np.array_equal(few, recurrent_lm.train(_lm_frame(spark, other, 5), vocabulary, start, tokens))
+    assert np.array_equal(few, recurrent_lm.train(_lm_frame(spark, other, 5), vocabulary, start))
     # Without training documents the weights stay.
     none = [(d, True) for d, _ in documents[:5]]
-    assert np.array_equal(start, recurrent_lm.train(_lm_frame(spark, none, 2), vocabulary, start, 0))
+    assert np.array_equal(start, recurrent_lm.train(_lm_frame(spark, none, 2), vocabulary, start))
 
 
 def test_lm_shards_weigh_by_tokens(spark):
@@ -470,6 +471,29 @@ def test_toxicity(spark):
     assert list(by_grade[g] for g in sorted(by_grade)) == sorted(by_grade.values())
 
 
+def test_toxicity_scores(spark, docs, plain):
+    """Against the sum of a plain text's features, for a trained model and one by hand."""
+    folder = f"{TESTDATA}/sf0.01"
+    trained = toxicity.train(*(spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels")))
+    words = {"the": 0.7, "w3": -0.4, "w1": 1.1, "été": 0.5, "line": 2.0}
+    stems = {"^chang": 0.9, "^naïve": -1.5, "^liste": 0.3}
+    by_hand = toxicity.OrdinalModel({k.encode(): v for k, v in {**words, **stems}.items()}, [0.2, 1.0, 2.5])
+    assert trained.weights
+    for model in (trained, by_hand):
+        want = {}
+        for _, text, *_ in plain:
+            held = set(brute.word_words(text))
+            held |= {"^" + w[:n] for w in held for n in range(5, 9) if len(w) >= n}
+            s = sum(model.weights.get(f.encode(), 0.0) for f in sorted(held))
+            above = [1 / (1 + math.exp(t - s)) for t in model.thresholds]
+            chances = [a - b for a, b in zip([1.0, *above], [*above, 0.0], strict=True)]
+            want[text] = (sum(above), chances.index(max(chances)), above[0] >= 0.5)
+        keyed = docs.withColumn("doc_id", F.col("text"))
+        for r in toxicity.severities(keyed, model).collect():
+            severity, grade, toxic = want[r.doc_id]
+            assert r.severity == pytest.approx(severity, abs=1e-9) and (r.grade, r.toxic) == (grade, toxic)
+
+
 def test_toxicity_on_tricky_rows(docs, spark):
     few = spark.createDataFrame([(1, 1), (2, 0), (None, 1), (3, None), (1, 0)], "doc_id bigint, toxic int")
     none = few.where("toxic = 5")

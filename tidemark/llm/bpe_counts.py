@@ -10,6 +10,8 @@ merging, which is the work, is done here.  A piece between ASCII white space is
 counted once per task as long as it stays in a bounded cache.
 
 Null and empty texts have no tokens.  Every row gives a row, repeats included.
+A very long text is counted whole, in slices of its pre-tokens.  Columns of the
+input stay in ``doc``, so no name can clash.
 """
 
 from __future__ import annotations

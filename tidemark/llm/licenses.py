@@ -13,7 +13,11 @@ Only windows that begin with a shingle of some template are hashed: others
 either share none, and then no band can be equal, or hold no more than the
 window that begins at the next such shingle.
 
-Null and empty texts match nothing.  Every row gives a row.
+Null and empty texts match nothing.  Every row gives a row, repeats included.
+Very long texts are looked through whole.  Of matches of one license of which
+one lies inside the other the longer stays; of two with the same span the one
+whose template's name sorts first.  Matches of different licenses all stay, also
+where they begin together.
 """
 
 from __future__ import annotations

@@ -9,8 +9,8 @@
 3. Texts are turned into token numbers once and written; training and scoring
    read the numbers.
 4. Training goes over the training documents once, in ``ROUNDS`` disjoint parts.
-   A part is dealt by hash to shards of about ``SHARD_TOKENS`` tokens; every shard
-   trains the network from the same weights, and these are averaged, weighed by
+   A part is dealt by hash to shards of about ``SHARD_TOKENS`` tokens, long
+   documents to shards of their own; every shard trains the network from the same weights, and these are averaged, weighed by
    tokens, before the next round.  Shards follow from the documents, not from
    files or tasks, so neither does the model.
 5. Every task scores its documents, whole, state carried throughout.  Words
@@ -45,7 +45,10 @@ from tidemark.llm.tables import column, map_arrow, slices, staged
 HOT_SHARE = 1_000_000
 HEAD_CLASSES, PER_CLASS, TAIL_CLASSES = 16, 64, 16
 CHUNK_TOKENS = 5_000_000
-ROUNDS, SHARD_TOKENS = 4, 1_000_000
+ROUNDS, SHARD_TOKENS = 4, 4_000_000
+# Longer documents are trained on and scored side by side, as next to short ones
+# most lanes would run empty.
+LONG_TOKENS = 4096
 _PIECES = 16
 COUNTED_WORDS = 300_000
 CACHED_WORDS = 150_000
@@ -166,13 +169,13 @@ def _class_mass(rare: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 _NUMBERED = (
-    "place bigint, doc_id {id}, held_out boolean, n_tokens bigint, numbers binary, "
-    "words array<struct<word:binary,n:bigint>>"
+    "place bigint, doc_id {id}, held_out boolean, drawn bigint, n_tokens bigint, numbers binary, "
+    "words array<binary>"
 )
 
 
 def _numbered(docs: DataFrame, vocabulary) -> DataFrame:
-    """A row per document: its tokens as 32-bit numbers, and its words outside the broadcast, counted."""
+    """A row per document: its tokens as 32-bit numbers, and its words outside the broadcast, repeats included."""
     schema = StructType.fromDDL(_NUMBERED.format(id="bigint"))
     schema["doc_id"].dataType = docs.schema["doc_id"].dataType
     arrow = to_arrow_schema(schema)
@@ -189,15 +192,16 @@ def _numbered(docs: DataFrame, vocabulary) -> DataFrame:
                     found = np.fromiter(map(lookup.__getitem__, document), np.int32, len(document))
                     numbers.append(found.tobytes())
                     sizes.append(len(document))
-                    words.append(Counter([document[i] for i in np.flatnonzero(found >= hot).tolist()]))
+                    words.append([document[i] for i in np.flatnonzero(found >= hot).tolist()])
                 n = part.num_rows
                 made = [
                     pa.array(np.arange(place, place + n)),
                     part.column(2),
                     part.column(1),
+                    part.column(3),
                     pa.array(sizes, pa.int64()),
                     pa.array(numbers, pa.binary()),
-                    _lists(words, arrow.field("words").type),
+                    pa.array(words, arrow.field("words").type),
                 ]
                 place += n
                 yield pa.RecordBatch.from_arrays(made, schema=arrow)
@@ -209,23 +213,27 @@ def _arrays(column_of_numbers) -> list[np.ndarray]:
     return [np.frombuffer(x, np.int32) for x in column_of_numbers.to_pylist()]
 
 
-def train(numbered: DataFrame, vocabulary, start: np.ndarray, tokens: int) -> np.ndarray:
+def train(numbered: DataFrame, vocabulary, start: np.ndarray) -> np.ndarray:
     """The network's weights after ``ROUNDS`` rounds over disjoint parts of the training documents."""
     spark = numbered.sparkSession
-    shards = max(1, -(-tokens // (ROUNDS * SHARD_TOKENS)))
-    # Neither a hot id nor copies of a text share a hash.
-    drawn = F.xxhash64(F.lit("lm"), "doc_id", "numbers")
-    dealt = numbered.where("not held_out").select(
+    rows = numbered.where("not held_out")
+    is_long = F.col("n_tokens") > LONG_TOKENS
+    tokens = {r[0]: r[1] for r in rows.groupBy(is_long).agg(F.sum("n_tokens")).collect()}
+    short, long = (-(-tokens.get(k, 0) // (ROUNDS * SHARD_TOKENS)) for k in (False, True))
+    drawn = F.col("drawn")
+    among = lambda n: F.pmod(F.floor(drawn / ROUNDS).cast("bigint"), F.lit(max(1, n)))
+    dealt = rows.select(
         F.pmod(drawn, F.lit(ROUNDS)).alias("round"),
-        F.pmod(F.floor(drawn / ROUNDS).cast("bigint"), F.lit(shards)).cast("int").alias("shard"),
-        drawn.alias("drawn"),
+        F.when(is_long, among(long) + short).otherwise(among(short)).cast("int").alias("shard"),
+        "drawn",
         "numbers",
     )
     # Weights, and what the network has seen of each weight's gradient.
     state = np.concatenate((start, np.full(len(start), Network.UNSEEN, np.float32)))
-    for number in range(ROUNDS):
+    for number in range(ROUNDS if tokens else 0):
         part = dealt.where(F.col("round") == number).drop("round")
-        part = part.repartitionByRange(shards, "shard").sortWithinPartitions("shard", "drawn", "numbers")
+        part = part.repartitionByRange(short + long, "shard")
+        part = part.sortWithinPartitions("shard", "drawn", "numbers")
         shared = spark.sparkContext.broadcast(state)
         state = _averaged(_trained(part, vocabulary, shared), state)
     return state[: len(start)]
@@ -317,7 +325,11 @@ def score(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Dat
     """Base and model log10-probabilities of every text."""
     spark = docs.sparkSession
     held = F.coalesce(F.crc32(column(doc_id).cast("string").cast("binary")) % 7 == 2, F.lit(False))
-    docs = docs.select(column(text).alias("text"), held.alias("held_out"), column(doc_id).alias("doc_id"))
+    # Neither a hot id nor copies of a text share a hash, and no other document has a say in it.
+    drawn = F.xxhash64(F.lit("lm"), column(doc_id), column(text))
+    docs = docs.select(
+        column(text).alias("text"), held.alias("held_out"), column(doc_id).alias("doc_id"), drawn.alias("drawn")
+    )
     counts = staged(word_counts(docs), "lm-counts")
     total, kinds, tokens = counts.agg(
         F.coalesce(F.sum("n_train"), F.lit(0)),
@@ -343,7 +355,7 @@ def score(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Dat
     vocabulary = spark.sparkContext.broadcast(v)
     numbered = staged(_numbered(docs, vocabulary), "lm-numbers")
     start = layout.flat(layout.start(v.class_counts(rare_tokens), words))
-    weights = spark.sparkContext.broadcast(train(numbered, vocabulary, start, total))
+    weights = spark.sparkContext.broadcast(train(numbered, vocabulary, start))
 
     # What a class divides by, and what a word outside the head adds.
     mass = np.bincount(
@@ -354,7 +366,11 @@ def score(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Dat
     mass[HEAD_CLASSES + TAIL_CLASSES :] += rare_mass
     log_mass = np.log10(mass + 1)
     log_mass[:HEAD_CLASSES] = 0
-    scored = staged(_scored(numbered, vocabulary, weights, log_mass), "lm-scores")
+    is_long = F.col("n_tokens") > LONG_TOKENS
+    tokens_of_long = numbered.where(is_long).agg(F.sum("n_tokens")).first()[0] or 0
+    together = numbered.where(is_long).repartition(-(-tokens_of_long // CHUNK_TOKENS) or 1)
+    scored = _scored(numbered.where(~is_long), vocabulary, weights, log_mass)
+    scored = staged(scored.union(_scored(together, vocabulary, weights, log_mass)), "lm-scores")
     return _put_together(scored, numbered, rare, total, kinds)
 
 
@@ -417,27 +433,16 @@ def _chunks(batches):
         yield together(), numbers
 
 
-def _lists(words: list[Counter], kind: pa.ListType) -> pa.Array:
-    """The words and counts of each document as a list of structs."""
-    ends = np.concatenate(([0], np.cumsum([len(x) for x in words]))).astype(np.int32)
-    flat = [
-        pa.array([w for x in words for w in x], pa.binary()),
-        pa.array([k for x in words for k in x.values()], pa.int64()),
-    ]
-    structs = pa.StructArray.from_arrays(flat, fields=list(kind.value_type))
-    return pa.ListArray.from_arrays(ends, structs, type=kind)
-
-
 def _put_together(
     scored: DataFrame, numbered: DataFrame, rare: DataFrame, total: int, kinds: int
 ) -> DataFrame:
-    asked = numbered.select("place", F.explode("words").alias("w")).select("place", "w.word", "w.n")
+    asked = numbered.select("place", F.explode("words").alias("word"))
     found = (
         asked.join(rare.where("n_train > 0").select("word", "n_train"), "word")
         .groupBy("place")
         .agg(
-            F.sum(F.col("n") * F.log10(F.col("n_train") + 1)).alias("more"),
-            F.sum("n").alias("more_known"),
+            F.sum(F.log10(F.col("n_train") + 1)).alias("more"),
+            F.count(F.lit(1)).alias("more_known"),
         )
     )
     more = F.coalesce("more", F.lit(0.0))

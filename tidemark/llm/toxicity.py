@@ -1,9 +1,10 @@
 """Toxicity grades by cumulative-link ordinal regression on sparse text features.
 
 Features are the distinct lower-case words of a text and their beginnings of
-five to eight letters, so that compounds share what they begin with.  One weight vector is shared by all thresholds: the chance that the
-grade is above k is sigmoid(s - threshold_k), s being the sum of the weights.
-The expected severity is the sum of these chances.
+five to eight letters, so that compounds share what they begin with.  One weight
+vector is shared by all thresholds: the chance that the grade is above k is
+sigmoid(s - threshold_k), s being the sum of the weights.  The expected severity
+is the sum of these chances.
 
 Labels say toxic or not.  Grade 0 is not toxic; toxic texts get the grades 1 to
 3 by the number of distinct features they hold that speak for toxicity, cut at
@@ -14,9 +15,11 @@ at most, picked by a hash, weighed back to the shares of the classes.  Every
 document is scored on its whole text.
 
 Null and empty texts have no features and get the grade of the thresholds
-alone.  Labels without an id or a value are left out; of several for one id the
-highest counts.  Without labels of both classes every severity is 0.  Documents
-that repeat score each.
+alone.  Very long texts are scored whole.  Labels without an id or a value are
+left out; of several for one id the highest counts.  Where documents of different
+texts share a labelled id, the model learns from the greatest text by code point;
+all of them are scored.  Without labels of both classes every severity is 0.
+Documents that repeat score each.
 """
 
 from __future__ import annotations

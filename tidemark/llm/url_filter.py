@@ -13,7 +13,9 @@ most ten thousand are broadcast.
 
 Null URLs and those without ``://`` have an empty host and path, fit no rule and
 are judged on empty features.  Without labelled URLs of both verdicts, URLs
-that no rule fits get the only verdict there is, or else are allowed.
+that no rule fits get the only verdict there is, or else are allowed.  Rows of
+``pages`` that repeat are judged each; a URL counts once in training however
+often it stands there.  Very long URLs are judged whole.
 """
 
 from __future__ import annotations
