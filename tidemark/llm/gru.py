@@ -101,9 +101,19 @@ def _softmax(x: np.ndarray, target: np.ndarray, bound: float) -> tuple[np.ndarra
     return picked - np.log(total[:, 0]), x, total
 
 
-def _bound(w: np.ndarray, bias: np.ndarray) -> float:
+def _biased(w: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Weights with the bias as a last row, for states that end with a 1."""
+    return np.concatenate((w, bias[..., None, :]), axis=-2)
+
+
+def _bound(w: np.ndarray) -> float:
     # A state lies within -1 and 1.
-    return float((np.abs(w).sum(axis=-2) + np.abs(bias)).max())
+    return float(np.abs(w).sum(axis=-2).max())
+
+
+def _thirds(w: np.ndarray) -> list[np.ndarray]:
+    """Columns of the update gate, the reset gate and the new state, each contiguous."""
+    return [np.ascontiguousarray(x) for x in np.split(w, 3, axis=1)]
 
 
 class Network:
@@ -152,91 +162,105 @@ class Network:
             state, out = self._step(state[:active], came, fresh, classes[safe], within[safe], valid, learn)
             yield out, who, valid
 
+    @np.errstate(over="ignore")  # a gate whose exponential is infinite is 0
     def _step(self, state, came, fresh, target, word, valid, learn):
         w, size = self.w, self.layout.hidden
         steps, width = came.shape
-        enter = w["enter"][came]
+        again = _thirds(w["again"])
+        to_gate, to_reset = -again[0], -again[1]
+        not_gate, not_reset, enter = _thirds(w["enter"])
+        not_gate, not_reset = (-x.take(came, axis=0) for x in (not_gate, not_reset))
+        enter = enter.take(came, axis=0)
         clear = [np.flatnonzero(f) for f in fresh]
         shape = (steps, width, size)
         hidden, prev, new, inner = (np.empty(shape, np.float32) for _ in range(4))
-        gates = np.empty((steps, width, 2 * size), np.float32)
+        gates = np.empty((steps, 2, width, size), np.float32)
         for t in range(steps):
+            prev[t] = state
+            state, both, made, after = prev[t], gates[t], new[t], hidden[t]
             if len(clear[t]):
-                state = state.copy()
                 state[clear[t]] = 0
-            again = state @ w["again"]
-            both = gates[t]
-            np.add(enter[t, :, : 2 * size], again[:, : 2 * size], out=both)
-            both *= 0.5
-            np.tanh(both, out=both)
-            both *= 0.5
-            both += 0.5
-            prev[t], inner[t] = state, again[:, 2 * size :]
-            np.tanh(enter[t, :, 2 * size :] + both[:, size:] * inner[t], out=new[t])
-            np.add(new[t], both[:, :size] * (state - new[t]), out=hidden[t])
-            state = hidden[t]
-        flat, target, word = hidden.reshape(-1, size), target.ravel(), word.ravel()
-        ok = valid.ravel()
+            np.matmul(state, to_gate, out=both[0])
+            np.matmul(state, to_reset, out=both[1])
+            both[0] += not_gate[t]
+            both[1] += not_reset[t]
+            np.exp(both, out=both)
+            both += 1
+            np.reciprocal(both, out=both)
+            np.matmul(state, again[2], out=inner[t])
+            np.multiply(both[1], inner[t], out=made)
+            made += enter[t]
+            np.tanh(made, out=made)
+            np.subtract(state, made, out=after)
+            after *= both[0]
+            after += made
+            state = after
+        target, word, ok = target.ravel(), word.ravel(), valid.ravel()
+        flat = np.ones((steps * width, size + 1), np.float32)
+        flat[:, :size] = hidden.reshape(-1, size)
         padded = not ok.all()
-        logits = flat @ w["out"]
-        logits += w["out_bias"]
-        out, share, total = _softmax(logits, target, _bound(w["out"], w["out_bias"]))
+        weight = _biased(w["out"], w["out_bias"])
+        out, share, total = _softmax(flat @ weight, target, _bound(weight))
         if learn:
             share /= total
             share[np.arange(len(flat)), target] -= 1
             if padded:
                 share[~ok] = 0
             d_hidden = share @ w["out"].T
-            grads = {"out": flat.T @ share, "out_bias": share.sum(axis=0)}
-            g_word, g_bias = np.zeros_like(w["word"]), np.zeros_like(w["word_bias"])
+            g = (share.T @ flat).T
+            grads = {"out": g[:size], "out_bias": g[size]}
         # Tokens of one class stand together, so that each class is one product.
-        order = np.argsort(target.astype(np.int16), kind="stable")
-        bounds = np.searchsorted(target[order], np.arange(self.layout.head_classes + 1))
-        bound = _bound(w["word"], w["word_bias"])
+        bounds = np.concatenate(([0], np.cumsum(np.bincount(target, minlength=self.layout.head_classes))))
+        bounds = bounds[: self.layout.head_classes + 1]
+        at = np.argsort(target.astype(np.int16), kind="stable")[: bounds[-1]]
+        some, which, some_ok = flat.take(at, axis=0), word[at], ok[at]
+        picked, d_some = np.empty(len(at), np.float32), np.empty((len(at), size), np.float32)
+        weight = _biased(w["word"], w["word_bias"])
+        bound, g = _bound(weight), np.zeros_like(weight)
         for k in range(self.layout.head_classes):
-            at = order[bounds[k] : bounds[k + 1]]
-            if not len(at):
+            of = slice(bounds[k], bounds[k + 1])
+            if bounds[k] == bounds[k + 1]:
                 continue
-            some, which = flat[at], word[at]
-            logits = some @ w["word"][k]
-            logits += w["word_bias"][k]
-            picked, share, total = _softmax(logits, which, bound)
-            out[at] += picked
+            picked[of], share, total = _softmax(some[of] @ weight[k], which[of], bound)
             if learn:
                 share /= total
-                share[np.arange(len(at)), which] -= 1
+                share[np.arange(len(share)), which[of]] -= 1
                 if padded:
-                    share[~ok[at]] = 0
-                d_hidden[at] += share @ w["word"][k].T
-                g_word[k], g_bias[k] = some.T @ share, share.sum(axis=0)
+                    share[~some_ok[of]] = 0
+                np.matmul(share, w["word"][k].T, out=d_some[of])
+                g[k] = some[of].T @ share
+        out[at] += picked
         if learn:
-            grads |= {"word": g_word, "word_bias": g_bias}
+            d_hidden[at] += d_some
+            grads |= {"word": g[:, :size], "word_bias": g[:, size]}
             d_hidden = d_hidden.reshape(shape)
-            gate, reset = gates[:, :, :size], gates[:, :, size:]
-            by_new = (1 - gate) * (1 - new * new)
-            by_gate = (prev - new) * gate * (1 - gate)
-            by_reset = inner * reset * (1 - reset)
-            d_enter = np.empty((steps, width, 3 * size), np.float32)
+            gate, reset = gates[:, 0], gates[:, 1]
+            not_gate = 1 - gate
+            # Overwritten with the gradients before each activation, step by step.
+            d_new = not_gate * (1 - new * new)
+            d_gate = (prev - new) * gate * not_gate
+            d_reset = inner * reset * (1 - reset)
             d_inner = np.empty(shape, np.float32)
-            to_gates, to_inner = w["again"][:, : 2 * size].T, w["again"][:, 2 * size :].T
+            from_gate, from_reset, from_inner = (x.T.copy() for x in again)
             back = np.zeros((width, size), np.float32)
             for t in range(steps - 1, -1, -1):
-                d = d_hidden[t] + back
-                d_new = d_enter[t, :, 2 * size :]
-                np.multiply(d, by_new[t], out=d_new)
-                np.multiply(d, by_gate[t], out=d_enter[t, :, :size])
-                np.multiply(d_new, by_reset[t], out=d_enter[t, :, size : 2 * size])
-                np.multiply(d_new, reset[t], out=d_inner[t])
-                back = d * gate[t] + d_enter[t, :, : 2 * size] @ to_gates + d_inner[t] @ to_inner
+                d = d_hidden[t]
+                d += back
+                d_new[t] *= d
+                d_gate[t] *= d
+                d_reset[t] *= d_new[t]
+                np.multiply(d_new[t], reset[t], out=d_inner[t])
+                back = d * gate[t]
+                back += d_gate[t] @ from_gate
+                back += d_reset[t] @ from_reset
+                back += d_inner[t] @ from_inner
                 if len(clear[t]):
                     back[clear[t]] = 0
             before = prev.reshape(-1, size).T
-            d_enter = d_enter.reshape(-1, 3 * size)
-            grads["again"] = np.concatenate(
-                (before @ d_enter[:, : 2 * size], before @ d_inner.reshape(-1, size)), axis=1
-            )
+            d_gate, d_reset, d_new, d_inner = (x.reshape(-1, size) for x in (d_gate, d_reset, d_new, d_inner))
+            grads["again"] = np.concatenate((before @ d_gate, before @ d_reset, before @ d_inner), axis=1)
             # A window of few tokens moves the weights little.
-            self._learn(grads, came.ravel(), d_enter, LANES * WINDOW)
+            self._learn(grads, came.ravel(), np.concatenate((d_gate, d_reset, d_new), axis=1), LANES * WINDOW)
         return state, out.reshape(steps, width)
 
     def _learn(self, grads, came, d_enter, n) -> None:
@@ -244,9 +268,9 @@ class Network:
         for name, g in grads.items():
             self._move(name, slice(None), g / n)
         order = np.argsort(came.astype(np.int16), kind="stable")
-        sorted_ = came[order]
+        sorted_ = came.take(order)
         starts = np.flatnonzero(np.concatenate(([True], sorted_[1:] != sorted_[:-1])))
-        self._move("enter", sorted_[starts], np.add.reduceat(d_enter[order], starts, axis=0) / n)
+        self._move("enter", sorted_[starts], np.add.reduceat(d_enter.take(order, axis=0), starts, axis=0) / n)
 
     def _move(self, name, where, g) -> None:
         seen = self.seen[name]
