@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.operators import facts
 from tidemark.plans.retail import retail_datasets
+from tidemark.session import stream_settings
 from tidemark.sources.bus import CAPTURED_TABLES, message_stream
 from tidemark.streaming import files
-from tidemark.streaming.lake import KEYED, RECOMPUTED, Dataset, Lake, conform
+from tidemark.streaming.lake import JOINED, KEYED, RECOMPUTED, Dataset, Lake, conform
 
 SMALL = {"spark.sql.shuffle.partitions": "2"}
 
@@ -443,3 +444,78 @@ def test_null_rows_in_the_lake(bus, database):
     lake = bus.lake(database, keep_null_rows=True)
     lake.update()
     assert sorted(str(r.customer_id) for r in lake.read("customers_cleansed").collect()) == ["1", "None", "None"]
+
+
+def test_joined_rows_in_any_order(spark, tmp_path, database):
+    """Each combination once, however rows of three inputs come, with no state beside the tables."""
+    root = f"{tmp_path}/a b%20c"
+    bus = Bus(spark, root)
+    steps = [
+        lambda: bus.order(1, "a"),
+        lambda: bus.send("customers", {"customer_id": 1}),
+        lambda: (bus.order(2, "b"), bus.send("products", {"product_id": "a"})),
+        lambda: (
+            bus.order(3, "a"),
+            bus.send("products", {"product_id": "a"}, {"product_id": "b"}),
+            bus.send("customers", {"customer_id": 1}),
+        ),
+    ]
+    for step in steps:
+        step()
+        lake = bus.lake(database)
+        lake.update()
+        lines, products, customers = (
+            lake.read(n) for n in ("sales_orders_cleansed", "dim_products", "dim_customers")
+        )
+        want = lines.join(products, "product_id").join(customers, "customer_id")
+        want = want.select("order_number", "product_key", "customer_key").collect()
+        assert numbers(lake) == sorted(map(tuple, want))
+    assert len(want) == 2 * 2 + 2 + 2 * 2
+    assert not files.exists(spark, f"{lake._checkpoint('fact_sales_orders')}/state")
+
+    # The last batch runs again, as after a crash before its commit: written or not, it comes once.
+    before = numbers(lake)
+    folder = f"{lake._checkpoint('fact_sales_orders')}/commits"
+    last = max(int(n) for n in files.child_names(spark, folder) if n.isdigit())
+    for written in (True, False):
+        files.delete(spark, f"{folder}/{last}")
+        if not written:
+            for end in ("", ".parquet"):
+                files.delete(spark, f"{lake._path('fact_sales_orders')}/batch-{last:012d}{end}")
+        lake = bus.lake(database)
+        lake.update()
+        assert numbers(lake) == before
+
+
+def test_joins_read_stored_streams(spark, tmp_path, database):
+    made = Dataset("made", "SELECT 1 AS n", kind=RECOMPUTED)
+    shape = schemas.struct(n=schemas.LONG)
+    joined = Dataset("joined", "SELECT n FROM made", ["made"], kind=JOINED, schema=shape)
+    with pytest.raises(ValueError, match="joins stored streams"):
+        Lake(spark, f"{tmp_path}/lake", database, [made, joined])
+
+
+def test_lines_of_an_order_stay_together(bus, database):
+    """Rows that repeat their order's lists lie side by side, so the files compress."""
+    products = json.dumps([{"id": str(n), "price": n, "qty": 2} for n in range(5)])
+    rows = [
+        {"order_number": n, "customer_id": 1, "order_datetime": "1534928698", "ordered_products": products}
+        for n in range(40)
+    ]
+    bus.send("sales_orders", *rows)
+    lake = bus.lake(database, output_partitions=1)
+    lake.update()
+    name = lake._path("sales_orders_cleansed")
+    (found,) = [f for f in files.child_names(lake.spark, name) if f.endswith(".parquet")]
+    numbered = [r.order_number for r in lake.spark.read.parquet(f"{name}/{found}").collect()]
+    assert len(numbered) == 200
+    assert sum(a != b for a, b in zip(numbered, numbered[1:])) == 39
+
+
+def test_batch_work_of_a_lake(spark):
+    """More and smaller tasks than cores, no shuffle files left behind, compressed tables."""
+    settings = stream_settings(spark)
+    cores = spark.sparkContext.defaultParallelism
+    assert int(settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]) >= 16 * cores
+    assert settings["spark.sql.classic.shuffleDependency.fileCleanup.enabled"] == "true"
+    assert settings["spark.sql.parquet.compression.codec"] == "zstd"
