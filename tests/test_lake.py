@@ -473,6 +473,50 @@ def test_joined_rows_in_any_order(spark, tmp_path, database):
     assert len(want) == 2 * 2 + 2 + 2 * 2
 
 
+def test_fact_has_no_state_beside_the_tables(spark, tmp_path, database):
+    """Its batches join stored files; one that runs again, written or not, comes once."""
+    bus = Bus(spark, str(tmp_path))
+    for number in (1, 2):
+        bus.order(number, "a")
+        bus.send("products", {"product_id": "a"})
+        bus.send("customers", {"customer_id": 1})
+        lake = bus.lake(database)
+        lake.update()
+    before = numbers(lake)
+    assert len(before) == 2 * 2 * 2
+    assert not files.exists(spark, f"{lake._checkpoint('fact_sales_orders')}/state")
+
+    folder = f"{lake._checkpoint('fact_sales_orders')}/commits"
+    last = max(int(n) for n in files.child_names(spark, folder) if n.isdigit())
+    for written in (True, False):
+        files.delete(spark, f"{folder}/{last}")
+        if not written:
+            for end in ("", ".parquet"):
+                files.delete(spark, f"{lake._path('fact_sales_orders')}/batch-{last:012d}{end}")
+        lake = bus.lake(database)
+        lake.update()
+        assert numbers(lake) == before
+
+
+def test_joined_batch_trusts_the_tables(spark, tmp_path, database):
+    """A batch joins every file its inputs list and none twice, whatever the stream tells of them."""
+    bus = Bus(spark, str(tmp_path))
+    bus.order(1, "a")
+    bus.send("products", {"product_id": "a"})
+    bus.send("customers", {"customer_id": 1})
+    lake = bus.lake(database)
+    lake.update()
+    before = numbers(lake)
+    assert len(before) == 1
+    write = lake._joined_batch(lake.datasets["fact_sales_orders"], {})
+    nothing = spark.createDataFrame([], "input string")
+    write(nothing, 7)
+    assert numbers(lake) == before
+    files.delete(spark, lake._notes_path("fact_sales_orders"))
+    write(nothing, 8)
+    assert numbers(lake) == before * 2
+
+
 def test_joins_read_stored_streams(spark, tmp_path, database):
     made = Dataset("made", "SELECT 1 AS n", kind=RECOMPUTED)
     shape = schemas.struct(n=schemas.LONG)

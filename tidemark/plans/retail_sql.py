@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from tidemark import schemas
 from tidemark.plans.retail import GOLD, Source, retail_datasets
-from tidemark.streaming.lake import RECOMPUTED, Dataset
+from tidemark.streaming.lake import JOINED, RECOMPUTED, Dataset
 
 # The stream's join keys are never NULL by type, as join state has a fixed schema.
 # Every key spreads over so many state partitions: lines draw a salt, and the
@@ -59,6 +59,7 @@ def retail_sql_datasets(sources: Mapping[str, Source], **options) -> list[Datase
             "fact_sales_orders",
             FACT_SALES_ORDERS,
             ["sales_orders_cleansed", "dim_products", "dim_customers"],
+            kind=JOINED,
             schema=_FACT_SCHEMA,
             comment="Order lines by customer and product key",
             properties=GOLD,
