@@ -224,6 +224,15 @@ def rows_of(spark, lines=(), products=(), customers=()):
     )
 
 
+def test_a_cell_takes_as_many_tasks_as_it_needs(spark, tmp_path):
+    store, totals = Buckets(spark, f"{tmp_path}/totals"), incremental.SalesTotals(1)
+    new, _ = totals.merge(store, rows_of(spark, [("p", 1, 2, 3)], ["p"], [1]))
+    assert set(new) == {"products", "customers", "pairs"}
+    for rows in new.values():
+        plan = rows._jdf.queryExecution().analyzed().toString()
+        assert "RebalancePartitions" in plan and "RepartitionByExpression" not in plan
+
+
 def test_only_touched_cells_are_written(spark, tmp_path):
     store, totals = Buckets(spark, f"{tmp_path}/totals"), incremental.SalesTotals(4)
     products, customers = [f"p{i}" for i in range(20)], list(range(20))

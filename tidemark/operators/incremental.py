@@ -55,8 +55,8 @@ class SalesTotals:
     """Merges ``sales_changes`` into stored totals, on ``grid`` x ``grid`` cells.
 
     A batch is summed per pair or key map-side first, so a hot pair sends one
-    row per task.  A cell is one task's work, so the grid has to grow with the
-    number of pairs; a hot product spreads over a row of cells.
+    row per task.  Pairs are summed and joined by their keys and written by as many
+    tasks as a cell's size asks for; the grid only says how much a batch rewrites.
     """
 
     grid: int = 16
@@ -74,7 +74,7 @@ class SalesTotals:
         for side, key in _SIDES.items():
             factors[side], changed = self._versions(store, changes, side, key)
             if changed:
-                new[side] = factors[side].where(F.col(BUCKET).isin(changed))
+                new[side] = factors[side].where(F.col(BUCKET).isin(changed)).hint("rebalance", BUCKET)
         lines = changes.where("kind = 'lines'").select(
             (F.col("at_products") * self.grid + F.col("at_customers")).alias(BUCKET),
             "product_id",
@@ -85,7 +85,7 @@ class SalesTotals:
         )
         before = store.rows("pairs", touched)
         both = lines if before is None else lines.unionByName(before)
-        pairs = both.repartition(BUCKET).groupBy(BUCKET, "product_id", "customer_id").agg(
+        pairs = both.groupBy(BUCKET, "product_id", "customer_id").agg(
             F.sum("quantity").alias("quantity"),
             F.sum("amount").alias("amount"),
             *(F.max(f"of_{side}").alias(f"of_{side}") for side in _SIDES),
@@ -95,8 +95,7 @@ class SalesTotals:
             found = F.coalesce("_now", f"of_{side}", F.lit(0).cast("bigint"))
             pairs = pairs.join(now, key, "left").withColumn(f"of_{side}", found).drop("_now")
         order = [BUCKET, "product_id", "customer_id", "quantity", "amount", *(f"of_{s}" for s in _SIDES)]
-        # The joins may have dealt the rows out anew; one task writes a cell.
-        new["pairs"] = pairs.select(*order).repartition(BUCKET)
+        new["pairs"] = pairs.select(*order).hint("rebalance", BUCKET)
         return new, {"pairs": (F.col("of_products") > 0) & (F.col("of_customers") > 0)}
 
     def view(self, store: Buckets) -> DataFrame | None:
@@ -136,5 +135,5 @@ class SalesTotals:
         )
         before = store.rows(side, [r[0] for r in places])
         both = added if before is None else added.unionByName(before)
-        counts = both.repartition(BUCKET).groupBy(BUCKET, key).agg(F.sum("versions").alias("versions"))
+        counts = both.groupBy(BUCKET, key).agg(F.sum("versions").alias("versions"))
         return counts, [r[0] for r in places if r.new]
