@@ -48,6 +48,13 @@ def test_one_list_goes_through_the_shuffle(spark, folder, capsys):
     assert capsys.readouterr().out.count("partial_collect_list") == 1
 
 
+def test_documents_meet_their_heads_in_one_join(spark, folder):
+    """Once grouped, they are not dealt out again by customer."""
+    plan = replay.order_rows(spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    above, _ = plan.split("Aggregate", 1)
+    assert above.count("Join Inner") == 1 and "o_custkey" not in above.split("Join Inner")[1].splitlines()[0]
+
+
 @pytest.mark.parametrize("name", ["raw_orders_once", "expectations_counts", "order_sessions_stream", "reconcile_orders"])
 def test_messages_are_worked_out_once(spark, folder, monkeypatch, name):
     """What is sent in parts comes from one written copy, not from the tables each time."""
