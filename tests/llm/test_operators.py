@@ -66,6 +66,32 @@ def test_secrets(docs, plain):
         assert starts == sorted(starts)
 
 
+def test_secrets_split_a_text_once_per_pattern(spark):
+    """Not once per find, and the places of many finds are right."""
+    text = "é " + "token=abcdef0123 and wJalrXUtnFEMIK7MDENGbPxRfiCY, " * 300
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    plan = credentials.find_secrets(docs)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("split(") == 5
+    (row,) = credentials.secret_report(docs).collect()
+    at = [i for i in range(len(text)) if text.startswith("token=", i)]
+    assert row.n_assign == len(at) == 300
+    assert row.base_sha256 == brute.sha(",".join(f"assign:{i}:{i + 16}" for i in at))
+
+
+def test_secrets_fast_patterns_match_the_same():
+    import random
+    import re
+
+    deal = random.Random(4)
+    bits = ["password", "TOKEN", "api_key", "apikey", "=", ":", '"', " ", ".", "-", "/", "http", "s://", "AKIA"]
+    bits += ["0123456789abcdef" * 2, "a" * 70, "X9" * 9, "db.host", ":80", ":1234567", "deadbeef", "AbC1", "_", "f", "9"]
+    for _ in range(3000):
+        text = "".join(deal.choices(bits, k=deal.randrange(1, 25)))
+        for plain, fast in credentials._FAST.items():
+            spans = lambda p: [m.span() for m in re.finditer(p, text)]
+            assert spans(plain) == spans(fast), (plain, text)
+
+
 def test_weak_parts_need_company(spark):
     key = "wJalrXUtnFEMIK7MDENGbPxRfiCY"
     rows = [
