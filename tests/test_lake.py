@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.operators import facts
 from tidemark.plans.retail import retail_datasets
-from tidemark.session import stream_settings
+from tidemark.session import own_session, short_shuffles, stream_settings
 from tidemark.sources.bus import CAPTURED_TABLES, message_stream
 from tidemark.streaming import files
 from tidemark.streaming.lake import JOINED, KEYED, RECOMPUTED, Dataset, Lake, conform
@@ -548,3 +548,43 @@ def test_batch_work_of_a_lake(spark):
     cores = spark.sparkContext.defaultParallelism
     assert int(settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]) >= 16 * cores
     assert settings["spark.sql.parquet.compression.codec"] == "zstd"
+
+
+def _shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {n for n in manager.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in n}
+
+
+def test_dimensions_are_broadcast_by_what_they_hold(spark, tmp_path):
+    """Files of a few kilobytes may hold many rows, each copied to its salts."""
+    outer = own_session(spark, {"spark.sql.autoBroadcastJoinThreshold": "512k"})
+    session = own_session(outer, stream_settings(outer))
+
+    def join(n):
+        id_of = {"products": "CAST(id AS STRING)", "customers": "id"}
+        for side, key in id_of.items():
+            name = side[:-1]
+            rows = spark.range(n).selectExpr(f"id AS {name}_key", f"{key} AS {name}_id", "'x' AS a", "'y' AS b", "'z' AS c")
+            rows.write.mode("overwrite").parquet(f"{tmp_path}/{side}", compression="zstd")
+        lines = spark.range(20_000).selectExpr(
+            "id AS order_number", "'2020-01-01' AS order_datetime", "1 AS unit_price", "2 AS quantity",
+            f"CAST(id % {n} AS STRING) AS product_id", f"id % {n} AS customer_id",
+        )
+        lines.write.mode("overwrite").parquet(f"{tmp_path}/lines")
+        read = [session.read.parquet(f"{tmp_path}/{t}") for t in ("lines", "products", "customers")]
+        fact = facts.fact_sales_orders(*read, product_salting=facts.Salting(4), customer_salting=facts.Salting(4))
+        assert len(fact.collect()) == 20_000
+        return fact._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+    assert "BroadcastExchange" not in join(60_000)
+    assert join(100).count("BroadcastHashJoin") == 2
+
+
+def test_a_lake_leaves_no_shuffle_files(spark, tmp_path):
+    rows = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    for session in (own_session(spark, stream_settings(spark)), short_shuffles(spark)):
+        before = _shuffle_files(spark)
+        own = session.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+        own.write.mode("overwrite").parquet(f"{tmp_path}/rows")
+        assert not _shuffle_files(spark) - before
+        assert sorted(session.read.parquet(f"{tmp_path}/rows").collect()) == sorted(rows.collect())
