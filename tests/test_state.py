@@ -289,6 +289,43 @@ def test_replays_add_nothing(bus, database, spark):
     assert offsets(lake) == list(range(30))
 
 
+def test_repeats_go_in_waves(bus, database, monkeypatch):
+    monkeypatch.setattr("tidemark.streaming.lake._WAVE", 7)
+    some = [({"n": n}, {"op": "c", "after": {"order_number": n}}, n) for n in range(40)]
+    bus.send("sales_orders", some[::3])
+    raw_lake(bus, database).update()
+    for part in (some[:25], some[20:] + some[5:8], some[30:]):
+        bus.send("sales_orders", part)
+    lake = raw_lake(bus, database)
+    lake.update()
+    assert offsets(lake) == list(range(40))
+
+
+def test_repeats_go_without_a_shuffle_of_values(spark):
+    import random
+
+    deal, place = random.Random(5), ["_part", "_position"]
+    rows = [
+        ("t", 0, deal.choice([None, *range(9000)]), f"v{i}", i // 9000, i % 9000) for i in range(20_000)
+    ]
+    names = "topic string, partition int, offset long, value string, _part long, _position long"
+    arrived = spark.createDataFrame(rows, names)
+    stored = spark.range(2500, 5000).selectExpr("'t' AS topic", "0 AS partition", "id AS offset")
+    found = once.repeats(arrived, stored, place)
+    gone = once.dropped(arrived, found, place)
+    kept = once.without(arrived, gone, place)
+    want, seen = [], set(range(2500, 5000))
+    for row in rows:
+        if row[2] is None or row[2] not in seen:
+            want.append(row)
+            seen.add(row[2])
+    assert Counter(map(tuple, kept.collect())) == Counter(want)
+    # The told rows and the places are apart, so that the plan below is that of the values alone.
+    told = spark.createDataFrame([], gone.schema)
+    plan = once.without(arrived, told, place)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan
+
+
 def test_messages_without_a_place_are_kept(bus, database, spark):
     frame = spark.createDataFrame(
         [(b"k", b"v", "sales_orders", 0, None)] * 3, "key binary, value binary, topic string, partition int, offset long"
