@@ -555,6 +555,33 @@ def _shuffle_files(spark):
     return {n for n in manager.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in n}
 
 
+def test_few_files_come_without_a_shuffle(bus, database):
+    lake = bus.lake(database, output_partitions=2)
+    name, before = "sales_orders_cleansed", _shuffle_files(bus.spark)
+    made = lake._few_batch(lake.datasets[name])
+    lines = bus.spark.range(0, 1000, 1, 8).selectExpr("id AS order_number", "'p' AS product_id")
+    made(lines, 0)
+    found = files.child_names(bus.spark, f"{lake._path(name)}/batch-000000000000")
+    assert len([n for n in found if n.endswith(".parquet")]) == 2
+    rows = bus.spark.read.parquet(f"{lake._path(name)}/batch-000000000000")
+    assert sorted(r.order_number for r in rows.collect()) == list(range(1000))
+    # A batch that runs again.
+    made(lines, 0)
+    assert files.child_names(bus.spark, lake._path(name)) == ["batch-000000000000"]
+    assert _shuffle_files(bus.spark) == before
+
+
+def test_a_table_with_a_log_of_its_files_goes_on_with_it(bus, database):
+    """One that was filled before, by a sink that notes its files."""
+    bus.order(1, "a", customer=1)
+    bus.lake(database).update()
+    bus.order(2, "a", customer=1)
+    lake = bus.lake(database, output_partitions=1)
+    lake.update()
+    assert files.exists(bus.spark, f"{lake._path('sales_orders_cleansed')}/_spark_metadata")
+    assert sorted(r.order_number for r in lake.read("sales_orders_cleansed").collect()) == [1, 2]
+
+
 def test_dimensions_are_broadcast_by_what_they_hold(spark, tmp_path):
     """Files of a few kilobytes may hold many rows, each copied to its salts."""
     outer = own_session(spark, {"spark.sql.autoBroadcastJoinThreshold": "512k"})
