@@ -233,6 +233,14 @@ def test_a_cell_takes_as_many_tasks_as_it_needs(spark, tmp_path):
         assert "RebalancePartitions" in plan and "RepartitionByExpression" not in plan
 
 
+def test_pairs_are_written_between_their_shuffles(spark, tmp_path):
+    store, totals = Buckets(spark, f"{tmp_path}/totals"), incremental.SalesTotals(2)
+    new, _ = totals.merge(store, rows_of(spark, [("p", 1, 2, 3), ("q", 1, 2, 3)], ["p"], [1]))
+    plan = new["pairs"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+    assert sorted((r.product_id, r.of_products, r.of_customers) for r in new["pairs"].collect()) == [("p", 1, 1), ("q", 0, 1)]
+
+
 def test_only_touched_cells_are_written(spark, tmp_path):
     store, totals = Buckets(spark, f"{tmp_path}/totals"), incremental.SalesTotals(4)
     products, customers = [f"p{i}" for i in range(20)], list(range(20))

@@ -93,7 +93,8 @@ class SalesTotals:
         for side, key in _SIDES.items():
             now = factors[side].select(key, F.col("versions").alias("_now"))
             found = F.coalesce("_now", f"of_{side}", F.lit(0).cast("bigint"))
-            pairs = pairs.join(now, key, "left").withColumn(f"of_{side}", found).drop("_now")
+            # Written after each join, so that no more than two shuffles of the pairs are kept.
+            pairs = store.staged(pairs.join(now, key, "left").withColumn(f"of_{side}", found).drop("_now"))
         order = [BUCKET, "product_id", "customer_id", "quantity", "amount", *(f"of_{s}" for s in _SIDES)]
         new["pairs"] = pairs.select(*order).hint("rebalance", BUCKET)
         return new, {"pairs": (F.col("of_products") > 0) & (F.col("of_customers") > 0)}
